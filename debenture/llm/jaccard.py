@@ -239,5 +239,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **settings) -> DataFrame:
     """docs with one row of each class: that of least doc_id, one of them where its id or row is repeated."""
-    c = near_duplicates(docs, text, doc_id, **settings).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(c, docs[doc_id].eqNullSafe(c["__id"]), "left_semi").dropDuplicates([doc_id])
+    c = near_duplicates(docs, text, doc_id, **settings).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
+    c = saved(c, "jaccard-kept")
+    out = docs.join(c.select("__id"), docs[doc_id].eqNullSafe(c["__id"]), "left_semi")
+    # only ids that stand on several rows of one class need the text moved once more
+    return out.dropDuplicates([doc_id]) if c.filter("__n > 1").limit(1).count() else out

@@ -100,11 +100,13 @@ def mix_sources(docs: DataFrame, source: str = "source", text: str = "text", doc
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """docs as the mix holds them: each as often as it passes the document's first word, some never."""
-    plan = mix_sources(docs, **settings).groupBy("row_key").agg(F.sum("passes").alias("n")).filter("n > 0").withColumnRenamed("row_key", "__mix_key").withColumnRenamed("n", "__mix_n")
-    # equal rows have one key and can stand for each other
+    plan = mix_sources(docs, **settings).groupBy("row_key").agg(F.sum("passes").alias("__mix_n"), F.count("*").alias("__rows"))
+    plan = saved(plan.filter("__mix_n > 0").withColumnRenamed("row_key", "__mix_key"), "mix-plan")
     own = docs.withColumn("__mix_row", key_of(docs))
-    one = own.dropDuplicates(["__mix_row"])
-    out = one.join(plan, F.col("__mix_row") == F.col("__mix_key"))
+    # equal rows have one key and can stand for each other
+    if plan.filter("__rows > 1").limit(1).count():
+        own = own.dropDuplicates(["__mix_row"])
+    out = own.join(plan, F.col("__mix_row") == F.col("__mix_key"))
     return out.withColumn("__mix_way", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_n")))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

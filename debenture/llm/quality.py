@@ -136,13 +136,14 @@ def judged(docs: DataFrame, model: Model, text: str = "text", threshold: float =
     equal values. An empty table gives no rows. Columns named like the new ones are replaced."""
     new = [x.split()[0] for x in _BASE_SCHEMA.split(", ")]
     names = [c for c in (columns or docs.columns) if c not in new]
-    kept = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").alias("__text"))
     drop = len(names)
+    kept = docs.select(*[F.col(f"`{c}`") for c in names], *([] if text in names else [F.col(f"`{text}`")]))
+    at = names.index(text) if text in names else drop
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:drop]] + [_BASE_SCHEMA])
 
     def run(batches):
         for batch in batches:
-            data, offsets = utf8(batch.column(drop))
+            data, offsets = utf8(batch.column(at))
             parts = []
             for a, b in slices(offsets):
                 w = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
