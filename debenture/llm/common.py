@@ -28,9 +28,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it again: executors may go, no stage above runs twice."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # the shuffle files behind it are of no more use, but Spark removes them only as the driver's garbage is collected
+    spark.sparkContext._jvm.java.lang.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, name: str, key: str) -> tuple[DataFrame, str]:
+    """df as an external table in the shared folder, in buckets by key, and the table's name, to be dropped after use (the
+    files stay)."""
+    spark = df.sparkSession
+    name = f"debenture_{name}_{uuid.uuid4().hex}"
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.write.bucketBy(buckets, key).option("path", f"{shared_dir(spark)}/{name}").format("parquet").saveAsTable(name)
+    spark.sparkContext._jvm.java.lang.System.gc()
+    return spark.table(name), name
 
 
 def key_of(df: DataFrame, *skip: str):
@@ -166,7 +180,6 @@ def components(edges: DataFrame, name: str, rounds: int = 40) -> DataFrame:
     component is gathered in one task but by its counts, and only counts go to the driver."""
     links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     links = saved(links, f"{name}-edges")
-    before = None
     for _ in range(rounds):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # large star: greater neighbours of a node go to the least of its neighbourhood
@@ -177,8 +190,10 @@ def components(edges: DataFrame, name: str, rounds: int = 40) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         links = saved(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), f"{name}-star")
-        now = links.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long")), F.sum(F.xxhash64("a", "b") % 1000003)).first()
-        if now == before:
+        # done when each node has one parent and no parent has one
+        twice = links.groupBy("a").count().filter("count > 1").limit(1)
+        if not twice.count() and not links.select("b").distinct().join(links.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count():
             break
-        before = now
+    else:
+        raise RuntimeError(f"no components after {rounds} rounds")
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
