@@ -9,10 +9,12 @@ in the corpus stays.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, components, saved
+from .common import bucketed, components, saved
 
 MAX_EDITS = 2
 #: Shorter lines are duplicates only of equal lines: two edits would join what says different things.
@@ -48,6 +50,13 @@ def probe_keys(line: Column, n: Column, edits: int) -> Column:
     return F.filter(F.array_distinct(F.array(*out)), lambda x: x.isNotNull())
 
 
+def odd_counts(line: Column) -> Column:
+    """A bit for each of 30 frequent characters: whether the line holds it an odd number of times. An edit changes two of the
+    bits at most, so lines within k edits differ in 2 k of them at most."""
+    bit = lambda i, c: F.shiftleft((F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).bitwiseAND(F.lit(1)), i)
+    return reduce(lambda a, b: a.bitwiseOR(b), [bit(i, c) for i, c in enumerate("etaoinshrdlcumwfgypbvkz ,.EIAT")])
+
+
 def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -124,10 +133,11 @@ def lines_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 def near_lines(distinct: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(a, b, edits) of distinct(id, line): pairs of lines of min_chars or more within the edits, a < b."""
-    long = distinct.withColumn("n", F.length("line")).filter(F.col("n") >= min_chars)
-    index = long.select("id", F.explode(segment_keys(F.col("line"), F.col("n"), edits)).alias("key"))
-    probe = long.select(F.col("id").alias("by"), F.explode(probe_keys(F.col("line"), F.col("n"), edits)).alias("key"))
-    pairs = probe.join(index, "key").filter("by <> id").select(F.least("by", "id").alias("a"), F.greatest("by", "id").alias("b")).distinct()
+    long = distinct.withColumn("n", F.length("line")).filter(F.col("n") >= min_chars).withColumn("odd", odd_counts(F.col("line")))
+    index = long.select("id", "odd", F.explode(segment_keys(F.col("line"), F.col("n"), edits)).alias("key"))
+    probe = long.select(F.col("id").alias("by"), F.col("odd").alias("odd_by"), F.explode(probe_keys(F.col("line"), F.col("n"), edits)).alias("key"))
+    meet = (probe["key"] == index["key"]) & (F.col("by") != F.col("id")) & (F.bit_count(F.col("odd").bitwiseXOR(F.col("odd_by"))) <= 2 * edits)
+    pairs = probe.join(index, meet).select(F.least("by", "id").alias("a"), F.greatest("by", "id").alias("b")).distinct()
     pairs = saved(pairs, "lines-pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = saved(distinct.join(ids, "id", "left_semi"), "lines-texts")
@@ -145,8 +155,10 @@ def line_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", ed
     Null and empty texts and blank lines give no rows. Lines under min_chars are near only to equal ones. Repeated rows count
     as rows of their own, in no fixed order. Null doc_ids come first. Lines are hashed to 64 bits. Other columns don't matter."""
     lines = lines_of(docs, text, doc_id).withColumn("id", F.xxhash64("line"))
-    distinct = saved(lines.groupBy("id").agg(F.first("line").alias("line")), "lines-distinct")
+    # in buckets by id, so that the texts of the few lines that meet others are found without moving all of them once more
+    distinct, name = bucketed(lines.groupBy("id").agg(F.first("line").alias("line")), "lines_distinct", "id")
     near = saved(near_lines(distinct, edits, min_chars), "lines-near")
+    docs.sparkSession.sql(f"DROP TABLE {name}")
     roots = components(near.select("a", "b"), "lines-classes")
     links = near.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     roots = saved(roots.join(links, "node"), "lines-roots")
