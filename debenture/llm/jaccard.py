@@ -14,11 +14,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, components, mix, saved, shingles, signed, slices, utf8
+from .common import Words, bucketed, components, mix, saved, shingles, signed, slices, utf8
 
 SHINGLE, THRESHOLD, TREES, DEPTH, RECALL = 5, 0.8, 24, 8, 0.999
 #: Texts and shingles of a block of a candidate group, on average.
 BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 1 << 20
+#: The column that holds xxhash64 of the id in a table in buckets.
+ID_HASH = "__id_hash"
 
 
 def recall(similarity: float, trees: int, depth: int) -> float:
@@ -217,7 +219,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     edges = nodes.join(stars.select("node", "low"), "node").filter("cls <> low").select(F.col("cls").alias("a"), F.col("low").alias("b"))
     groups = saved(components(edges, "jaccard-candidates"), "jaccard-groups").select(F.col("node").alias("cls"), "root")
     lead = classes.join(groups, "cls").select("cls", "root", F.col("copy_id").alias("lead"))
-    one = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(lead, F.col("doc_id").eqNullSafe(F.col("lead")))
+    # ids by hash, so that null is a value and a table in buckets needn't be moved; what isn't the class's text falls out in _sets
+    lead = lead.select("cls", "root", F.xxhash64("lead").alias("__lead"))
+    one = (docs if ID_HASH in docs.columns else docs.withColumn(ID_HASH, F.xxhash64(f"`{doc_id}`"))).select(ID_HASH, F.col(f"`{text}`").alias("text")).join(lead, F.col(ID_HASH) == F.col("__lead"))
     sets = saved(_sets(one).dropDuplicates(["cls"]), "jaccard-sets")
     found = saved(verified(sets, threshold), "jaccard-links")
     links = found.groupBy("cls").agg(F.sum("links").alias("n_links"))
@@ -238,9 +242,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **settings) -> DataFrame:
-    """docs with one row of each class: that of least doc_id, one of them where its id or row is repeated."""
-    c = near_duplicates(docs, text, doc_id, **settings).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
+    """docs with one row of each class: that of least doc_id, one of them where its row is repeated."""
+    # the texts are moved once, into buckets by id, and read from there for the candidates and for what stays
+    spark = docs.sparkSession
+    own, name = bucketed(docs.withColumn(ID_HASH, F.xxhash64(f"`{doc_id}`")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), ID_HASH), "jaccard_docs", ID_HASH)
+    c = near_duplicates(own, text, doc_id, **settings).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(F.xxhash64("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
     c = saved(c, "jaccard-kept")
-    out = docs.join(c.select("__id"), docs[doc_id].eqNullSafe(c["__id"]), "left_semi")
+    out = own.join(c.select("__id"), own[ID_HASH] == c["__id"], "left_semi")
     # only ids that stand on several rows of one class need the text moved once more
-    return out.dropDuplicates([doc_id]) if c.filter("__n > 1").limit(1).count() else out
+    if c.filter("__n > 1").limit(1).count():
+        out = out.withColumn("__text", F.xxhash64(f"`{text}`")).dropDuplicates([ID_HASH, "__text"])
+    out = saved(out.select(*[F.col(f"`{x}`") for x in docs.columns]), "jaccard-one")
+    spark.sql(f"DROP TABLE {name}")
+    return out

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import Words, mix, shingles, slices, utf8
 
 #: Labelled rows that a model is fitted and calibrated on at most: those of least hash. What else is labelled isn't used.
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 2000
 BINS = 1 << 14
 THRESHOLD = 0.5
 
@@ -179,16 +179,22 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str =
                     for bins, first in kinds:
                         own = bins[first[i] : first[i + 1]]
                         u, c = np.unique(own, return_counts=True)
-                        n.append(u)
+                        n.append(u.astype(np.int32))
                         v.append((c / max(1, len(own))).astype(np.float32))
                     at.append(np.concatenate(n))
                     value.append(np.concatenate(v))
             if out:
                 yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([x.tobytes() for x in at], pa.binary()), pa.array([x.tobytes() for x in value], pa.binary())], names=["h", "y", "at", "value"])
 
-    got = rows.select("__text", "__h", "__y").mapInArrow(run, "h long, y int, at binary, value binary")
-    got = sorted(got.collect(), key=lambda r: (r[0], r[2], r[3]))
-    return _train([(np.frombuffer(r[2], np.int64 if len(r[2]) == 2 * len(r[3]) else np.int32), np.frombuffer(r[3], np.float32), r[1]) for r in got], steps)
+    def train(batches):
+        got = sorted((r for b in batches for r in zip(*[c.to_pylist() for c in b.columns], strict=True)), key=lambda r: (r[0], r[2], r[3]))
+        m = _train([(np.frombuffer(at, np.int32), np.frombuffer(value, np.float32), y) for _, y, at, value in got], steps)
+        yield pa.RecordBatch.from_arrays([pa.array([m.weights.tobytes()], pa.binary()), *[pa.array([float(x)]) for x in (m.bias, m.slope, m.shift)]], names=["weights", "bias", "slope", "shift"])
+
+    # the sample is bounded, so one task can hold it; only the weights go to the driver
+    got = rows.select("__text", "__h", "__y").mapInArrow(run, "h long, y int, at binary, value binary").repartition(1)
+    r = got.mapInArrow(train, "weights binary, bias double, slope double, shift double").first()
+    return Model(np.frombuffer(r[0], np.float32), r[1], r[2], r[3]) if r else Model(bias=50.0)
 
 
 def _train(rows: list, steps: int) -> Model:
@@ -196,12 +202,13 @@ def _train(rows: list, steps: int) -> Model:
     if len(set(y.tolist())) < 2:
         return Model(bias=50.0)
     row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    at = np.concatenate([r[0] for r in rows]).astype(np.int64)
-    value = np.concatenate([r[1] for r in rows]).astype(np.float64)
+    row = row.astype(np.int32)
+    at = np.concatenate([r[0] for r in rows]).astype(np.int32)
+    value = np.concatenate([r[1] for r in rows])
     held = np.arange(len(rows)) % 5 == 4
     # the classes weigh alike; features go by their root mean square, so rare bins count as well
     scale = 1 / np.sqrt(np.bincount(at, value * value, _KINDS * BINS) / len(rows) + 1e-7)
-    value = value * scale[at]
+    value *= scale[at].astype(np.float32)
     share = y.mean()
     weight = np.where(held, 0, np.where(y > 0, 0.5 / share, 0.5 / (1 - share)))
     weight /= weight.sum()
