@@ -50,8 +50,9 @@ def _hashes(words: list[str]) -> np.ndarray:
 _UNITS, _NUMBERS = _hashes(UNITS), _hashes(NUMBER_WORDS)
 
 
-def template(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(template hash, value hash, plain) of each word."""
+def template(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(template hash, value hash, plain, opening) of each word. Opening: a plain word with a capital that begins a sentence,
+    which may be a name as well."""
     data = _LOWER[w.data]
     # capitals of two bytes: U+00C0 to U+00DE
     at = np.flatnonzero(w.data[:-1] == 0xC3) if len(w.data) else np.zeros(0, int)
@@ -89,30 +90,44 @@ def template(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         unit[0] = False
     name = big[start] & ~first & ~number & ~unit
     t = np.where(number, NUM, np.where(unit, UNIT, np.where(name, NAME, h)))
-    return t, h, ~(number | unit | name)
+    return t, h, ~(number | unit | name), big[start] & first & ~number & ~unit
 
 
-def _windows(w: Words):
-    """(place of the first word, row, hash) of windows with enough plain words, then values and plain of all words. A row of
-    fewer words than a window has none."""
-    t, value, plain = template(w)
-    n = len(t)
-    k = WINDOW
+def _windows(w: Words, every: bool):
+    """(place of the first word, row, hash, hash with openings as plain words, places read as slots) of windows with enough
+    plain words. A row of fewer words than a window has none. A window with openings is there once more with all of them as
+    names, with `every` once for each choice of them: so any reading of the one side meets one of the other's."""
+    t, value, plain, opening = template(w)
+    n, k = len(t), WINDOW
     if n < k:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.uint64), value, plain
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros((0, k), bool), value
+    factor = np.array([pow(0x9E3779B97F4A7C15, k - 1 - j, 1 << 64) for j in range(k)], np.uint64)
     roll = np.zeros(n - k + 1, np.uint64)
     for j in range(k):
-        roll = roll * np.uint64(0x9E3779B97F4A7C15) + t[j : n - k + 1 + j]
+        roll += t[j : n - k + 1 + j] * factor[j]
     row = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
     told = np.concatenate([[0], np.cumsum(plain)])
-    keep = (row[: n - k + 1] == row[k - 1 :]) & (told[k:] - told[:-k] >= PLAIN)
-    at = np.flatnonzero(keep)
-    return at, row[at], mix(roll[at]), value, plain
-
-
-def windows(rows: DataFrame, key: str, text: str, only: np.ndarray | None = None) -> DataFrame:
-    """(key, row_at, place, window, slots): slots has the value hash of each placeholder in the window and 0 for plain words.
-    `only`: sorted window hashes; others are left out."""
+    at = np.flatnonzero((row[: n - k + 1] == row[k - 1 :]) & (told[k:] - told[:-k] >= PLAIN))
+    words = at[:, None] + np.arange(k)
+    slot = ~plain[words]
+    out = [(at, mix(roll[at]), mix(roll[at]), slot)]
+    opens = opening[words]
+    shift = (NAME - t) * opening
+    choices = [np.array([m >> j & 1 for j in range(k)], bool) for m in range(1, 1 << k)] if every else [np.ones(k, bool)]
+    for choice in choices:
+        read = opens & choice
+        some = np.flatnonzero((read.sum(1) == choice.sum() if every else read.any(1)) & ((~slot & ~read).sum(1) >= PLAIN))
+        if len(some):
+            h = roll[at[some]] + (shift[words[some]] * read[some] * factor).sum(1, dtype=np.uint64)
+            out.append((at[some], mix(h), mix(roll[at[some]]), slot[some] | read[some]))
+    at, h, own, slot = (np.concatenate(x) for x in zip(*out, strict=True))
+    return at, row[at], h, own, slot, value
+
+
+def windows(rows: DataFrame, key: str, text: str, only: np.ndarray | None = None, every: bool = False) -> DataFrame:
+    """(key, row_at, place, window, own, slots): slots has the value hash of each placeholder in the window and 0 for plain
+    words; own is the window's hash with sentence-first words plain, the same for all its readings. `only`: sorted window
+    hashes; others are left out. `every`: all readings, not only the two with all sentence-first words plain or names."""
     bits = None
     if only is not None:
         bits = np.zeros(1 << 20, bool)
@@ -124,42 +139,49 @@ def windows(rows: DataFrame, key: str, text: str, only: np.ndarray | None = None
             data, offsets = utf8(batch.column(1))
             for a, b in slices(offsets):
                 w = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                at, row, h, value, plain = _windows(w)
+                at, row, h, own, slot, value = _windows(w, every)
                 if only is not None and len(h):
                     hit = np.flatnonzero(bits[(h >> np.uint64(44)).astype(np.int64)])
                     near = np.minimum(np.searchsorted(only, h[hit]), max(0, len(only) - 1))
                     hit = hit[only[near] == h[hit]] if len(only) else hit[:0]
-                    at, row, h = at[hit], row[hit], h[hit]
+                    at, row, h, own, slot = at[hit], row[hit], h[hit], own[hit], slot[hit]
                 if not len(at):
                     continue
-                slots = np.where(plain, np.uint64(0), value)[at[:, None] + np.arange(WINDOW)]
+                slots = np.where(slot, value[at[:, None] + np.arange(WINDOW)], np.uint64(0))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, slots.size + 1, WINDOW, dtype=np.int32)), pa.array(signed(np.ascontiguousarray(slots).reshape(-1))))
                 take = pa.array(row + a)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(2).take(take), pa.array(at - w.first[row]), pa.array(signed(h)), lists], names=["key", "row_at", "place", "window", "slots"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(2).take(take), pa.array(at - w.first[row]), pa.array(signed(h)), pa.array(signed(own)), lists], names=["key", "row_at", "place", "window", "own", "slots"])
 
-    return kept.mapInArrow(run, f"key {kept.schema[0].dataType.simpleString()}, row_at long, place long, window long, slots array<long>")
+    return kept.mapInArrow(run, f"key {kept.schema[0].dataType.simpleString()}, row_at long, place long, window long, own long, slots array<long>")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", item_text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, n_windows, n_found, coverage, n_slots, n_changed), a row per row of docs and item that leaks into it.
 
     An item's windows are its distinct windows of five template words of which two are plain. Items and documents with null,
-    empty or shorter texts have none and don't take part. An alignment (document place minus item place) counts if it maps each
-    slot value of the item to one value only. Repeated rows are rows of their own with one result, equal items are each told.
+    empty or shorter texts have none and don't take part. A capital at the begin of a sentence is read as a name and as a plain
+    word; a window is found if one reading is. In an alignment (document place minus item place) each slot value of the item
+    goes to the one value that most windows give it (the least of equals); windows that give it another aren't found. Repeated rows are rows of their own with one result, equal items are each told.
     Empty tables give no rows; other columns don't matter. Null ids are kept as null."""
-    item = saved(windows(benchmark.dropDuplicates([item_id, item_text]), item_id, item_text).withColumnsRenamed({"key": "item_id", "row_at": "item_at", "place": "item_place", "slots": "item_slots"}), "decontam-items")
+    item = saved(windows(benchmark.dropDuplicates([item_id, item_text]), item_id, item_text, every=True).withColumnsRenamed({"key": "item_id", "row_at": "item_at", "place": "item_place", "slots": "item_slots"}), "decontam-items")
     count = item.select("window").distinct().count()
     only = None
     if count <= FILTER_WINDOWS:
         only = np.sort(np.array([r[0] for r in item.select("window").distinct().collect()], np.int64).view(np.uint64))
-    hits = saved(windows(docs, doc_id, text, only), "decontam-hits")
-    total = item.groupBy("item_id", "item_at").agg(F.countDistinct("window").alias("n_windows"))
+    hits = saved(windows(docs, doc_id, text, only).drop("own"), "decontam-hits")
+    total = item.groupBy("item_id", "item_at").agg(F.countDistinct("own").alias("n_windows"))
     both = hits.join(item, "window").withColumn("diagonal", F.col("place") - F.col("item_place"))
     pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda x: x["item_slots"] != 0)
     way = ["key", "row_at", "item_id", "item_at"]
     # an alignment has as many windows as its item, so its sets are as small
-    lines = both.withColumn("pairs", pairs).groupBy(*way, "diagonal").agg(F.collect_set("window").alias("found"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    lines = lines.filter(F.size("pairs") == F.size(F.array_distinct("pairs.item_slots")))
+    lines = both.withColumn("pairs", pairs).groupBy(*way, "diagonal").agg(F.collect_set(F.struct("own", "item_place", "pairs")).alias("told"))
+    lines = lines.withColumn("all", F.flatten("told.pairs")).withColumn("pairs", F.array_distinct("all"))
+    often = lambda p: F.size(F.filter("all", lambda x: x == p))
+    beats = lambda q, p: (q["item_slots"] == p["item_slots"]) & (q["slots"] != p["slots"]) & ((often(q) > often(p)) | ((often(q) == often(p)) & (q["slots"] < p["slots"])))
+    chosen = F.filter("pairs", lambda p: ~F.exists("pairs", lambda q: beats(q, p)))
+    lines = lines.withColumn("pairs", F.when(F.size("pairs") == F.size(F.array_distinct("pairs.item_slots")), F.col("pairs")).otherwise(chosen))
+    found = F.array_distinct(F.transform(F.filter("told", lambda x: F.forall(x["pairs"], lambda p: F.array_contains(F.col("pairs"), p))), lambda x: x["own"]))
+    lines = lines.select(*way, found.alias("found"), "pairs")
     found = lines.groupBy(*way).agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("found")))).alias("n_found"),
         F.max(F.struct(F.size("found").alias("n"), F.size("pairs").alias("n_slots"), F.size(F.filter("pairs", lambda x: x["item_slots"] != x["slots"])).alias("n_changed"))).alias("best"),

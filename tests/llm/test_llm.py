@@ -160,6 +160,24 @@ def test_leaks(spark):
     assert {r["doc_id"] for r in decontam.without_leaks(d, b).collect()} >= {3, 4, 5, 6, 7} and decontam.leaks(d.limit(0), b).count() == 0 == decontam.leaks(d, b.limit(0)).count()
 
 
+def test_leaks_with_other_names_at_sentence_begins(spark):
+    item = "Tom has 5 apples. Tom buys 7 more apples. How many apples does Tom have now?"
+    no_middle = "Tom has 5 apples.\nTom buys 7 more pears. Where may all these apples and pears go?"
+    texts = [item, item.replace("Tom", "Ann").replace("5", "6").replace("7", "9"), "so Ann has 8 apples. Ann buys 2 more apples. how many apples does Ann have now?", no_middle.replace("Tom", "Ann"), "Tom has 5 apples. He likes his house and his dog more than all the pears that his sister may have now."]
+    d = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    b = spark.createDataFrame([(10, item), (11, no_middle)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in decontam.leaks(d, b).collect()}
+    assert set(got) == {(0, 10), (1, 10), (2, 10), (3, 11)} and all(r["coverage"] == 1 for r in got.values())
+    assert got[0, 10]["n_changed"] == 0 and got[1, 10]["n_changed"] == 3 and got[3, 11]["n_changed"] == 1
+
+
+def test_leaks_lose_only_the_windows_that_conflict(spark):
+    item = "a farmer keeps 12 hens in a barn and another farmer by the river keeps 12 geese in a pond while their old father has nothing but a small dog and a cat who sleep all day long near the warm stove in his kitchen"
+    other = item.replace("12", "15", 1).replace("12 geese", "30 geese")
+    got = decontam.leaks(spark.createDataFrame([(1, other)], "doc_id long, text string"), spark.createDataFrame([(10, item)], "item_id long, text string")).collect()
+    assert [(r["n_windows"] - r["n_found"], r["n_slots"], r["n_changed"]) for r in got] == [(4, 1, 1)]  # the first 12 is in four windows, the second in five
+
+
 # --- tokens ---------------------------------------------------------------------------------------------------------
 
 ODD = ["", "a  b\n\n c\t d <|endoftext|> x", " lead", "trail ", "x\xa0y z", "it's 5kg's, don't... ((x)) é²½ a1b2,,\n\n z's", "\n\n\n a", "  ", "é é 日本 語", "“q” — x", "a\x1cb c", "o.k., end."]
