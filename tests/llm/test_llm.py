@@ -141,6 +141,51 @@ def test_repeats(docs):
     assert substring.repeats(docs.limit(0)).count() == 0
 
 
+def test_exact_passages_are_found_and_marked_to_their_ends(spark):
+    rng, texts, want = random.Random(11), [], {}
+    for n in [28, 30, 31, 35, 40, 45, 48, 51, 60, 80, 120] * 3:
+        p = words(rng, n)
+        for copy in range(2):
+            want[len(texts)] = n * copy
+            texts.append(" ".join(words(rng, rng.randint(5, 60)) + p + words(rng, rng.randint(5, 60))))
+    got = {r["doc_id"]: r for r in substring.repeats(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()}
+    assert {i: r["removed_words"] for i, r in got.items()} == want
+
+
+def test_short_paragraphs_are_found_whole(spark):
+    rng, texts, want = random.Random(12), [], {}
+    for n in range(10, 49):
+        p = " ".join(words(rng, n))
+        for copy in range(2):
+            want[len(texts)] = n * copy
+            texts.append("\n".join([" ".join(words(rng, 12)), p, " ".join(words(rng, 12))]))
+    got = {r["doc_id"]: r for r in substring.repeats(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()}
+    assert {i: r["removed_words"] for i, r in got.items()} == want
+
+
+def test_near_paragraphs_against_brute_force(spark):
+    rng, lines = random.Random(13), []
+    for n in [12, 30, 45, 60, 60, 60, 100, 100, 150, 200] * 6:
+        w = words(rng, n)
+        lines.append(w)
+        for _ in range(2):
+            x = list(w)
+            for _ in range(rng.randint(1, 4)):
+                x[rng.choice([0, n // 2, n - 1, rng.randrange(n)])] = words(rng, 1)[0]
+            lines.append(x)
+    lines = [" ".join(w) for w in lines]
+    sets = [shingle_set(x) for x in lines]
+    links = [(i, j) for i in range(len(lines)) for j in range(i) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8]
+    got = {r["doc_id"]: r["cluster"] for r in substring.near_paragraphs(spark.createDataFrame([*enumerate(lines)], "doc_id long, text string")).collect()}
+    together = sum(i in got and got[i] == got.get(j) for i, j in links)
+    assert len(links) > 50 and together >= 0.97 * len(links)
+    groups = {}
+    for i, c in got.items():
+        groups.setdefault(c, set()).add(i)
+    want = [set(g) for g in components(range(len(lines)), links)]
+    assert all(any(g <= x for x in want) for g in groups.values())
+
+
 # --- leaks ----------------------------------------------------------------------------------------------------------
 
 
