@@ -1,8 +1,8 @@
-"""Near-duplicate join on word shingles: a forest of MinHash prefix tries, then exact verification.
+"""Near-duplicate join on word shingles: fixed MinHash banding, then exact verification.
 
-Every text has `trees` signatures of `depth` minima each; a tree's sorted signatures are a trie, whose nodes at a depth are the
-groups of texts that share a prefix. Prefixes are shortened, from the full depth on, until a pair at the threshold shares one
-in some tree with the target recall. Texts that share a node are joined into candidate groups by stars, not by pairs, and a
+Every text has `trees` keys of as many minima each as prefix_depth allows for the threshold and the target recall. That depth
+comes from the bound, before any data is seen: no forest of sorted signatures is built, no prefix is shortened by the data.
+Texts that share a node are joined into candidate groups by stars, not by pairs, and a
 group is verified exactly, block against block: a task holds two blocks and returns, per text, its number of links and one
 link to its part of the block, never the pairs. Equal texts are one class throughout.
 """
