@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -17,34 +18,94 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
 
 
+#: Folders that `saved` has written in this driver and that are still there, oldest first.
+_written: list[str] = []
+#: Spark then removes the shuffle files of a query as it ends; what is saved here is never read from them again.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none (tests)."""
+    """The folder that driver and executors share. Where the session names none, a local Spark takes a temporary one; a
+    cluster is refused, as its machines don't see each other's folders."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.conf.get("spark.master", "").split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="debenture-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
+@contextmanager
+def _cleaning(spark: SparkSession):
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it again: executors may go, no stage above runs twice."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    # the shuffle files behind it are of no more use, but Spark removes them only as the driver's garbage is collected
-    spark.sparkContext._jvm.java.lang.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    with _cleaning(spark):
+        df.write.parquet(path)
+    _written.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Empties the folders of what `saved` returned; nothing that is still to run may read them."""
+    for df in frames:
+        _empty(df.sparkSession, df.saved_at)
+
+
+def _empty(spark: SparkSession, path: str) -> None:
+    # an empty table in their place: any file system that Spark writes to can do that
+    spark.range(0).write.mode("overwrite").parquet(path)
+    _written.remove(path)
+
+
+def working_files() -> int:
+    """A mark: how many folders are there now."""
+    return len(_written)
+
+
+def discard_since(mark: int, keep: DataFrame) -> None:
+    """Empties all that was written since the mark but `keep`."""
+    for path in [p for p in _written[mark:] if p != keep.saved_at]:
+        _empty(keep.sparkSession, path)
 
 
-def bucketed(df: DataFrame, name: str, key: str) -> tuple[DataFrame, str]:
-    """df as an external table in the shared folder, in buckets by key, and the table's name, to be dropped after use (the
-    files stay)."""
+@contextmanager
+def bucketed(df: DataFrame, name: str, key: str):
+    """df as a table in the shared folder, in buckets by key, within the block; then the table goes, its files too."""
     spark = df.sparkSession
     name = f"debenture_{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    df.write.bucketBy(buckets, key).option("path", f"{shared_dir(spark)}/{name}").format("parquet").saveAsTable(name)
-    spark.sparkContext._jvm.java.lang.System.gc()
-    return spark.table(name), name
+    with _cleaning(spark):
+        df.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+        spark.range(0).write.mode("overwrite").parquet(path)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of df has, whatever its case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def key_of(df: DataFrame, *skip: str):
@@ -189,7 +250,8 @@ def components(edges: DataFrame, name: str, rounds: int = 40) -> DataFrame:
         # small star: a node and its lesser neighbours go to the least of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        links = saved(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), f"{name}-star")
+        before, links = links, saved(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), f"{name}-star")
+        discard(before)
         # done when each node has one parent and no parent has one
         twice = links.groupBy("a").count().filter("count > 1").limit(1)
         if not twice.count() and not links.select("b").distinct().join(links.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count():

@@ -14,13 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bucketed, components, mix, saved, shingles, signed, slices, utf8
+from .common import Words, bucketed, components, discard, fresh, mix, saved, shingles, signed, slices, utf8
 
 SHINGLE, THRESHOLD, TREES, DEPTH, RECALL = 5, 0.8, 24, 8, 0.999
 #: Texts and shingles of a block of a candidate group, on average.
 BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 1 << 20
-#: The column that holds xxhash64 of the id in a table in buckets.
-ID_HASH = "__id_hash"
 
 
 def recall(similarity: float, trees: int, depth: int) -> float:
@@ -201,7 +199,7 @@ def verified(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return d.mapInArrow(run, "cls long, links long, to long")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, target: float = RECALL) -> DataFrame:
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, target: float = RECALL, id_hash: str | None = None) -> DataFrame:
     """(doc_id, class_id, copy_id, n_copies, n_links), a row per row of docs. copy_id: least doc_id with the same words in the
     same order, n_copies: rows with them; n_links: other such texts with a Jaccard similarity of their sets of shingles (five
     words; a shorter text is one shingle) at the threshold or above; class_id: least doc_id of the component of these links.
@@ -220,8 +218,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     groups = saved(components(edges, "jaccard-candidates"), "jaccard-groups").select(F.col("node").alias("cls"), "root")
     lead = classes.join(groups, "cls").select("cls", "root", F.col("copy_id").alias("lead"))
     # ids by hash, so that null is a value and a table in buckets needn't be moved; what isn't the class's text falls out in _sets
-    lead = lead.select("cls", "root", F.xxhash64("lead").alias("__lead"))
-    one = (docs if ID_HASH in docs.columns else docs.withColumn(ID_HASH, F.xxhash64(f"`{doc_id}`"))).select(ID_HASH, F.col(f"`{text}`").alias("text")).join(lead, F.col(ID_HASH) == F.col("__lead"))
+    lead = lead.select("cls", "root", F.xxhash64("lead").alias("lead"))
+    one = docs.select(F.col(f"`{id_hash}`").alias("at") if id_hash else F.xxhash64(f"`{doc_id}`").alias("at"), F.col(f"`{text}`").alias("text")).join(lead, F.col("at") == F.col("lead"))
     sets = saved(_sets(one).dropDuplicates(["cls"]), "jaccard-sets")
     found = saved(verified(sets, threshold), "jaccard-links")
     links = found.groupBy("cls").agg(F.sum("links").alias("n_links"))
@@ -242,16 +240,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **settings) -> DataFrame:
-    """docs with one row of each class: that of least doc_id, one of them where its row is repeated."""
+    """docs with one row of each class: that of least doc_id, one of them where its row is repeated. Rows without words and rows
+    whose class has a null id are classes of their own and stay, equal ones once. Columns may have any names."""
     # the texts are moved once, into buckets by id, and read from there for the candidates and for what stays
     spark = docs.sparkSession
-    own, name = bucketed(docs.withColumn(ID_HASH, F.xxhash64(f"`{doc_id}`")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), ID_HASH), "jaccard_docs", ID_HASH)
-    c = near_duplicates(own, text, doc_id, **settings).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(F.xxhash64("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
-    c = saved(c, "jaccard-kept")
-    out = own.join(c.select("__id"), own[ID_HASH] == c["__id"], "left_semi")
-    # only ids that stand on several rows of one class need the text moved once more
-    if c.filter("__n > 1").limit(1).count():
-        out = out.withColumn("__text", F.xxhash64(f"`{text}`")).dropDuplicates([ID_HASH, "__text"])
-    out = saved(out.select(*[F.col(f"`{x}`") for x in docs.columns]), "jaccard-one")
-    spark.sql(f"DROP TABLE {name}")
+    id_hash, own_text, kept_id, many = fresh(docs, "id_hash", "own_text", "kept_id", "many")
+    dealt = docs.withColumn(id_hash, F.xxhash64(f"`{doc_id}`")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), id_hash)
+    with bucketed(dealt, "jaccard_docs", id_hash) as own:
+        c = near_duplicates(own, text, doc_id, id_hash=id_hash, **settings).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(F.xxhash64("doc_id").alias(kept_id)).agg(F.count("*").alias(many))
+        c = saved(c, "jaccard-kept")
+        out = own.join(c.select(kept_id), F.col(id_hash) == F.col(kept_id), "left_semi")
+        # only ids that stand on several rows of one class need the text moved once more
+        if c.filter(F.col(many) > 1).limit(1).count():
+            out = out.withColumn(own_text, F.xxhash64(f"`{text}`")).dropDuplicates([id_hash, own_text])
+        out = saved(out.select(*[F.col(f"`{x}`") for x in docs.columns]), "jaccard-one")
+    discard(c)
     return out

@@ -1,10 +1,11 @@
 """Near-duplicate lines by a segment-partition edit join. DataFrame functions only.
 
-Distinct lines are cut into max_edits + 1 segments; two lines within max_edits edits share one of them, at a place that the
-lengths and the segment's number narrow down. So each line looks up a dozen substrings among the segments of lines up to
-max_edits shorter. Pairs that meet are verified by edit distance, bit-parallel in a band of 2 * max_edits + 1 diagonals over
-what is left between their common prefix and suffix. Linked lines are clustered by components; of each cluster the first line
-in the corpus stays.
+How many edits two lines may be apart grows with the shorter one's length. Distinct lines are cut into that many segments and
+one more; two lines within so many edits share one of them, at a place that the lengths and the segment's number narrow down.
+So each line looks up substrings of itself among the segments of lines that are as long or a few characters shorter. Lines that meet
+others are compared by the parities of their character counts, which rules most of them out, and the rest are verified by edit
+distance, bit-parallel in a band of 2 * edits + 1 diagonals over what is left between their common prefix and suffix. Linked
+lines are clustered by components; of each cluster the first line in the corpus stays.
 """
 
 from __future__ import annotations
@@ -14,47 +15,68 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucketed, components, saved
+from .common import bucketed, components, discard, fresh, saved
 
-MAX_EDITS = 2
-#: Shorter lines are duplicates only of equal lines: two edits would join what says different things.
-MIN_CHARS = 20
+#: (characters, edits): lines of so many characters or more may be so many edits apart, counted by the shorter line. One edit in
+#: fewer than eight characters joins what says different things; such lines are duplicates of equal ones only.
+EDITS = ((8, 1), (20, 2), (60, 3), (120, 4))
+#: Lookups are dealt out over so many rounds, so that their rows needn't lie on disk all at once.
+ROUNDS = 2
+#: Lines with one segment in common that one task compares another line with at most; more are dealt out over several.
+HOT = 256
 
+Steps = tuple[tuple[int, int], ...]
 
-def _part(n: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """(begin from 1, length) of segment i (from 0) of a line of n characters; the last n % parts are one longer."""
-    base, more = F.floor(n / parts), n % parts
-    late = F.greatest(F.lit(0), F.lit(i) - (parts - more))
-    return (base * i + late + 1).cast("int"), (base + F.when(F.lit(i) >= parts - more, 1).otherwise(0)).cast("int")
 
+def edits_of(n: int, steps: Steps = EDITS) -> int:
+    return max([e for least, e in steps if n >= least], default=0)
 
-def segment_keys(line: Column, n: Column, edits: int) -> Column:
-    """Keys under which a line can be found."""
-    parts = edits + 1
-    return F.array(*[F.xxhash64(n.cast("int"), F.lit(i), F.substring(line, *_part(n, i, parts))) for i in range(parts)])
 
+def allowed(n: Column, steps: Steps = EDITS) -> Column:
+    """edits_of as a column."""
+    return reduce(lambda acc, x: F.when(n >= x[0], x[1]).otherwise(acc), sorted(steps), F.lit(0))
 
-def probe_keys(line: Column, n: Column, edits: int) -> Column:
-    """Keys of lines up to `edits` shorter that may be near: of each segment the begins that hold if the edits before it and
-    behind it are within reach of its number from either side."""
-    parts, out = edits + 1, []
-    for delta in range(edits + 1):
-        short = n - delta
-        for i in range(parts):
-            begin, length = _part(short, i, parts)
-            low, high = max(-i, delta - (edits - i)), min(i, delta + (edits - i))
-            for shift in range(low, high + 1):
-                at = begin + shift
-                inside = (at >= 1) & (at + length - 1 <= n) & (short >= 1)
-                out.append(F.when(inside, F.xxhash64(short.cast("int"), F.lit(i), F.substring(line, at, length))))
-    return F.filter(F.array_distinct(F.array(*out)), lambda x: x.isNotNull())
 
+def lookups(n: int, steps: Steps = EDITS) -> list[tuple[int, int, int, int]]:
+    """(characters shorter, parts, segment, shift) of the substrings that a line of n characters looks up: of each segment the begins
+    that hold if the edits before it and behind it are within reach of its number from either side."""
+    out = []
+    for less in range(min(n, max(e for _, e in steps)) + 1):
+        edits = edits_of(n - less, steps)
+        if edits and less <= edits:
+            out += [(less, edits + 1, i, shift) for i in range(edits + 1) for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)]
+    return out
 
-def odd_counts(line: Column) -> Column:
-    """A bit for each of 30 frequent characters: whether the line holds it an odd number of times. An edit changes two of the
-    bits at most, so lines within k edits differ in 2 k of them at most."""
-    bit = lambda i, c: F.shiftleft((F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).bitwiseAND(F.lit(1)), i)
-    return reduce(lambda a, b: a.bitwiseOR(b), [bit(i, c) for i, c in enumerate("etaoinshrdlcumwfgypbvkz ,.EIAT")])
+
+def keyed(lines: DataFrame, probe: bool, steps: Steps = EDITS, part: int = 0, parts: int = 1) -> DataFrame:
+    """(key, id, own) of lines(id, line, n): the keys under which a line can be found, or those that it looks up (own: it can be
+    found under it), as far as they belong to a part of the rounds."""
+    kinds, before = [], None
+    for n in range(max(least + e for least, e in steps) + 1):
+        now = [x for x in lookups(n, steps) if (probe and x[0] % parts == part) or (not probe and x[0] == x[3] == 0)]
+        if now != before:
+            kinds.append((n, now))
+            before = now
+    entry = "array<struct<less: int, parts: int, i: int, shift: int>>"
+    lists = [(n, F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(("less", "parts", "i", "shift"), x, strict=True)]) for x in now]) if now else F.array().cast(entry)) for n, now in kinds]
+    every = reduce(lambda acc, x: F.when(F.col("n") >= x[0], x[1]).otherwise(acc), lists[1:], lists[0][1])
+    # four bytes a character, so that a substring needn't count characters from the line's begin
+    d = lines.select("id", "n", F.encode("line", "UTF-32").alias("wide"), every.alias("e")).select("id", "n", "wide", F.explode("e").alias("e")).select("id", "n", "wide", "e.*")
+    d = d.withColumn("short", F.col("n") - F.col("less")).withColumns({"base": F.expr("int(short div parts)"), "late": F.expr("i - parts + short % parts")})
+    # the last short % parts segments are one character longer
+    d = d.withColumns({"at": F.expr("base * i + greatest(0, late) + 1 + shift"), "size": F.expr("base + int(late >= 0)")})
+    d = d.filter("at >= 1 and at + size - 1 <= n")
+    return d.select(F.xxhash64("short", "i", F.expr("substring(wide, 4 * at - 3, 4 * size)")).alias("key"), "id", F.expr("less = 0 and shift = 0").alias("own"))
+
+
+def letter_counts(line: Column) -> Column:
+    """How often the line holds each of 30 frequent characters. An edit changes two of the numbers at most, by one."""
+    return F.array(*[F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in "etaoinshrdlcumwfgypbvkz ,.EIAT"])
+
+
+def odd_bits(counts: Column) -> Column:
+    """A bit for each of the counts that is odd: lines within k edits differ in 2 k of them at most."""
+    return F.aggregate(counts, F.lit(0), lambda acc, x: acc * 2 + x % 2)
 
 
 def _let(value: Column, body) -> Column:
@@ -62,10 +84,14 @@ def _let(value: Column, body) -> Column:
 
 
 def common_prefix(a: Column, b: Column) -> Column:
-    """Its length: by halving steps from 2^20, each a comparison of substrings."""
+    """Its length: by halving steps from 2^20, each a comparison of the next stretch of both."""
     steps = F.array(*[F.lit(1 << k) for k in range(20, -1, -1)])
-    fits = lambda n: (F.substring(a, F.lit(1), n) == F.substring(b, F.lit(1), n)) & (n <= F.least(F.length(a), F.length(b)))
-    return F.aggregate(steps, F.lit(0), lambda acc, x: F.when(fits(acc + x), acc + x).otherwise(acc))
+
+    def prefix(s: Column) -> Column:
+        fits = lambda n, x: (n + x <= s["most"]) & (F.substring(s["a"], n + 1, x) == F.substring(s["b"], n + 1, x))
+        return F.aggregate(steps, F.lit(0), lambda n, x: F.when(fits(n, x), n + x).otherwise(n))
+
+    return _let(F.struct(a.alias("a"), b.alias("b"), F.least(F.length(a), F.length(b)).alias("most")), prefix)
 
 
 def banded_distance(a: Column, b: Column, edits: int) -> Column:
@@ -73,56 +99,67 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     row j - edits + k; the vertical differences move down one row with each character of b."""
     width = 2 * edits + 1
     full, top = (1 << width) - 1, 1 << (width - 1)
-    m, n = F.length(a), F.length(b)
-    x, y = F.split(a, ""), F.split(b, "")
     one = lambda c: F.when(c, F.lit(1)).otherwise(F.lit(0)).cast("long")
 
-    def step(s: Column, j: Column) -> Column:
-        match = F.lit(0).cast("long")
-        for k in range(width):
-            same = (j - edits + k >= 0) & (j - edits + k < m) & (F.get(x, j - edits + k) == F.get(y, j))
-            match = match.bitwiseOR(F.when(same, F.lit(1 << k)).otherwise(F.lit(0)).cast("long"))
-
-        def with_match(pm: Column) -> Column:
-            vp, vn = s["vp"], s["vn"]
-            diagonal = ((pm.bitwiseAND(vp) + vp).bitwiseXOR(vp)).bitwiseOR(pm).bitwiseOR(vn).bitwiseAND(F.lit(full))
-
-            def with_diagonal(d: Column) -> Column:
-                hp = vn.bitwiseOR(d.bitwiseOR(vp).bitwiseXOR(F.lit(full)))
-                hn = d.bitwiseAND(vp)
-                down = F.shiftright(d, 1)
-                in_body = j < m - edits
-                change = F.when(in_body, one(d.bitwiseAND(F.lit(top)) == 0)).otherwise(one(hp.bitwiseAND(s["last"]) != 0) - one(hn.bitwiseAND(s["last"]) != 0))
-                return F.struct(
-                    hn.bitwiseOR(down.bitwiseOR(hp).bitwiseXOR(F.lit(full))).bitwiseAND(F.lit(full)).alias("vp"),
-                    down.bitwiseAND(hp).alias("vn"),
-                    (s["d"] + change).alias("d"),
-                    F.when(in_body, s["last"]).otherwise(F.shiftright(s["last"], 1)).alias("last"),
-                )
-
-            return _let(diagonal, with_diagonal)
-
-        return _let(match, with_match)
-
-    begin = F.struct(
-        F.lit(full ^ ((1 << edits) - 1)).cast("long").alias("vp"),
-        F.lit(0).cast("long").alias("vn"),
-        # the first row that is followed is row min(edits, m)
-        F.least(m, F.lit(edits)).cast("long").alias("d"),
-        F.when(m >= edits, F.lit(top >> 1)).otherwise(F.element_at(F.array(*[F.lit(max(1, top >> 1 >> (edits - r))) for r in range(edits + 1)]), (F.least(m, F.lit(edits)) + 1).cast("int"))).cast("long").alias("last"),
-    )
-    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.when(F.abs(m - n) > edits, F.lit(edits + 1)).when((m == 0) | (n == 0), F.greatest(m, n)).otherwise(F.aggregate(places, begin, step, lambda s: s["d"])).cast("long")
+    # what a lambda uses again and again is bound by _let, as it would be worked out each time
+    def distance(given: Column) -> Column:
+        x, y, m, n = (given[c] for c in "xymn")
+
+        def step(s: Column, j: Column) -> Column:
+            def with_character(c: Column) -> Column:
+                match = F.lit(0).cast("long")
+                for k in range(width):
+                    at = j - edits + k
+                    match = match.bitwiseOR(F.when((at >= 0) & (at < m) & (F.get(x, at) == c), F.lit(1 << k)).otherwise(F.lit(0)).cast("long"))
+                return match
+
+            def with_match(pm: Column) -> Column:
+                vp, vn = s["vp"], s["vn"]
+                diagonal = ((pm.bitwiseAND(vp) + vp).bitwiseXOR(vp)).bitwiseOR(pm).bitwiseOR(vn).bitwiseAND(F.lit(full))
+
+                def with_diagonal(d: Column) -> Column:
+                    hp = vn.bitwiseOR(d.bitwiseOR(vp).bitwiseXOR(F.lit(full)))
+                    hn = d.bitwiseAND(vp)
+                    down = F.shiftright(d, 1)
+                    in_body = j < m - edits
+                    change = F.when(in_body, one(d.bitwiseAND(F.lit(top)) == 0)).otherwise(one(hp.bitwiseAND(s["last"]) != 0) - one(hn.bitwiseAND(s["last"]) != 0))
+                    return F.struct(
+                        hn.bitwiseOR(down.bitwiseOR(hp).bitwiseXOR(F.lit(full))).bitwiseAND(F.lit(full)).alias("vp"),
+                        down.bitwiseAND(hp).alias("vn"),
+                        (s["d"] + change).alias("d"),
+                        F.when(in_body, s["last"]).otherwise(F.shiftright(s["last"], 1)).alias("last"),
+                    )
+
+                return _let(diagonal, with_diagonal)
+
+            return _let(_let(F.get(y, j), with_character), with_match)
+
+        begin = F.struct(
+            F.lit(full ^ ((1 << edits) - 1)).cast("long").alias("vp"),
+            F.lit(0).cast("long").alias("vn"),
+            # the first row that is followed is row min(edits, m)
+            F.least(m, F.lit(edits)).cast("long").alias("d"),
+            F.when(m >= edits, F.lit(top >> 1)).otherwise(F.element_at(F.array(*[F.lit(max(1, top >> 1 >> (edits - r))) for r in range(edits + 1)]), (F.least(m, F.lit(edits)) + 1).cast("int"))).cast("long").alias("last"),
+        )
+        places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        return F.when(F.abs(m - n) > edits, F.lit(edits + 1)).when((m == 0) | (n == 0), F.greatest(m, n)).otherwise(F.aggregate(places, begin, step, lambda s: s["d"])).cast("long")
+
+    return _let(F.struct(F.split(a, "").alias("x"), F.split(b, "").alias("y"), F.length(a).alias("m"), F.length(b).alias("n")), distance)
+
+
+def line_distance(a: Column, b: Column, edits: int) -> Column:
+    """banded_distance without the common prefix and suffix."""
+    def behind(s: Column) -> Column:
+        u, v = F.substring(s["a"], s["p"] + 1, F.length(s["a"])), F.substring(s["b"], s["p"] + 1, F.length(s["b"]))
+        return _let(F.struct(u.alias("u"), v.alias("v")), before)
 
+    def before(t: Column) -> Column:
+        return _let(F.struct(t["u"].alias("u"), t["v"].alias("v"), common_prefix(F.reverse(t["u"]), F.reverse(t["v"])).alias("q")), rest)
 
-def line_distance(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
-    """banded_distance without the common prefix and suffix."""
-    def rest(s: Column) -> Column:
-        p, u, v = s["p"], s["a"], s["b"]
-        u, v = F.substring(u, p + 1, F.length(u)), F.substring(v, p + 1, F.length(v))
-        return _let(F.struct(u.alias("u"), v.alias("v"), common_prefix(F.reverse(u), F.reverse(v)).alias("q")), lambda t: banded_distance(F.substring(t["u"], F.lit(1), F.length(t["u"]) - t["q"]), F.substring(t["v"], F.lit(1), F.length(t["v"]) - t["q"]), edits))
+    def rest(t: Column) -> Column:
+        return banded_distance(F.substring(t["u"], F.lit(1), F.length(t["u"]) - t["q"]), F.substring(t["v"], F.lit(1), F.length(t["v"]) - t["q"]), edits)
 
-    return _let(F.struct(a.alias("a"), b.alias("b"), common_prefix(a, b).alias("p")), rest)
+    return _let(F.struct(a.alias("a"), b.alias("b"), common_prefix(a, b).alias("p")), behind)
 
 
 def lines_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -131,40 +168,57 @@ def lines_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     return d.filter(F.regexp_like("line", F.lit(r"[^\x20\x09-\x0D]")))
 
 
-def near_lines(distinct: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(a, b, edits) of distinct(id, line): pairs of lines of min_chars or more within the edits, a < b."""
-    long = distinct.withColumn("n", F.length("line")).filter(F.col("n") >= min_chars).withColumn("odd", odd_counts(F.col("line")))
-    index = long.select("id", "odd", F.explode(segment_keys(F.col("line"), F.col("n"), edits)).alias("key"))
-    probe = long.select(F.col("id").alias("by"), F.col("odd").alias("odd_by"), F.explode(probe_keys(F.col("line"), F.col("n"), edits)).alias("key"))
-    meet = (probe["key"] == index["key"]) & (F.col("by") != F.col("id")) & (F.bit_count(F.col("odd").bitwiseXOR(F.col("odd_by"))) <= 2 * edits)
-    pairs = probe.join(index, meet).select(F.least("by", "id").alias("a"), F.greatest("by", "id").alias("b")).distinct()
-    pairs = saved(pairs, "lines-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = saved(distinct.join(ids, "id", "left_semi"), "lines-texts")
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("u")), "a").join(texts.select(F.col("id").alias("b"), F.col("line").alias("v")), "b")
-    # a cheap bound first: most pairs that meet are far apart
-    near = both.filter(F.levenshtein("u", "v", edits) >= 0)
-    return near.select("a", "b", line_distance(F.col("u"), F.col("v"), edits).alias("edits")).filter(F.col("edits") <= edits)
-
-
-def line_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def near_lines(distinct: DataFrame, steps: Steps = EDITS) -> DataFrame:
+    """(a, b, edits) of distinct(id, line): pairs of lines within the edits that their lengths allow, a < b."""
+    lines = distinct.select("id", "line", F.length("line").alias("n"))
+    index = keyed(lines, False, steps).groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("many"))
+    parts = []
+    with bucketed(index, "lines_index", "key") as index:
+        for part in range(ROUNDS):
+            # a row per line and key that another line has as well; the index has each key once, so its side fits a hash table
+            probe = keyed(lines, True, steps, part, ROUNDS)
+            met = probe.join(index.hint("shuffle_hash"), "key").filter("not (low = id and high = id)")
+            parts.append(saved(met.select("key", "id", "own", "low", "many"), "lines-met"))
+    met = reduce(DataFrame.unionByName, parts)
+    ids = met.select("id").unionByName(met.filter("many = 1").select(F.col("low").alias("id"))).distinct()
+    texts = saved(distinct.join(ids, "id", "left_semi").withColumn("counts", letter_counts(F.col("line"))).withColumns({"odd": odd_bits(F.col("counts")), "most": allowed(F.length("line"), steps)}), "lines-texts")
+    odd = texts.select("id", "odd", "most")
+    by = met.join(odd, "id")
+    one = odd.select(F.col("id").alias("low"), F.col("odd").alias("odd2"), F.col("most").alias("most2"))
+    alone = by.filter("many = 1").join(one, "low").select("id", F.col("low").alias("to"), "odd", "odd2", "most", "most2")
+    # lines that share a segment with many: those that can be found are dealt out, those that look for them go to all
+    many = by.filter("many > 1").withColumn("deals", F.ceil(F.col("many") / HOT).cast("int"))
+    held = many.filter("own").select("key", F.pmod(F.xxhash64("id"), F.col("deals")).cast("int").alias("deal"), F.col("id").alias("to"), F.col("odd").alias("odd2"), F.col("most").alias("most2"))
+    looking = many.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).select("key", "deal", "id", "odd", "most")
+    reach = lambda d: d.filter("id <> to and bit_count(odd ^ odd2) <= 2 * least(most, most2)").select(F.least("id", "to").alias("a"), F.greatest("id", "to").alias("b"))
+    pairs = saved(reach(alone).unionByName(reach(looking.join(held, ["key", "deal"]))).distinct(), "lines-pairs")
+    side = lambda name, *to: texts.select(F.col("id").alias(name), *[F.col(c).alias(x) for c, x in zip(("line", "counts", "most"), to, strict=True)])
+    both = pairs.join(side("a", "u", "c", "most"), "a").join(side("b", "v", "c2", "most2"), "b").withColumn("most", F.least("most", "most2"))
+    apart = F.aggregate(F.zip_with("c", "c2", lambda x, y: F.abs(x - y)), F.lit(0), lambda acc, x: acc + x)
+    near = both.filter(apart <= 2 * F.col("most")).select("a", "b", line_distance(F.col("u"), F.col("v"), max(e for _, e in steps)).alias("edits"), "most")
+    near = saved(near.filter("edits <= most").select("a", "b", "edits"), "lines-near")
+    discard(*parts, texts, pairs)
+    return near
+
+
+def line_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", steps: Steps = EDITS) -> DataFrame:
     """(doc_id, row_at, n, cls, n_links, exact, kept), a row per line with a word: cls is its cluster of equal and near lines,
     n_links the number of other texts within the edits, `exact` says that an equal line stands earlier in the corpus (least
     doc_id, row, n), `kept` that none of its cluster does.
 
-    Null and empty texts and blank lines give no rows. Lines under min_chars are near only to equal ones. Repeated rows count
+    Null and empty texts and blank lines give no rows. Lines of fewer characters than the first step are near only to equal ones. Repeated rows count
     as rows of their own, in no fixed order. Null doc_ids come first. Lines are hashed to 64 bits. Other columns don't matter."""
     lines = lines_of(docs, text, doc_id).withColumn("id", F.xxhash64("line"))
     # in buckets by id, so that the texts of the few lines that meet others are found without moving all of them once more
-    distinct, name = bucketed(lines.groupBy("id").agg(F.first("line").alias("line")), "lines_distinct", "id")
-    near = saved(near_lines(distinct, edits, min_chars), "lines-near")
-    docs.sparkSession.sql(f"DROP TABLE {name}")
+    with bucketed(lines.groupBy("id").agg(F.first("line").alias("line")), "lines_distinct", "id") as distinct:
+        near = near_lines(distinct, steps)
     roots = components(near.select("a", "b"), "lines-classes")
     links = near.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     roots = saved(roots.join(links, "node"), "lines-roots")
     at = lines.select("doc_id", "row_at", "n", "id")
     at = at.join(roots, at["id"] == roots["node"], "left").select("doc_id", "row_at", "n", "id", F.coalesce("root", "id").alias("cls"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     at = saved(at, "lines-at")
+    discard(near, roots)
     place = F.struct("doc_id", "row_at", "n")
     own = at.groupBy("id").agg(F.min(place).alias("own"), F.count("*").alias("many"), F.first("cls").alias("c"))
     heads = own.groupBy("c").agg(F.min("own").alias("head"), F.sum("many").alias("size")).filter("size > 1")
@@ -188,8 +242,10 @@ def per_document(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **
 
 
 def without_duplicate_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **settings) -> DataFrame:
-    """docs whose text has lost the lines that `per_document` drops; what has none stays as it is."""
-    gone = per_document(docs, text, doc_id, **settings).filter(F.size("dropped") > 0).select(F.col("row_at").alias("__at"), F.col("dropped").alias("__gone")).dropDuplicates(["__at"])
-    out = docs.withColumn("__row", F.xxhash64(f"`{doc_id}`", f"`{text}`")).join(gone, F.col("__row") == F.col("__at"), "left")
-    rest = F.filter(F.transform(F.split(F.col(f"`{text}`"), "\n", -1), lambda x, i: F.when(~F.array_contains("__gone", i), x)), lambda x: x.isNotNull())
-    return out.withColumn(text, F.when(F.col("__gone").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(rest, "\n"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """docs whose text has lost the lines that `per_document` drops; what has none stays as it is: null, empty and blank texts
+    too. Rows of equal id and text are given the same lines to lose. Columns may have any names."""
+    at, row, lost = fresh(docs, "at", "row", "lost")
+    gone = per_document(docs, text, doc_id, **settings).filter(F.size("dropped") > 0).select(F.col("row_at").alias(at), F.col("dropped").alias(lost)).dropDuplicates([at])
+    out = docs.withColumn(row, F.xxhash64(f"`{doc_id}`", f"`{text}`")).join(gone, F.col(row) == F.col(at), "left")
+    rest = F.filter(F.transform(F.split(F.col(f"`{text}`"), "\n", -1), lambda x, i: F.when(~F.array_contains(lost, i), x)), lambda x: x.isNotNull())
+    return out.withColumn(text, F.when(F.col(lost).isNull(), F.col(f"`{text}`")).otherwise(F.array_join(rest, "\n"))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -150,12 +150,18 @@ WITH RECURSIVE p AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n FROM documents
 ), lines AS (SELECT * FROM p WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), u AS (SELECT line, length(line) AS n, row_number() OVER () AS id FROM (SELECT DISTINCT line FROM lines)
+), e AS (
+  SELECT *, CASE WHEN n >= 120 THEN 4 WHEN n >= 60 THEN 3 WHEN n >= 20 THEN 2 WHEN n >= 8 THEN 1 ELSE 0 END AS most FROM u
+), s AS (
+  -- the shorter line in most + 1 stretches: the longer one holds one of them
+  SELECT *, list_transform(range(0, most + 1), lambda i: substring(line, (n * i // (most + 1) + 1)::INT, (n * (i + 1) // (most + 1) - n * i // (most + 1))::INT)) AS cut FROM e WHERE most > 0
 ), near AS (
-  SELECT a.line AS a, b.line AS b FROM u a JOIN u b ON b.n BETWEEN a.n AND a.n + 2 AND a.id <> b.id
-  WHERE a.n >= 20 AND a.n < 4000 AND (a.n < b.n OR a.id < b.id) AND abs(strlen(a.line) - strlen(b.line)) <= 8
-    AND (left(a.line, (a.n // 3)::INT) = left(b.line, (a.n // 3)::INT) OR right(a.line, (a.n // 3)::INT) = right(b.line, (a.n // 3)::INT)
-      OR contains(b.line, substring(a.line, (a.n // 3 + 1)::INT, (a.n // 3)::INT)))
-    AND levenshtein(a.line, b.line) <= 2
+  SELECT a.line AS a, b.line AS b FROM s a JOIN u b ON b.n BETWEEN a.n AND a.n + 4 AND a.id <> b.id
+  WHERE b.n <= a.n + a.most AND (a.n < b.n OR a.id < b.id) AND abs(strlen(a.line) - strlen(b.line)) <= 4 * a.most
+    AND (contains(b.line, a.cut[1]) OR contains(b.line, a.cut[2]) OR contains(b.line, a.cut[3]) OR contains(b.line, a.cut[4]) OR contains(b.line, a.cut[5]))
+    AND levenshtein(a.line, b.line) <= 4 * a.most
+    -- levenshtein counts bytes: the pair's other characters become control characters, of which there are 26
+    AND levenshtein(translate(a.line, array_to_string(list_distinct(regexp_extract_all(a.line || b.line, '[^\x00-\x7F]')), ''), list_aggregate(list_transform(list_concat(range(1, 9), range(14, 32)), lambda i: chr(i::INT)), 'string_agg', '')), translate(b.line, array_to_string(list_distinct(regexp_extract_all(a.line || b.line, '[^\x00-\x7F]')), ''), list_aggregate(list_transform(list_concat(range(1, 9), range(14, 32)), lambda i: chr(i::INT)), 'string_agg', ''))) <= a.most
 ), l AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near
 ), r AS (SELECT a, a AS b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
 ), k AS (SELECT a AS line, min(b) AS cls FROM r GROUP BY a

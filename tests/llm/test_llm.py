@@ -396,15 +396,15 @@ def distance(a, b):
     return row[-1]
 
 
-def test_lines(spark):
+def test_lines(spark, monkeypatch):
     rng = random.Random(6)
-    basis = ["".join(rng.choice("abc dé") for _ in range(rng.randint(5, 40))) for _ in range(25)]
+    basis = ["".join(rng.choice("abc dé\U0001f600") for _ in range(n)) for n in [*range(2, 30), 57, 58, 59, 60, 61, 62, 90, 118, 119, 120, 121, 123, 124, 200]]
     lines = []
     for b in basis:
         lines.append(b)
-        for _ in range(3):
+        for _ in range(4):
             x = list(b)
-            for _ in range(rng.randint(0, 3)):
+            for _ in range(min(len(x) - 1, rng.randint(0, 6))):
                 k = rng.randrange(len(x))
                 x[k : k + 1] = rng.choice([[], ["z"], ["z", x[k]]])
             lines.append("".join(x))
@@ -413,7 +413,7 @@ def test_lines(spark):
     d = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").withColumn("n", F.lit("clash"))
     place = [(i, n, x) for i, t in enumerate(texts) for n, x in enumerate((t or "").split("\n")) if SPACE.search(x)]
     unique = sorted({x for _, _, x in place})
-    links = [(a, b) for i, a in enumerate(unique) for b in unique[:i] if min(len(a), len(b)) >= 20 and distance(a, b) <= 2]
+    links = [(a, b) for i, a in enumerate(unique) for b in unique[:i] if distance(a, b) <= line_dedup.edits_of(min(len(a), len(b)))]
     cls = {x: k for k, g in enumerate(components(unique, links)) for x in g}
     seen, first, want = set(), set(), {}
     for i, n, x in place:
@@ -421,7 +421,10 @@ def test_lines(spark):
         seen.add(x)
         first.add(cls[x])
     got = {(r["doc_id"], r["n"]): (r["exact"], r["kept"], r["n_links"]) for r in line_dedup.line_classes(d).collect()}
-    assert got == want and len(links) > 10
+    assert {k: (got.get(k), v) for k, v in want.items() if got.get(k) != v} == {}
+    assert got == want and len(links) > 40
+    monkeypatch.setattr(line_dedup, "HOT", 1)
+    assert {(r["doc_id"], r["n"]): (r["exact"], r["kept"], r["n_links"]) for r in line_dedup.line_classes(d).collect()} == want
     assert line_dedup.line_classes(d.limit(0)).count() == 0
     clean = {r["doc_id"]: r["text"] for r in line_dedup.without_duplicate_lines(d).collect()}
     assert clean[0] == "\n".join(x for n, x in enumerate(texts[0].split("\n")) if (0, n) not in want or want[0, n][1]) and clean[len(texts) - 3] is None
