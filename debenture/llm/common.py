@@ -70,14 +70,14 @@ def _empty(spark: SparkSession, path: str) -> None:
     _written.remove(path)
 
 
-def working_files() -> int:
-    """A mark: how many folders are there now."""
-    return len(_written)
+def working_files() -> set[str]:
+    """A mark: the folders that are there now."""
+    return set(_written)
 
 
-def discard_since(mark: int, keep: DataFrame) -> None:
+def discard_since(mark: set[str], keep: DataFrame) -> None:
     """Empties all that was written since the mark but `keep`."""
-    for path in [p for p in _written[mark:] if p != keep.saved_at]:
+    for path in [p for p in _written if p not in mark and p != keep.saved_at]:
         _empty(keep.sparkSession, path)
 
 

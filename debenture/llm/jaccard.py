@@ -1,10 +1,12 @@
-"""Near-duplicate join on word shingles: fixed MinHash banding, then exact verification.
-
-Every text has `trees` keys of as many minima each as prefix_depth allows for the threshold and the target recall. That depth
-comes from the bound, before any data is seen: no forest of sorted signatures is built, no prefix is shortened by the data.
-Texts that share a node are joined into candidate groups by stars, not by pairs, and a
-group is verified exactly, block against block: a task holds two blocks and returns, per text, its number of links and one
-link to its part of the block, never the pairs. Equal texts are one class throughout.
+"""Near-duplicate join on word shingles: an LSH forest of MinHash signatures, then exact verification.
+
+Every text has one label in each of `trees` tries: `depth` bytes, each from one minimum, behind the trie's number in one long, so
+that labels in order are the trie in order and a node is the range of labels with one prefix. Matching begins with whole labels.
+Texts that share a node are joined into candidate groups by stars, not by pairs, and a group is verified exactly, block against
+block: a task holds two blocks and returns, per text, its number of links and one link to its part of the block, never the
+pairs. From the similarities of the links found, each weighed by the chance to be found at this depth, follows how many were
+missed; as long as that is more than the target recall allows, the prefixes are shortened by one byte and matched anew. Equal
+texts are one class throughout.
 """
 
 from __future__ import annotations
@@ -14,23 +16,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bucketed, components, discard, fresh, mix, saved, shingles, signed, slices, utf8
+from .common import Words, bucketed, components, discard, discard_since, fresh, mix, saved, shingles, signed, slices, utf8, working_files
 
-SHINGLE, THRESHOLD, TREES, DEPTH, RECALL = 5, 0.8, 24, 8, 0.999
+SHINGLE, THRESHOLD, TREES, DEPTH, RECALL = 5, 0.8, 24, 7, 0.999
 #: Texts and shingles of a block of a candidate group, on average.
 BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 1 << 20
 
 
-def recall(similarity: float, trees: int, depth: int) -> float:
+def recall(similarity, trees: int, depth: int):
+    """The chance that texts of this similarity share a prefix of `depth` minima in one of the tries."""
     return 1 - (1 - similarity**depth) ** trees
 
 
-def prefix_depth(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, target: float = RECALL) -> int:
-    while depth > 1 and recall(threshold, trees, depth) < target:
-        depth -= 1
-    return depth
-
-
 def minima(h: np.ndarray, first: np.ndarray, count: int) -> np.ndarray:
     """count x rows least values of as many hash functions; rows without shingles get 0."""
     rows = np.flatnonzero(np.diff(first) > 0)
@@ -72,6 +69,15 @@ def _text_hash(w: Words) -> np.ndarray:
     return np.where(n > 0, np.maximum(out, 1), 0).astype(np.uint64)
 
 
+def labels(m: np.ndarray, trees: int, depth: int) -> np.ndarray:
+    """rows x trees labels from trees * depth minima of each row: the trie's number, then a byte of each minimum."""
+    low = (m & np.uint32(0xFF)).astype(np.int64).reshape(trees, depth, -1)
+    out = np.repeat(np.arange(trees, dtype=np.int64)[:, None], low.shape[2], 1)
+    for j in range(7):
+        out = (out << 8) | (low[:, j] if j < depth else 0)
+    return out.T
+
+
 def _signed(docs: DataFrame, text: str, doc_id: str, trees: int, depth: int) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -79,18 +85,12 @@ def _signed(docs: DataFrame, text: str, doc_id: str, trees: int, depth: int) ->
             for a, b in slices(offsets):
                 w = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 s, first = shingles(w.hash(), w.first, SHINGLE)
-                m = minima(s, first, trees * depth)
-                keys = np.zeros((b - a, trees), np.uint64)
-                for t in range(trees):
-                    k = np.full(b - a, t + 1, np.uint64)
-                    for j in range(t * depth, (t + 1) * depth):
-                        k = mix(k ^ (m[j].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
-                    keys[:, t] = k
-                nodes = pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a) * trees + 1, trees, dtype=np.int32)), pa.array(signed(keys.reshape(-1))))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(signed(_text_hash(w))), pa.array(np.diff(first)), nodes], names=["doc_id", "cls", "n", "nodes"])
+                own = np.ascontiguousarray(labels(minima(s, first, trees * depth), trees, depth))
+                column = pa.ListArray.from_arrays(pa.array(np.arange(0, own.size + 1, trees, dtype=np.int32)), pa.array(own.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(signed(_text_hash(w))), pa.array(np.diff(first)), column], names=["doc_id", "cls", "n", "labels"])
 
     kept = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return kept.mapInArrow(run, f"doc_id {kept.schema[0].dataType.simpleString()}, cls long, n long, nodes array<long>")
+    return kept.mapInArrow(run, f"doc_id {kept.schema[0].dataType.simpleString()}, cls long, n long, labels array<long>")
 
 
 def _sets(rows: DataFrame) -> DataFrame:
@@ -111,8 +111,9 @@ def _sets(rows: DataFrame) -> DataFrame:
     return rows.select("text", "cls", "root").mapInArrow(run, "cls long, root long, n long, shingles binary")
 
 
-def linked(cls: np.ndarray, side: np.ndarray, sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Per text: links to others (of the other side, where there are two) and the least text that links lead to."""
+def linked(cls: np.ndarray, side: np.ndarray, sets: list[np.ndarray], threshold: float, chance=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per text: links to others (of the other side, where there are two), the least text that links lead to, and how many more
+    such links there should be if each was found with `chance`, a function of its similarity."""
     n = len(sets)
     sizes = np.array([len(x) for x in sets], np.int64)
     everything = np.concatenate(sets)
@@ -140,13 +141,17 @@ def linked(cls: np.ndarray, side: np.ndarray, sets: list[np.ndarray], threshold:
         m[row[a:b], code[a:b] - k * slab] = 1
         inter += m[left] @ m[right].T
     union = sizes[left][:, None] + sizes[right][None, :] - inter.astype(np.float64)
-    link = inter / np.maximum(union, 1) >= threshold
+    similarity = inter / np.maximum(union, 1)
+    link = similarity >= threshold
     if not two:
         np.fill_diagonal(link, False)
-    links, least = np.zeros(n, np.int64), cls.copy()
+    more = np.where(link, 1 / chance(np.where(link, similarity, 1)) - 1, 0) if chance else np.zeros(link.shape)
+    links, least, missed = np.zeros(n, np.int64), cls.copy(), np.zeros(n)
     links[left] += link.sum(1)
+    missed[left] += more.sum(1)
     if two:
         links[right] += link.sum(0)
+        missed[right] += more.sum(0)
     l, r = np.nonzero(link)
     l, r = left[l], right[r]
     while len(l):
@@ -159,11 +164,11 @@ def linked(cls: np.ndarray, side: np.ndarray, sets: list[np.ndarray], threshold:
         if (least == before).all():
             break
         del cls_sorted
-    return links, least
+    return links, least, missed
 
 
-def verified(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(cls, root, n, shingles) to (cls, links, to): blocks of a group (root) against each other, each pair of blocks once."""
+def verified(sets: DataFrame, threshold: float = THRESHOLD, chance=None) -> DataFrame:
+    """(cls, root, n, shingles) to (cls, links, to, missed): blocks of a group (root) against each other, each pair of blocks once."""
     size = sets.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     d = sets.join(size, "root").withColumn("c", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     d = d.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -175,15 +180,15 @@ def verified(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         if len(rows) < 2 or (key[2] != key[3] and len(set(c.tolist())) < 2):
             return None
         cls = np.array([r[1] for r in rows], np.int64)
-        links, least = linked(cls, c, [np.frombuffer(r[2], np.uint64) for r in rows], threshold)
+        links, least, missed = linked(cls, c, [np.frombuffer(r[2], np.uint64) for r in rows], threshold, chance)
         some = links > 0
-        return cls[some], links[some], least[some]
+        return cls[some], links[some], least[some], missed[some]
 
     def run(batches):
         key, rows = None, []
 
         def out(found):
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["cls", "links", "to"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["cls", "links", "to", "missed"])
 
         for batch in batches:
             cols = [batch.column(batch.schema.get_field_index(x)).to_pylist() for x in ("at", "root", "i", "j", "c", "cls", "shingles")]
@@ -196,7 +201,16 @@ def verified(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         if rows and (found := group(key, rows)) is not None:
             yield out(found)
 
-    return d.mapInArrow(run, "cls long, links long, to long")
+    return d.mapInArrow(run, "cls long, links long, to long, missed double")
+
+
+def matched(full: DataFrame, depth: int, drop: int) -> DataFrame:
+    """(cls, root): candidate groups of full(cls, labels), of texts that share a node of the tries, `drop` bytes above the leaves."""
+    node = F.shiftright("label", 8 * drop)
+    nodes = full.select("cls", F.explode("labels").alias("label")).select("cls", node.alias("node"))
+    stars = nodes.groupBy("node").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low <> high")
+    edges = nodes.join(stars.select("node", "low"), "node").filter("cls <> low").select(F.col("cls").alias("a"), F.col("low").alias("b"))
+    return components(edges, "jaccard-candidates").select(F.col("node").alias("cls"), "root")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, target: float = RECALL, id_hash: str | None = None) -> DataFrame:
@@ -206,26 +220,31 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     Null, empty or blank texts aren't compared: class and copy are the row itself. Null doc_id: its row takes part, a class of
     nothing but such rows has a null id. Repeated rows and equal texts are copies. Texts are hashed to 64 bits. An empty table
-    gives no rows; other columns don't matter. A pair at the threshold is found with a chance of `target`, more similar ones
-    with more."""
-    depth = prefix_depth(threshold, trees, depth, target)
+    gives no rows; other columns don't matter. Prefixes (`depth` bytes at most, 7 is the most) are shortened until, by the
+    links found, the share of all links that was found is at the target. id_hash: a column of docs with xxhash64 of the id."""
     s = saved(_signed(docs, text, doc_id, trees, depth), "jaccard-signed")
     full = s.filter("n > 0")
     classes = full.groupBy("cls").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("n_copies"))
-    nodes = full.select("cls", F.explode("nodes").alias("node"))
-    stars = nodes.groupBy("node").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low <> high")
-    edges = nodes.join(stars.select("node", "low"), "node").filter("cls <> low").select(F.col("cls").alias("a"), F.col("low").alias("b"))
-    groups = saved(components(edges, "jaccard-candidates"), "jaccard-groups").select(F.col("node").alias("cls"), "root")
-    lead = classes.join(groups, "cls").select("cls", "root", F.col("copy_id").alias("lead"))
-    # ids by hash, so that null is a value and a table in buckets needn't be moved; what isn't the class's text falls out in _sets
-    lead = lead.select("cls", "root", F.xxhash64("lead").alias("lead"))
-    one = docs.select(F.col(f"`{id_hash}`").alias("at") if id_hash else F.xxhash64(f"`{doc_id}`").alias("at"), F.col(f"`{text}`").alias("text")).join(lead, F.col("at") == F.col("lead"))
-    sets = saved(_sets(one).dropDuplicates(["cls"]), "jaccard-sets")
-    found = saved(verified(sets, threshold), "jaccard-links")
+    texts = docs.select(F.col(f"`{id_hash}`").alias("at") if id_hash else F.xxhash64(f"`{doc_id}`").alias("at"), F.col(f"`{text}`").alias("text"))
+    for d in range(depth, 0, -1):
+        mark = working_files()
+        # ids by hash, so that null is a value and a table in buckets needn't be moved; what isn't the class's text falls out in _sets
+        lead = classes.join(saved(matched(full, d, 7 - d), "jaccard-groups"), "cls").select("cls", "root", F.xxhash64("copy_id").alias("lead"))
+        sets = saved(_sets(texts.join(lead, F.col("at") == F.col("lead"))).dropDuplicates(["cls"]), "jaccard-sets")
+        found = saved(verified(sets, threshold, lambda x, d=d: recall(x, trees, d)), "jaccard-links")
+        discard_since(mark, found)
+        links, missed = found.agg(F.sum("links"), F.sum("missed")).first()
+        if not links or links / (links + missed) >= target:
+            break
+        if d > 1:
+            discard(found)
     links = found.groupBy("cls").agg(F.sum("links").alias("n_links"))
+    mark = working_files()
     roots = components(found.select(F.col("cls").alias("a"), F.col("to").alias("b")), "jaccard-classes").select(F.col("node").alias("cls"), "root")
     classes = classes.join(links, "cls", "left").join(roots, "cls", "left").select("cls", "copy_id", "n_copies", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "cls").alias("root"))
     classes = saved(classes, "jaccard-table")
+    discard_since(mark, classes)
+    discard(found)
     heads = classes.groupBy("root").agg(F.min("copy_id").alias("class_id"))
     classes = classes.join(heads, "root").drop("root")
     out = s.select("doc_id", "cls", "n").join(classes, "cls", "left")
