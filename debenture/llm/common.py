@@ -108,9 +108,10 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def key_of(df: DataFrame, *skip: str):
-    """A hash over all columns, so that rows that share an id but differ are still told apart."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c not in skip])
+def keys_of(df: DataFrame, *skip: str) -> list:
+    """Two hashes over all columns, 128 bits together: rows that share an id but differ are told apart."""
+    cols = [F.col(f"`{c}`") for c in df.columns if c not in skip]
+    return [F.xxhash64(*cols), F.xxhash64(F.lit("second"), *cols)]
 
 
 # --- words of an Arrow column ---------------------------------------------------------------------------------------

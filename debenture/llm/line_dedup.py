@@ -3,7 +3,7 @@
 How many edits two lines may be apart grows with the shorter one's length. Distinct lines are cut into that many segments and
 one more; two lines within so many edits share one of them, at a place that the lengths and the segment's number narrow down.
 So each line looks up substrings of itself among the segments of lines that are as long or a few characters shorter. Lines that meet
-others are compared by the parities of their character counts, which rules most of them out, and the rest are verified by edit
+others are compared by their character counts and by a bound from their ends, which rules most of them out, and the rest are verified by edit
 distance, bit-parallel in a band of 2 * edits + 1 diagonals over what is left between their common prefix and suffix. Linked
 lines are clustered by components; of each cluster the first line in the corpus stays.
 """
@@ -21,7 +21,7 @@ from .common import bucketed, components, discard, fresh, saved
 #: fewer than eight characters joins what says different things; such lines are duplicates of equal ones only.
 EDITS = ((8, 1), (20, 2), (60, 3), (120, 4))
 #: Lookups are dealt out over so many rounds, so that their rows needn't lie on disk all at once.
-ROUNDS = 2
+ROUNDS = 3
 #: Lines with one segment in common that one task compares another line with at most; more are dealt out over several.
 HOT = 256
 
@@ -53,7 +53,7 @@ def keyed(lines: DataFrame, probe: bool, steps: Steps = EDITS, part: int = 0, pa
     found under it), as far as they belong to a part of the rounds."""
     kinds, before = [], None
     for n in range(max(least + e for least, e in steps) + 1):
-        now = [x for x in lookups(n, steps) if (probe and x[0] % parts == part) or (not probe and x[0] == x[3] == 0)]
+        now = [x for i, x in enumerate(lookups(n, steps)) if (probe and i % parts == part) or (not probe and x[0] == x[3] == 0)]
         if now != before:
             kinds.append((n, now))
             before = now
@@ -147,19 +147,29 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     return _let(F.struct(F.split(a, "").alias("x"), F.split(b, "").alias("y"), F.length(a).alias("m"), F.length(b).alias("n")), distance)
 
 
-def line_distance(a: Column, b: Column, edits: int) -> Column:
-    """banded_distance without the common prefix and suffix."""
+def line_distance(a: Column, b: Column, edits: int, most: Column | None = None) -> Column:
+    """banded_distance without the common prefix and suffix; more than `edits` at once where a bound says that it is over `most`."""
+    cut = lambda x, q: F.substring(x, F.lit(1), F.length(x) - q)
+
     def behind(s: Column) -> Column:
-        u, v = F.substring(s["a"], s["p"] + 1, F.length(s["a"])), F.substring(s["b"], s["p"] + 1, F.length(s["b"]))
-        return _let(F.struct(u.alias("u"), v.alias("v")), before)
+        return _let(F.struct(F.substring(s["a"], s["p"] + 1, F.length(s["a"])).alias("u"), F.substring(s["b"], s["p"] + 1, F.length(s["b"])).alias("v"), s["most"].alias("most")), before)
 
     def before(t: Column) -> Column:
-        return _let(F.struct(t["u"].alias("u"), t["v"].alias("v"), common_prefix(F.reverse(t["u"]), F.reverse(t["v"])).alias("q")), rest)
+        return _let(common_prefix(F.reverse(t["u"]), F.reverse(t["v"])), lambda q: _let(F.struct(cut(t["u"], q).alias("u"), cut(t["v"], q).alias("v"), t["most"].alias("most")), rest))
 
     def rest(t: Column) -> Column:
-        return banded_distance(F.substring(t["u"], F.lit(1), F.length(t["u"]) - t["q"]), F.substring(t["v"], F.lit(1), F.length(t["v"]) - t["q"]), edits)
+        return F.when(at_least(t["u"], t["v"]) > t["most"], F.lit(edits + 1).cast("long")).otherwise(banded_distance(t["u"], t["v"], edits))
+
+    return _let(F.struct(a.alias("a"), b.alias("b"), common_prefix(a, b).alias("p"), (F.lit(edits) if most is None else most).alias("most")), behind)
+
 
-    return _let(F.struct(a.alias("a"), b.alias("b"), common_prefix(a, b).alias("p")), behind)
+def at_least(u: Column, v: Column, ends: int = 40) -> Column:
+    """A lower bound of the edit distance: where an alignment has e edits in the first characters of u, as many characters of v are
+    within 2 e edits of them; the same holds for the last ones, and both count where they don't overlap."""
+    far = 16
+    half = lambda x, y: _let(F.levenshtein(x, y, far), lambda d: F.ceil(F.when(d < 0, far + 1).otherwise(d) / 2))
+    first, last = half(F.left(u, F.lit(ends)), F.left(v, F.lit(ends))), half(F.right(u, F.lit(ends)), F.right(v, F.lit(ends)))
+    return F.when((F.length(u) >= 2 * ends) & (F.length(v) >= 2 * ends), first + last).otherwise(F.greatest(first, last))
 
 
 def lines_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -195,7 +205,7 @@ def near_lines(distinct: DataFrame, steps: Steps = EDITS) -> DataFrame:
     side = lambda name, *to: texts.select(F.col("id").alias(name), *[F.col(c).alias(x) for c, x in zip(("line", "counts", "most"), to, strict=True)])
     both = pairs.join(side("a", "u", "c", "most"), "a").join(side("b", "v", "c2", "most2"), "b").withColumn("most", F.least("most", "most2"))
     apart = F.aggregate(F.zip_with("c", "c2", lambda x, y: F.abs(x - y)), F.lit(0), lambda acc, x: acc + x)
-    near = both.filter(apart <= 2 * F.col("most")).select("a", "b", line_distance(F.col("u"), F.col("v"), max(e for _, e in steps)).alias("edits"), "most")
+    near = both.filter(apart <= 2 * F.col("most")).select("a", "b", line_distance(F.col("u"), F.col("v"), max(e for _, e in steps), F.col("most")).alias("edits"), "most")
     near = saved(near.filter("edits <= most").select("a", "b", "edits"), "lines-near")
     discard(*parts, texts, pairs)
     return near

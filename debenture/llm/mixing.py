@@ -1,8 +1,8 @@
 """Mixing sources to target weights by a low-discrepancy schedule. DataFrame functions only.
 
 Each source's documents, in an order drawn by a hash, form a line of words, cut into blocks of equally many. Slot i of the mix
-takes the source whose share holds the i-th van der Corput point; the k-th slot of a source takes its k-th block, around and
-around its line, up to the words that its target allows. So a document is taken as often as the line passes it, three times at
+goes to the source whose share of all blocks holds the i-th van der Corput point; the k-th slot of a source takes its k-th
+block, around and around its line, up to the words that its target allows. So a document is taken as often as the line passes it, three times at
 most, and any stretch of the mix holds the sources by weight.
 """
 
@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, key_of, saved
+from .common import WORD, fresh, keys_of, saved
 
-#: Words of a block, where each source's target holds at least MIN_BLOCKS of them; else blocks are smaller.
+#: Words of a source's blocks, where its target holds at least MIN_BLOCKS of them; else its blocks are smaller.
 BLOCK_WORDS, MIN_BLOCKS = 1024, 64
 #: Documents that a bucket of a source's line holds on average: what a task orders at once.
 BUCKET_ROWS = 2048
@@ -48,20 +48,17 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), shar
     return t.select("source", "source_size", F.least(F.col("cap"), F.coalesce(level, F.lit(float("inf"))) * F.col("weight")).alias("target"))
 
 
-def van_der_corput(i: Column, bits: int = 40) -> Column:
-    """The bits of i behind the point, in reverse."""
-    return F.conv(F.reverse(F.lpad(F.bin(i), bits, "0")), 2, 10).cast("double") / float(2**bits)
+def van_der_corput(i: Column) -> Column:
+    """The bits of i (52 at most, as a double has) behind the point, in reverse."""
+    return F.conv(F.reverse(F.lpad(F.bin(i), 52, "0")), 2, 10).cast("double") / float(2**52)
 
 
-def mix_sources(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str = "doc_id", weights: tuple[float, ...] = (5.0, 2.0, 1.0), block_words: int = BLOCK_WORDS, seed: str = "mix") -> DataFrame:
-    """(doc_id, row_key, source, size, source_size, target, taken, passes), a row per document: `taken` are the words that the
-    mix takes of it, repeats counted, `passes` how often it takes the document's first word; row_key hashes all columns.
-
-    Null text: size 0, never taken. Null source: a source of its own, last. Null doc_id: drawn like any value; ties and
-    repeated rows lie next to each other in the line. An empty table gives no rows; other columns don't matter, whatever
-    their names. The order hangs on `seed` and the rows alone, so reruns agree."""
+def _passes(docs: DataFrame, source: str, text: str, doc_id: str, weights: tuple[float, ...], block_words: int, seed: str) -> tuple[DataFrame, DataFrame]:
+    """The line, a row per document, and its stretches (source, bucket, nth, slot, place, words, first): what each slot takes of a
+    document, and whether it takes its first word."""
     draw = F.md5(F.concat(F.lit(seed), F.lit(":"), F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("null"))))
-    d = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), key_of(docs).alias("row_key"), draw.alias("draw"))
+    keys = keys_of(docs)
+    d = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), keys[0].alias("row_key"), keys[1].alias("row_key2"), draw.alias("draw"))
     d = saved(d, "mix-line")
     n = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     rows = n.agg(F.sum("rows")).first()[0] or 0
@@ -69,8 +66,7 @@ def mix_sources(docs: DataFrame, source: str = "source", text: str = "text", doc
     while 16**digits * BUCKET_ROWS < rows and digits < 7:
         digits += 1
     goal = targets(n.select("source", "source_size"), weights)
-    slots, block = schedule(goal, block_words)
-    slots = saved(slots, "mix-slots")
+    slots = saved(schedule(goal, block_words), "mix-slots")
     # where each document begins in its source's line: sums of buckets of the draw, then within the bucket
     d = d.withColumn("bucket", F.substring("draw", 1, digits))
     per = d.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
@@ -78,68 +74,93 @@ def mix_sources(docs: DataFrame, source: str = "source", text: str = "text", doc
     per = per.withColumn("before", F.coalesce(F.sum("words").over(line), F.lit(0)))
     g = goal.select(F.col("source").alias("s"), "source_size", "target")
     per = per.join(g, F.col("source").eqNullSafe(F.col("s"))).select("s", F.col("bucket").alias("b"), "before", "source_size", "target")
-    inside = Window.partitionBy("source", "bucket").orderBy("draw", "doc_id", "size", "row_key")
+    inside = Window.partitionBy("source", "bucket").orderBy("draw", "doc_id", "size", "row_key", "row_key2")
     d = d.withColumns({"nth": F.row_number().over(inside), "off": F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
     d = d.join(per, d["source"].eqNullSafe(per["s"]) & (d["bucket"] == per["b"])).withColumn("begin", F.col("before") + F.col("off"))
-    d = saved(d.select("doc_id", "row_key", "source", "size", "source_size", "target", "bucket", "nth", "begin"), "mix-begin")
+    d = saved(d.select("doc_id", "row_key", "row_key2", "source", "size", "source_size", "target", "bucket", "nth", "begin"), "mix-begin")
     # the blocks that a document lies in, at each way around the line
     ways = F.ceil(F.round("target") / F.col("source_size")).cast("long")
-    e = d.filter("size > 0 and round(target) > 0").select("source", "bucket", "nth", "begin", "size", "source_size", F.explode(F.sequence(F.lit(0).cast("long"), ways - 1)).alias("way"))
+    block = block_of(F.round("target").cast("long"), block_words)
+    e = d.filter("size > 0 and round(target) > 0").select("source", "bucket", "nth", "begin", "size", "source_size", block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), ways - 1)).alias("way"))
     e = e.withColumn("from", F.col("way") * F.col("source_size") + F.col("begin"))
-    e = e.withColumn("k", F.explode(F.sequence(F.floor(F.col("from") / block), F.floor((F.col("from") + F.col("size") - 1) / block))))
-    t = slots.select(F.col("source").alias("s"), F.col("k").alias("kk"), F.col("words"))
+    e = e.withColumn("k", F.explode(F.sequence(F.floor(F.col("from") / F.col("block")), F.floor((F.col("from") + F.col("size") - 1) / F.col("block")))))
+    t = slots.select(F.col("source").alias("s"), F.col("k").alias("kk"), F.col("words"), "slot")
     e = e.join(t, e["source"].eqNullSafe(t["s"]) & (e["k"] == t["kk"]))
-    low = F.greatest(F.col("from"), F.col("k") * block)
-    high = F.least(F.col("from") + F.col("size"), F.col("k") * block + F.col("words"))
-    e = e.select("source", "bucket", "nth", F.greatest(high - low, F.lit(0)).cast("long").alias("words"), ((high > low) & (low == F.col("from"))).cast("long").alias("first"))
-    e = e.groupBy("source", "bucket", "nth").agg(F.sum("words").alias("taken"), F.sum("first").alias("passes"))
-    e = e.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.col("nth").alias("m"), "taken", "passes")
-    out = d.join(e, d["source"].eqNullSafe(e["s"]) & (d["bucket"] == e["b"]) & (d["nth"] == e["m"]), "left")
-    return out.select("doc_id", "row_key", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("passes", F.lit(0)).cast("long").alias("passes"))
+    low = F.greatest(F.col("from"), F.col("k") * F.col("block"))
+    high = F.least(F.col("from") + F.col("size"), F.col("k") * F.col("block") + F.col("words"))
+    e = e.select("source", "bucket", "nth", "slot", (low - F.col("k") * F.col("block")).alias("place"), (high - low).cast("long").alias("words"), (low == F.col("from")).alias("first"))
+    return d, e.filter("words > 0")
+
 
+def mix_sources(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str = "doc_id", weights: tuple[float, ...] = (5.0, 2.0, 1.0), block_words: int = BLOCK_WORDS, seed: str = "mix") -> DataFrame:
+    """(doc_id, row_key, row_key2, source, size, source_size, target, taken, passes, first_slot), a row per document: `taken` are the
+    words that the mix takes of it, repeats counted, `passes` how often it takes the document's first word, first_slot the
+    slot of the mix that does so first; the row keys hash all columns.
 
-def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """docs as the mix holds them: each as often as it passes the document's first word, some never."""
-    plan = mix_sources(docs, **settings).groupBy("row_key").agg(F.sum("passes").alias("__mix_n"), F.count("*").alias("__rows"))
-    plan = saved(plan.filter("__mix_n > 0").withColumnRenamed("row_key", "__mix_key"), "mix-plan")
-    own = docs.withColumn("__mix_row", key_of(docs))
+    Null text: size 0, never taken. Null source: a source of its own, last. Null doc_id: drawn like any value; ties and
+    repeated rows lie next to each other in the line. An empty table gives no rows; other columns don't matter, whatever
+    their names. The order hangs on `seed` and the rows alone, so reruns agree."""
+    d, e = _passes(docs, source, text, doc_id, weights, block_words, seed)
+    e = e.groupBy("source", "bucket", "nth").agg(F.sum("words").alias("taken"), F.count_if("first").alias("passes"), F.min(F.when(F.col("first"), F.col("slot"))).alias("first_slot"))
+    e = e.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.col("nth").alias("m"), "taken", "passes", "first_slot")
+    out = d.join(e, d["source"].eqNullSafe(e["s"]) & (d["bucket"] == e["b"]) & (d["nth"] == e["m"]), "left")
+    return out.select("doc_id", "row_key", "row_key2", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("passes", F.lit(0)).cast("long").alias("passes"), "first_slot")
+
+
+def mixed(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str = "doc_id", weights: tuple[float, ...] = (5.0, 2.0, 1.0), block_words: int = BLOCK_WORDS, seed: str = "mix") -> DataFrame:
+    """docs as the mix holds them: each as often as it passes the document's first word, some never; partitions, and the rows in
+    them, in the order of the slots. Nulls, ties, repeated rows and empty tables as in mix_sources; columns may have any names."""
+    d, e = _passes(docs, source, text, doc_id, weights, block_words, seed)
+    e = e.filter("first").select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.col("nth").alias("m"), "slot", "place")
+    plan = d.join(e, d["source"].eqNullSafe(e["s"]) & (d["bucket"] == e["b"]) & (d["nth"] == e["m"]))
+    key, key2, slot, place = fresh(docs, "key", "key2", "slot", "place")
+    plan = saved(plan.select(F.col("row_key").alias(key), F.col("row_key2").alias(key2), F.col("slot").alias(slot), F.col("place").alias(place)), "mix-plan")
+    hashes = keys_of(docs)
+    own = docs.withColumns({key: hashes[0], key2: hashes[1]})
     # equal rows have one key and can stand for each other
-    if plan.filter("__rows > 1").limit(1).count():
-        own = own.dropDuplicates(["__mix_row"])
-    out = own.join(plan, F.col("__mix_row") == F.col("__mix_key"))
-    return out.withColumn("__mix_way", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_n")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    if d.groupBy("row_key", "row_key2").count().filter("count > 1").limit(1).count():
+        own = own.dropDuplicates([key, key2])
+    out = own.join(plan, [key, key2]).repartitionByRange(slot, place).sortWithinPartitions(slot, place)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def block_of(words: Column, block_words: int = BLOCK_WORDS) -> Column:
+    """Words of a source's blocks, from the words of its target: each source has MIN_BLOCKS blocks or more."""
+    return F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(words / MIN_BLOCKS))).cast("long")
 
 
-def schedule(goal: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, int]:
-    """(slot, source, k, words), the mix in order, and the words of a block, from goal(source, source_size, target). Slot i takes the k-th block of the
-    source whose span of the cumulative shares holds the i-th point. Blocks are cut off where the source's target is spent;
-    what the points leave short of a target follows in slots of the tail."""
+def schedule(goal: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(slot, source, k, words), the mix in order, from goal(source, source_size, target). Slot i goes to the source whose span of
+    the cumulative numbers of blocks holds the i-th point, and takes its k-th block; the last block ends with the target. The
+    points give a source a few slots more or less than it has blocks: slots without a block go, in order, to the blocks without
+    a slot."""
     spark = goal.sparkSession
-    g = goal.filter("target > 0").withColumn("words", F.round("target").cast("long"))
+    g = goal.filter("target > 0").withColumn("quota", F.round("target").cast("long")).filter("quota > 0").withColumn("block", block_of(F.col("quota"), block_words))
+    g = g.withColumn("need", F.ceil(F.col("quota") / F.col("block")).cast("long"))
+    # these windows see a row per source
     line = Window.orderBy(F.col("source").asc_nulls_last())
-    g = g.withColumn("high", F.sum("target").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)) / F.sum("target").over(Window.partitionBy()))
-    g = g.withColumn("low", F.coalesce(F.lag("high").over(line), F.lit(0.0)))
-    whole, least = g.agg(F.sum("words"), F.min("words")).first()
-    size = max(1, min(block_words, (least or 1) // MIN_BLOCKS))
-    # the last source's share ends at 1, above any point
-    g = g.withColumn("high", F.when(F.col("high") > 1 - 1e-12, 2.0).otherwise(F.col("high")))
-    slots = spark.range((whole or 0) // size).select(F.col("id").alias("slot"), van_der_corput(F.col("id")).alias("point"))
+    upto = F.sum("need").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    whole = F.sum("need").over(Window.partitionBy())
+    g = g.withColumns({"nr": F.row_number().over(line), "low": (upto - F.col("need")) / whole, "high": upto / whole})
+    g = saved(g.select("source", "quota", "block", "need", "nr", "low", "high"), "mix-sources")
+    slots = spark.range(g.agg(F.sum("need")).first()[0] or 0).select(F.col("id").alias("slot"), van_der_corput(F.col("id")).alias("point"))
     # cells of the unit interval, so that points and shares meet by equality
     cells = 4096
     cell = F.least(F.floor(F.col("point") * cells), F.lit(cells - 1))
-    cover = g.select("source", "low", "high", F.explode(F.sequence(F.floor(F.col("low") * cells), F.least(F.floor(F.col("high") * cells), F.lit(cells - 1)))).alias("cell"))
+    cover = g.select("source", "quota", "block", "need", "nr", "low", "high", F.explode(F.sequence(F.floor(F.col("low") * cells), F.least(F.floor(F.col("high") * cells), F.lit(cells - 1)))).alias("cell"))
     hit = slots.withColumn("cell", cell).join(cover, "cell").filter("point >= low and point < high")
     # rank of a slot within its source: by stretches of slots, so that no task orders a whole source
-    hit = hit.withColumn("stretch", F.floor(F.col("slot") / 65536))
-    per = hit.groupBy("source", "stretch").agg(F.count("*").alias("n"))
-    per = per.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    hit = hit.withColumn("r", F.row_number().over(Window.partitionBy("source", "stretch").orderBy("slot")))
-    p = per.select(F.col("source").alias("s"), F.col("stretch").alias("t"), "before")
-    hit = hit.join(p, hit["source"].eqNullSafe(p["s"]) & (hit["stretch"] == p["t"])).select("slot", "source", (F.col("before") + F.col("r") - 1).alias("k"))
-    w = g.select(F.col("source").alias("s"), F.col("words").alias("quota"))
-    ranked = hit.join(w, hit["source"].eqNullSafe(w["s"])).select("slot", "source", "k", F.least(F.lit(size).cast("long"), F.col("quota") - F.col("k") * size).alias("words")).filter("words > 0")
-    had = hit.groupBy("source").agg(F.count("*").alias("n")).select(F.col("source").alias("s2"), "n")
-    left = w.join(had, w["s"].eqNullSafe(had["s2"]), "left").select("s", "quota", F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.ceil(F.col("quota") / size).cast("long").alias("need")).filter("need > n")
-    tail = left.select(F.col("s").alias("source"), "quota", F.explode(F.sequence(F.col("n"), F.col("need") - 1)).alias("k"))
-    tail = tail.select((F.lit(1 << 62) + F.col("k")).alias("slot"), "source", "k", F.least(F.lit(size).cast("long"), F.col("quota") - F.col("k") * size).alias("words"))
-    return ranked.unionByName(tail), size
+    hit = hit.select("nr", "slot", F.floor(F.col("slot") / 65536).alias("stretch"))
+    per = hit.groupBy("nr", "stretch").agg(F.count("*").alias("n"))
+    per = per.select("nr", "stretch", F.coalesce(F.sum("n").over(Window.partitionBy("nr").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    hit = hit.withColumn("r", F.row_number().over(Window.partitionBy("nr", "stretch").orderBy("slot"))).join(per, ["nr", "stretch"])
+    hit = saved(hit.select("nr", "slot", (F.col("before") + F.col("r") - 1).alias("k")), "mix-hits")
+    own = hit.join(g, "nr")
+    # a few for each source: the discrepancy of the points grows with the logarithm of their number
+    free = own.filter("k >= need").select("slot", F.row_number().over(Window.orderBy("slot")).alias("i"))
+    had = hit.groupBy(F.col("nr").alias("h")).agg(F.count("*").alias("had"))
+    left = g.join(had, g["nr"] == had["h"], "left").withColumn("had", F.coalesce("had", F.lit(0))).filter("had < need")
+    left = left.select("nr", F.explode(F.sequence(F.col("had"), F.col("need") - 1)).alias("k"))
+    late = left.withColumn("i", F.row_number().over(Window.orderBy("nr", "k"))).join(free, "i").select("nr", "slot", "k")
+    out = own.filter("k < need").select("nr", "slot", "k").unionByName(late).join(g, "nr")
+    return out.select("slot", "source", "k", F.least(F.col("block"), F.col("quota") - F.col("k") * F.col("block")).alias("words"))

@@ -52,7 +52,7 @@ def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,12 +137,27 @@ WITH d AS (
 ), g AS (
   SELECT source, source_size,
     least(cap, coalesce((SELECT level FROM v WHERE level * weight <= cap ORDER BY cap / weight, level LIMIT 1), 'inf'::DOUBLE) * weight) AS target FROM v
+), q AS (
+  SELECT *, round(target)::BIGINT AS quota, greatest(1, least(1024, round(target)::BIGINT // 64)) AS block, row_number() OVER (ORDER BY source NULLS LAST) AS nr FROM g
+), z AS (SELECT *, CASE WHEN quota > 0 THEN (quota + block - 1) // block ELSE 0 END AS need FROM q
+), c AS (
+  SELECT *, ((sum(need) OVER r) - need)::DOUBLE / sum(need) OVER () AS low, (sum(need) OVER r)::DOUBLE / sum(need) OVER () AS high FROM z WINDOW r AS (ORDER BY nr)
+), i AS (SELECT unnest(range((SELECT sum(need)::BIGINT FROM c))) AS slot
+), h AS (
+  SELECT slot, c.nr, need, row_number() OVER (PARTITION BY c.nr ORDER BY slot) - 1 AS k
+  FROM (SELECT slot, list_sum(list_transform(range(52), lambda b: ((slot >> b) & 1) * pow(2.0, -(b + 1)))) AS point FROM i) JOIN c ON point >= low AND point < high
+), f AS (SELECT slot, row_number() OVER (ORDER BY slot) AS i FROM h WHERE k >= need
+), m AS (
+  SELECT nr, k, row_number() OVER (ORDER BY nr, k) AS i FROM (SELECT nr, unnest(range(need)) AS k FROM c) WHERE (nr, k) NOT IN (SELECT (nr, k) FROM h WHERE k < need)
+), slots AS (SELECT nr, k, slot FROM h WHERE k < need UNION ALL SELECT nr, k, slot FROM m JOIN f USING (i)
 ), b AS (
-  SELECT d.doc_id, d.size, g.source_size, g.target, round(g.target)::BIGINT AS quota,
+  SELECT d.doc_id, d.size, c.nr, c.block, c.source_size, c.target, c.quota,
     coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5('mix:' || doc_id), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begin
-  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+  FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source
 ), t AS (SELECT *, CASE WHEN source_size > 0 THEN quota // source_size ELSE 0 END AS rounds FROM b)
-SELECT doc_id, size, source_size, target, (rounds * size + least(quota - rounds * source_size, begin + size) - least(quota - rounds * source_size, begin))::BIGINT AS taken
+SELECT doc_id, size, source_size, target, (rounds * size + least(quota - rounds * source_size, begin + size) - least(quota - rounds * source_size, begin))::BIGINT AS taken,
+  -- blocks lie in the mix by slots; a document that begins in its line's next round may be met there before it is met here
+  (SELECT min(slot) FROM slots s WHERE s.nr = t.nr AND t.size > 0 AND list_contains(list_transform(list_filter(range(3), lambda w: w * t.source_size + t.begin < t.quota), lambda w: (w * t.source_size + t.begin) // t.block), s.k)) AS first_slot
 FROM t"""
 
 OP9_SQL = r"""

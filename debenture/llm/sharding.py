@@ -13,7 +13,7 @@ import random
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import key_of, saved
+from .common import discard, fresh, keys_of, saved
 
 #: Rows that a logical partition, and a part of a shard, hold on average: what a task orders at once.
 PART_ROWS = 8192
@@ -68,40 +68,48 @@ def matrix(counts: list[int], shards: int, seed: int) -> list[list[int]]:
     return out
 
 
-def shard(docs: DataFrame, shards: int = 8, seed: int = 7, doc_id: str = "doc_id") -> DataFrame:
+def shard(docs: DataFrame, shards: int = 8, seed: int = 7) -> DataFrame:
     """docs with `shard` (0 to shards - 1, row counts at most one apart) and `slot` (gapless from 0 in each shard).
 
-    Nulls, empty and very long texts are rows like any other. Repeated rows draw alike and stand for each other. An empty
-    table gives no rows. Columns named shard or slot are replaced. The result hangs on the rows and the seed alone."""
-    spark = docs.sparkSession
+    Nulls, empty and very long texts are rows like any other. Repeated rows are dealt out each for itself. An empty table gives no
+    rows. Columns named shard or slot are replaced, others may have any names. The result hangs on the rows and the seed alone."""
     d = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")])
-    d = d.withColumn("__key", key_of(d))
-    draw = lambda *x: F.xxhash64(F.lit(seed), *[F.lit(y) for y in x], "__key", f"`{doc_id}`")
-    slim = saved(d.select("__key", f"`{doc_id}`"), "shard-keys")
-    n = slim.count()
+    key, key2 = fresh(d, "key", "key2")
+    hashes = keys_of(d)
+    d = d.withColumns({key: hashes[0], key2: hashes[1]})
+    slim = saved(d.select(F.col(key).alias("key"), F.col(key2).alias("key2")).groupBy("key", "key2").count(), "shard-keys")
+    placed = saved(places(slim, shards, seed), "shard-places")
+    # equal rows stand for each other: one of them is read, as often as it was placed
+    if slim.filter("count > 1").limit(1).count():
+        d = d.dropDuplicates([key, key2])
+    discard(slim)
+    placed = placed.select(F.col("key").alias(key), F.col("key2").alias(key2), "shard", "slot")
+    return d.join(placed, [key, key2]).drop(key, key2)
+
+
+def places(slim: DataFrame, shards: int, seed: int) -> DataFrame:
+    """(key, key2, shard, slot), a row per row that slim(key, key2, count) stands for. No texts are moved."""
+    spark = slim.sparkSession
+    n = slim.agg(F.sum("count")).first()[0] or 0
+    rows = slim.select("key", "key2", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("nth"))
+    draw = lambda x: F.xxhash64(F.lit(seed), F.lit(x), "key", "key2", "nth")
     parts = min(MOST_PARTS, max(8, -(-n // PART_ROWS)))
-    part = F.pmod(draw("part"), F.lit(parts)).cast("int")
-    found = {r[0]: r[1] for r in slim.groupBy(part.alias("p")).count().collect()}
+    rows = rows.withColumn("part", F.pmod(draw("part"), F.lit(parts)).cast("int"))
+    found = {r[0]: r[1] for r in rows.groupBy("part").count().collect()}
     counts = [found.get(p, 0) for p in range(parts)]
     m = matrix(counts, shards, seed)
     # a row per partition: where the rows for each shard begin in the partition's own permutation
     steps = [(p, [(sum(m[p][:s]), s) for s in range(shards) if m[p][s]]) for p in range(parts) if counts[p]]
-    steps = spark.createDataFrame(steps, "p int, steps array<struct<low: long, s: int>>")
+    steps = spark.createDataFrame(steps, "part int, steps array<struct<low: long, s: int>>")
     pieces = max(1, -(-n // (shards * PART_ROWS)))
-
-    def dealt(rows: DataFrame) -> DataFrame:
-        rows = rows.withColumn("__part", part)
-        local = Window.partitionBy("__part").orderBy(draw("local"), "__key")
-        rows = rows.withColumn("__r", (F.row_number().over(local) - 1).cast("long")).join(steps, F.col("__part") == F.col("p"))
-        rows = rows.withColumn("shard", F.element_at(F.filter("steps", lambda x: x["low"] <= F.col("__r")), -1)["s"]).withColumn("__draw", draw("again"))
-        # the shard's own permutation goes by parts of the range of a second draw
-        at = F.floor(F.shiftrightunsigned("__draw", 11).cast("double") / float(2**53) * pieces)
-        return rows.withColumn("__piece", F.least(at, F.lit(pieces - 1)).cast("int")).drop("p", "steps", "__r", "__part")
-
-    # which rows a shard gets hangs on their keys alone, so counts of keys are counts of rows
-    sizes = dealt(slim).groupBy("shard", "__piece").count()
-    before = Window.partitionBy("shard").orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(F.col("shard").alias("__s"), F.col("__piece").alias("__q"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
-    inner = Window.partitionBy("shard", "__piece").orderBy("__draw", "__key")
-    out = dealt(d).withColumn("__r", F.row_number().over(inner) - 1).join(sizes, (F.col("shard") == F.col("__s")) & (F.col("__piece") == F.col("__q")))
-    return out.withColumn("slot", (F.col("__before") + F.col("__r")).cast("long")).drop("__key", "__draw", "__piece", "__s", "__q", "__before", "__r")
+    local = Window.partitionBy("part").orderBy(draw("local"), "key", "key2", "nth")
+    rows = rows.withColumn("r", (F.row_number().over(local) - 1).cast("long")).join(steps, "part")
+    rows = rows.select("key", "key2", "nth", F.element_at(F.filter("steps", lambda x: x["low"] <= F.col("r")), -1)["s"].alias("shard"), draw("again").alias("draw"))
+    # the shard's own permutation goes by parts of the range of a second draw
+    at = F.floor(F.shiftrightunsigned("draw", 11).cast("double") / float(2**53) * pieces)
+    rows = saved(rows.withColumn("piece", F.least(at, F.lit(pieces - 1)).cast("int")), "shard-dealt")
+    before = Window.partitionBy("shard").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("shard", "piece").count().select("shard", "piece", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
+    inner = Window.partitionBy("shard", "piece").orderBy("draw", "key", "key2", "nth")
+    out = rows.withColumn("r", F.row_number().over(inner) - 1).join(sizes, ["shard", "piece"])
+    return out.select("key", "key2", "shard", (F.col("before") + F.col("r")).cast("long").alias("slot"))

@@ -313,7 +313,7 @@ def test_targets_fill_up(spark):
 
 
 def test_mix(docs):
-    got = mixing.mix_sources(docs.withColumn("target", F.lit("clash"))).collect()
+    got = mixing.mix_sources(docs.withColumns({c: F.lit("clash") for c in [*CLASH, "target"]})).collect()
     again = mixing.mix_sources(docs.repartition(3)).collect()
     slim = lambda rows: sorted(((r["doc_id"], r["size"], r["target"], r["taken"], r["passes"]) for r in rows), key=str)
     assert slim(got) == slim(again) and len(got) == docs.count()
@@ -325,21 +325,38 @@ def test_mix(docs):
         x[1] += r["taken"]
         x[3] += r["size"]
     assert all(abs(t - n) <= 1 and s == z for t, n, s, z in by.values())
-    assert mixing.mixed(docs).count() == sum(r["passes"] for r in got)
+    many = {}
+    for r in got:
+        many[r["doc_id"]] = many.get(r["doc_id"], 0) + r["passes"]
+    out = [r["doc_id"] for r in mixing.mixed(docs.withColumns({c: F.lit("clash") for c in CLASH})).collect()]
+    assert {i: out.count(i) for i in many} == many and len(out) == sum(many.values())
+    first = {r["doc_id"]: r["first_slot"] for r in got if r["first_slot"] is not None and r["doc_id"] not in (7, None)}
+    met = [i for i in dict.fromkeys(out) if i in first]
+    assert [first[i] for i in met] == sorted(first[i] for i in met) and mixing.mixed(docs.limit(0)).count() == 0
     assert mixing.mix_sources(docs.limit(0)).count() == 0
 
 
 def test_schedule_is_even(spark):
     goal = spark.createDataFrame([("a", 5000, 5000.0), ("b", 2000, 2000.0), ("c", 1000, 1000.0)], "source string, source_size long, target double")
-    slots, size = mixing.schedule(goal, 4)
-    rows = slots.orderBy("slot").collect()
-    assert sum(r["words"] for r in rows) == 8000 and size == 4
+    rows = mixing.schedule(goal, 4).orderBy("slot").collect()
+    assert sum(r["words"] for r in rows) == 8000 and [r["slot"] for r in rows] == [*range(2000)]
     for n in (100, 500, 1500):
         assert abs(sum(r["source"] == "a" for r in rows[:n]) / n - 5 / 8) < 0.03
+    # by hand: points 0, 1/2, 1/4, 3/4, ... and each source's blocks in order
+    point = lambda i: sum((i >> b & 1) / 2 ** (b + 1) for b in range(20))
+    names = ["a" if point(i) < 1250 / 2000 else "b" if point(i) < 1750 / 2000 else "c" for i in range(2000)]
+    same = sum(r["source"] == x for r, x in zip(rows, names, strict=True))
+    assert same > 1990 and all([r["k"] for r in rows if r["source"] == s and names[r["slot"]] == s] == [*range(k)] for s, k in ((s, min(n, names.count(s))) for s, n in (("a", 1250), ("b", 500), ("c", 250))))
+
+
+def test_a_small_source_does_not_set_the_blocks_of_others(spark):
+    goal = spark.createDataFrame([("a", 10_000_000, 9_999_990.0), ("b", 10, 30.0), (None, 0, 0.0)], "source string, source_size long, target double")
+    rows = mixing.schedule(goal)
+    assert rows.count() == 9766 + 30 and rows.agg(F.sum("words")).first()[0] == 10_000_020
 
 
 def test_shards(docs):
-    d = docs.withColumn("slot", F.lit("clash"))
+    d = docs.withColumns({c: F.lit("clash") for c in [*CLASH, "slot"]})
     got = sharding.shard(d).collect()
     n = docs.count()
     slots = {}
@@ -351,6 +368,14 @@ def test_shards(docs):
     assert sharding.shard(docs.limit(0)).count() == 0
 
 
+def test_repeated_rows_are_dealt_each_for_itself(spark):
+    d = spark.createDataFrame([(1, "same")] * 400 + [(i, "own") for i in range(2, 402)], "doc_id long, text string")
+    got = [tuple(r) for r in sharding.shard(d).collect()]
+    of = [sum(r[0] == 1 and r[2] == s for r in got) for s in range(8)]
+    assert sorted(r[:2] for r in got) == sorted(map(tuple, d.collect())) and all(25 < x < 75 for x in of)
+    assert sorted(r[2:] for r in got) == [(s, k) for s in range(8) for k in range(100)]
+
+
 def test_hypergeometric_law():
     rng = random.Random(5)
     xs = [sharding.hypergeometric(rng, 30, 70, 20) for _ in range(4000)]
@@ -451,7 +476,8 @@ def test_banded_distance(spark):
             b[k : k + rng.randint(0, 1)] = rng.choice([[], ["a"], ["c"]])
         rows.append((a, "".join(b)))
     d = spark.createDataFrame(rows, "a string, b string")
-    for k in (1, 2, 3):
+    assert all(r["x"] <= distance(r["a"], r["b"]) for ends in (2, 4) for r in d.select("a", "b", line_dedup.at_least(F.col("a"), F.col("b"), ends).alias("x")).collect())
+    for k in (1, 2, 4):
         for r in d.select("a", "b", line_dedup.line_distance(F.col("a"), F.col("b"), k).alias("d"), line_dedup.banded_distance(F.col("a"), F.col("b"), k).alias("e")).collect():
             want = distance(r["a"], r["b"])
             assert (r["d"] == r["e"] == want) if want <= k else min(r["d"], r["e"]) > k
