@@ -3,8 +3,10 @@
 A token of this pre-tokenizer holds white space only at its begin, or nothing else; so wherever white space follows something
 else, a token ends, and what is behind doesn't change what is before. A text is therefore cut into stretches, each a word with
 the white space before it; the library encodes each stretch once per worker and cache, many joined into one text whose ids are cut
-apart again by the tokens' bytes. Texts that end in white space, hold white space beyond ASCII, or an added token's string, are
-given to the library whole. tests/llm hold both ways against each other.
+apart again by the tokens' bytes. What the cache gives is held against the text byte for byte. Texts that differ anywhere, end in
+white space, hold white space beyond ASCII, or an added token's string, are given to the library whole. tests/llm hold both
+ways against each other. Giving every text whole costs about a CPU second a megabyte, which is over the check tool's limits
+(README); the ids are the same.
 """
 
 from __future__ import annotations
@@ -71,7 +73,9 @@ class Encoder:
         self.keys, self.place = none, np.zeros(0, np.int32)
         self.new_keys, self.new_place = none, np.zeros(0, np.int32)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.text, self.text_used = np.zeros(1 << 18, np.uint8), 0
         self.begin, self.count, self.n = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32), 0
+        self.text_begin, self.text_count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -91,8 +95,35 @@ class Encoder:
         while self.n + rows > len(self.begin):
             self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
             self.count = np.concatenate([self.count, np.zeros_like(self.count)])
+            self.text_begin = np.concatenate([self.text_begin, np.zeros_like(self.text_begin)])
+            self.text_count = np.concatenate([self.text_count, np.zeros_like(self.text_count)])
+
+    def _keep_text(self, data: np.ndarray, start: np.ndarray, end: np.ndarray):
+        """The bytes of stretches self.n, self.n + 1, ..."""
+        size = end - start
+        upto = np.cumsum(size)
+        total = int(upto[-1])
+        while self.text_used + total > len(self.text):
+            self.text = np.concatenate([self.text, np.zeros_like(self.text)])
+        self.text[self.text_used : self.text_used + total] = data[np.repeat(start - (upto - size), size) + np.arange(total)]
+        self.text_begin[self.n : self.n + len(size)] = self.text_used + upto - size
+        self.text_count[self.n : self.n + len(size)] = size
+        self.text_used += total
+
+    def _differs(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Which of the stretches data[start:end] aren't, byte for byte, those kept at place."""
+        size = end - start
+        out = size != self.text_count[place]
+        upto = np.cumsum(size)
+        if len(size):
+            at = np.arange(int(upto[-1]))
+            near = np.minimum(np.repeat(self.text_begin[place] - (upto - size), size) + at, len(self.text) - 1)
+            wrong = data[np.repeat(start - (upto - size), size) + at] != self.text[near]
+            if wrong.any():
+                out[np.searchsorted(upto, np.flatnonzero(wrong), "right")] = True
+        return out
 
-    def _learn(self, keys: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray, bare: np.ndarray):
+    def _learn(self, keys: np.ndarray, data: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray, bare: np.ndarray):
         """Encodes stretches raw[start:end]; bare ones, without white space before them, behind a line break that is then cut."""
         texts, bounds = [], []
         for low in range(0, len(keys), JOINED):
@@ -108,6 +139,7 @@ class Encoder:
             begin = np.concatenate([[0], cut[:-1]])
             skip = bare[i * JOINED : i * JOINED + len(bound)].astype(np.int64)
             self._room(len(ids), len(bound))
+            self._keep_text(data, start[i * JOINED : i * JOINED + len(bound)], end[i * JOINED : i * JOINED + len(bound)])
             self.pool[self.used : self.used + len(ids)] = ids
             self.begin[self.n : self.n + len(bound)] = self.used + begin + skip
             self.count[self.n : self.n + len(bound)] = cut - begin - skip
@@ -161,12 +193,18 @@ class Encoder:
         new = np.flatnonzero(found < 0)
         if len(new):
             n = self.n
-            self._learn(unique[new], raw, begin[at[new]], end[at[new]], bare[at[new]])
+            self._learn(unique[new], data, raw, begin[at[new]], end[at[new]], bare[at[new]])
             found[new] = np.arange(n, self.n)
-        each = self.count[found][inverse].astype(np.int64)
+        place = found[inverse]
+        wrong = self._differs(data, begin, end, place)
+        if wrong.any():
+            slow[row[wrong]] = True
+            keep = ~slow[row]
+            place, row = place[keep], row[keep]
+        each = self.count[place].astype(np.int64)
         upto = np.cumsum(each)
         total = int(upto[-1]) if len(upto) else 0
-        ids = self.pool[np.repeat(self.begin[found][inverse] - (upto - each), each) + np.arange(total)]
+        ids = self.pool[np.repeat(self.begin[place] - (upto - each), each) + np.arange(total)]
         many = np.bincount(row, each, rows).astype(np.int64)
         if slow.any():
             own = np.flatnonzero(slow)

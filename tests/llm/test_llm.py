@@ -258,6 +258,27 @@ def test_store(spark, docs, tokenizer):
     assert token_store.stored(docs.limit(0)).count() == 0
 
 
+def test_encoder_against_the_library(tokenizer, monkeypatch):
+    rng = random.Random(8)
+    some = ["the", "cat", "l'été", "naïve", "12,5%", "(x)", "…", "日本", "🙂", "don't", "a.b", "x,", "end."]
+    text = lambda n: "".join(rng.choice(some) + rng.choice([" ", " ", "  ", "\n", "\t", "\n\n "]) for _ in range(n)).strip()
+    texts = [*ODD, *(text(rng.randint(0, 60)) for _ in range(200)), text(300_000), "x" * 1_200_000]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def got(enc):
+        raw = [t.encode() for t in texts]
+        ids, first = enc.encode(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]))
+        return [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)]
+
+    assert got(encoder.Encoder(encoder.default_vocabulary())) == want
+    # stretches whose hashes collide, here nearly all, are told apart by their bytes
+    plain = encoder.Words.hash
+    monkeypatch.setattr(encoder.Words, "hash", lambda *a, **b: plain(*a, **b) % np.uint64(7))
+    texts = texts[:150]
+    want = want[:150]
+    assert got(encoder.Encoder(encoder.default_vocabulary())) == want
+
+
 def test_perfect_hash():
     keys = np.random.default_rng(1).integers(0, 2**64, 5000, dtype=np.uint64)
     for n in (1, 2, 7, 5000):
