@@ -234,6 +234,32 @@ def test_leaks_lose_only_the_windows_that_conflict(spark):
     assert [(r["n_windows"] - r["n_found"], r["n_slots"], r["n_changed"]) for r in got] == [(4, 1, 1)]  # the first 12 is in four windows, the second in five
 
 
+def test_values_are_consistent_over_all_alignments(spark):
+    first = "Anna has 12 red apples and some green pears in her basket"
+    second = "then 12 more people from the village ask Anna for a few of them"
+    item = f"{first} and {second}"
+    texts = [item, f"{first.replace('Anna', 'Boris')} indeed, and {second.replace('Anna', 'Boris')}", f"{first} indeed, and {second.replace('Anna', 'Boris').replace('12', '99')}"]
+    d = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").withColumns({c: F.lit("clash") for c in [*CLASH, "item_id"]})
+    b = spark.createDataFrame([(10, item)], "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontam.leaks(d, b, threshold=0.0).collect()}
+    n = got[0]["n_windows"]
+    # "indeed," stands between: windows over it are lost, and in the third text those of the first half that name other values
+    # than the second, which has more windows
+    assert got[0]["n_found"] == n and got[1]["n_found"] < n and got[1]["n_changed"] == 1
+    w = first.split()
+    slots = sum(any(x in ("12", "Anna") for x in w[i : i + 5]) for i in range(len(w) - 4))
+    assert got[1]["n_found"] - got[2]["n_found"] == slots
+    assert {r["doc_id"] for r in decontam.without_leaks(d, b).collect()} == {2} or got[2]["coverage"] >= 0.8
+
+
+def test_short_items_are_found_whole(spark):
+    items = ["capital of France", "name the largest river", "two words", "one", "12 kg 13 kg"]
+    texts = ["He knew the capital of France well.", "name the largest river", "these two words stand here", "one", "the capital of Spain", "12 kg 13 kg", None, ""]
+    d = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    b = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.leaks(d, b).collect()} == {(0, 0), (1, 1), (4, 0)}
+
+
 # --- tokens ---------------------------------------------------------------------------------------------------------
 
 ODD = ["", "a  b\n\n c\t d <|endoftext|> x", " lead", "trail ", "x\xa0y z", "it's 5kg's, don't... ((x)) é²½ a1b2,,\n\n z's", "\n\n\n a", "  ", "é é 日本 語", "“q” — x", "a\x1cb c", "o.k., end."]
