@@ -196,18 +196,19 @@ def currency_fallback(text: Column, strict: bool = False) -> Column:
     result = "struct<currency:string,issue_size:string>"
 
     def phrase(p: str) -> Column:
-        # a run of commas alone is no amount, so such a match is passed over
-        p = p.replace(r"([\d,\.]+)", r"([\d,\.]*[\d\.][\d,\.]*)")
+        # a match counts if it has an amount, more than commas, or a currency
+        p = P.counting_phrase(p)
 
         def read(x: Column) -> Column:
-            whole, group = x["w"], x["g"]
-            amount = scaled(F.replace(x["a"], F.lit(","), F.lit("")), F.lower(whole), strict)
+            whole, group = x["w"], F.coalesce(empty_to_null(x["g"]), x["g2"])
+            digits = F.replace(F.coalesce(empty_to_null(x["a"]), x["a2"]), F.lit(","), F.lit(""))
+            amount = scaled(digits, F.lower(whole), strict)
             exact = F.coalesce(*[F.when(F.upper(group) == c, F.lit(c)) for c in P.CURRENCY_CODES])
             start = F.regexp_instr(text, F.lit(ci(p)))
             near = let(F.substring(text, F.greatest(start - 50, F.lit(1)), start + F.length(whole) + 50 - F.greatest(start - 50, F.lit(1))), code_in)
-            return F.when(whole != "", F.struct(F.coalesce(exact, code_of_symbol(group), near).alias("currency"), empty_to_null(amount).alias("issue_size")))
+            return F.when(whole != "", F.struct(F.coalesce(exact, code_of_symbol(group), F.when(digits != "", near)).alias("currency"), empty_to_null(amount).alias("issue_size")))
 
-        return let(F.struct(*[F.regexp_extract(text, ci(p), i).alias(n) for i, n in ((0, "w"), (1, "g"), (2, "a"))]), read)
+        return let(F.struct(*[F.regexp_extract(text, ci(p), i).alias(n) for i, n in ((0, "w"), (1, "g"), (2, "a"), (3, "g2"), (4, "a2"))]), read)
 
     whole = F.regexp_extract(text, ci(P.PROGRAMME), 0)
     amount = scaled(F.replace(F.regexp_extract(text, ci(P.PROGRAMME), 1), F.lit(","), F.lit("")), F.lower(whole), strict)
@@ -254,6 +255,35 @@ def banks_near(text: Column, roles: Column) -> Column:
     return F.array_distinct(F.flatten(F.array_compact(F.transform(roles, one))))
 
 
+def token_set_ratio(a: Column, b: Column) -> Column:
+    """0 to 100: of the words that both have, followed by those that only one has, in order, the likeness of the two most alike of
+    common, common and first, common and second. Likeness is 100 less the share of edits in the longer one; two texts of
+    which one holds all words of the other are alike."""
+    like = lambda x, y: F.floor(100 - 100 * F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y), F.lit(1)))
+    words = lambda c: F.array_sort(F.array_distinct(F.filter(F.split(c, r"\s+"), lambda w: w != "")))
+    glue = lambda x, y: F.array_join(F.concat(x, y), " ")
+
+    def ratio(s: Column) -> Column:
+        both, x, y = F.array_intersect(s["a"], s["b"]), F.array_except(s["a"], s["b"]), F.array_except(s["b"], s["a"])
+        one, two, common = glue(both, x), glue(both, y), F.array_join(both, " ")
+        whole = (F.size(both) > 0) & ((F.size(x) == 0) | (F.size(y) == 0))
+        return F.when(whole, F.lit(100)).when(F.size(both) == 0, like(one, two)).otherwise(F.greatest(like(common, one), like(common, two), like(one, two))).cast("double")
+
+    return let(F.struct(words(a).alias("a"), words(b).alias("b")), ratio)
+
+
+def standard_bank(name: Column, aliases: dict[str, list[str]], threshold: int = 85) -> Column:
+    """struct of score and standard of the alias most like name (then the last by name), null below the threshold. The dictionary is
+    a literal: no join."""
+    every = F.array(*[F.struct(F.lit(a).alias("alias"), F.lit(s).alias("standard")) for s, xs in aliases.items() for a in xs])
+    score = lambda x: F.struct(F.when(x["alias"] == name, F.lit(100.0)).otherwise(token_set_ratio(name, x["alias"])).alias("score"), x["standard"].alias("standard"))
+    return let(F.array_max(F.transform(every, score)), lambda best: F.when(best["score"] >= threshold, best))
+
+
+def confidence_tier(confidence: Column) -> Column:
+    return F.when(confidence >= 0.8, "high").when(confidence >= 0.6, "medium").otherwise("low")
+
+
 def clean_bank_name(name: Column) -> Column:
     c = F.regexp_replace(name, ci(P.BANK_SUFFIX), "")
     c = F.trim(F.regexp_replace(F.regexp_replace(c, ci(P.BANK_PREFIX), ""), r"\s+", " "))
@@ -270,7 +300,7 @@ def is_valid_bank_name(name: Column) -> Column:
 
 
 def bank_mentions(text: Column, strict: bool = False) -> Column:
-    """array of (section, bank, roles): per section and raw name its standard name and the roles within 100 characters."""
+    """array of (section, bank, raw, roles): per section and raw name its standard name and the roles within 100 characters."""
 
     def of_section(s: Column) -> Column:
         t = s["text"]
@@ -283,7 +313,7 @@ def bank_mentions(text: Column, strict: bool = False) -> Column:
 
             def one(bank: Column) -> Column:
                 around = F.lower(text_around(t, bank, 100))
-                return F.struct(s["section"].alias("section"), clean_bank_name(bank).alias("bank"), let(around, lambda a: F.filter(roles, lambda r: F.contains(a, r))).alias("roles"))
+                return F.struct(s["section"].alias("section"), clean_bank_name(bank).alias("bank"), bank.alias("raw"), let(around, lambda a: F.filter(roles, lambda r: F.contains(a, r))).alias("roles"))
 
             return F.filter(F.transform(raw, one), lambda b: is_valid_bank_name(b["bank"]))
 
@@ -293,14 +323,15 @@ def bank_mentions(text: Column, strict: bool = False) -> Column:
 
 
 def banks(text: Column, strict: bool = False) -> Column:
-    """array of (bank, roles, sections), a row per standard name in the order found."""
+    """array of (bank, roles, sections, raw, confidence), a row per standard name in the order found; raw is the least of the names
+    as written, confidence how much of it and the standard name agree (1: all words of one are in the other)."""
 
     def merge(all_: Column) -> Column:
         names = F.array_distinct(F.transform(all_, lambda b: b["bank"]))
 
         def one(n: Column) -> Column:
             own = F.filter(all_, lambda b: b["bank"] == n)
-            return F.struct(n.alias("bank"), F.array_distinct(F.flatten(F.transform(own, lambda b: b["roles"]))).alias("roles"), F.array_distinct(F.transform(own, lambda b: b["section"])).alias("sections"))
+            return F.struct(n.alias("bank"), F.array_distinct(F.flatten(F.transform(own, lambda b: b["roles"]))).alias("roles"), F.array_distinct(F.transform(own, lambda b: b["section"])).alias("sections"), F.array_min(F.transform(own, lambda b: b["raw"])).alias("raw"), F.array_max(F.transform(own, lambda b: token_set_ratio(F.lower(b["raw"]), F.lower(n)) / 100)).alias("confidence"))
 
         return F.transform(names, one)
 

@@ -203,3 +203,14 @@ CONCORDANCE_NAMES = [
 ]
 ERROR_COMPONENTS = ["scraper", "extractor", "name_matching"]
 DEFAULT_FILE = "esma_doc_"
+
+
+def counting_phrase(p: str) -> str:
+    """An amount's phrase so that it matches only with a currency or symbol before the number (groups 1, 2), or with a number of more
+    than commas (groups 3, 4)."""
+    head, tail = p.split(r"([A-Z]{3}|\$|€|£|¥)", 1)
+    maybe = tail.startswith("?")
+    rest = tail.split(r"([\d,\.]+)", 1)[1]
+    letters = "|".join(f"{a}{s}{b}" for s in SYMBOL_TO_CODE if s.isalpha() for k in [3 - len(s)] for i in range(k + 1) for a, b in [("[A-Za-z]" * i, "[A-Za-z]" * (k - i))])
+    known = "|".join([*CURRENCY_CODES, r"\$", "€", "£", "¥", f"(?-i:{letters})"])
+    return rf"{head}(?:({known})\s*([\d,\.]+)|([A-Z]{{3}}|\$|€|£|¥){'?' if maybe else ''}\s*([\d,\.]*[\d\.][\d,\.]*)){rest}"

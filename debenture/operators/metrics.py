@@ -45,16 +45,59 @@ def error_top(log: DataFrame, n: int = 5, order: str = "seq", strict: bool = Fal
     e = errors(log, strict)
     rank = F.row_number().over(Window.partitionBy("component").orderBy(order))
     more = e.groupBy("component").agg((F.greatest(F.count("*"), F.lit(n)) - n).alias("more"))
-    return e.withColumn("rank", rank).filter(F.col("rank") <= n).join(F.broadcast(more), "component").select("component", "rank", "message", "more")
+    return e.withColumn("rank", rank).filter(F.col("rank") <= n).join(more, "component").select("component", "rank", "message", "more")
 
 
 def session_marks(log: DataFrame, seconds: int = 3600, requests: int = 100) -> DataFrame:
-    """Each session's requests in blocks of `requests`, and whether a request comes later than `seconds` after its session's
-    first: then, or when its block is full, the session is renewed."""
-    w = Window.partitionBy("company").orderBy("ts", "seq")
-    out = log.withColumns({"nth": F.row_number().over(w) - 1, "start": F.min("ts").over(Window.partitionBy("company"))})
-    age = F.unix_timestamp("ts") - F.unix_timestamp("start")
-    return out.select("company", "seq", F.floor(F.col("nth") / requests).alias("block"), age.alias("age_s"), ((age > seconds) | ((F.col("nth") > 0) & (F.col("nth") % requests == 0))).alias("renew"))
+    """(company, seq, session, request, age_s, renew): before each request the session is looked at; if it is older than `seconds`
+    or has had `requests` requests, it is renewed, and its clock and its count begin anew. session counts from 0, request
+    within the session; age_s is the session's age after that look. A fold over each company's requests in order (ts, seq): rows of
+    a company are sorted in one partition and pass through, with only the state of the last one kept."""
+    d = log.select("company", "seq", F.unix_timestamp("ts").alias("at"), "ts")
+    d = d.repartition("company").sortWithinPartitions("company", "ts", "seq").select("company", "seq", "at")
+
+    def run(batches):
+        import pyarrow as pa
+
+        last, session, start, count = (), 0, 0, 0
+        for batch in batches:
+            out = []
+            for company, at in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if (company,) != last:
+                    last, session, start, count, renew = (company,), 0, at, 0, False
+                else:
+                    renew = at - start > seconds or count >= requests
+                if renew:
+                    session, start, count = session + 1, at, 0
+                out.append((session, count, at - start, renew))
+                count += 1
+            if out:
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)]], names=["company", "seq", "session", "request", "age_s", "renew"])
+
+    return d.mapInArrow(run, f"company string, seq {dict(d.dtypes)['seq']}, session long, request long, age_s long, renew boolean")
+
+
+def batch_totals(log: DataFrame) -> DataFrame:
+    """(company, processed, errors, seconds): documents downloaded or read from the cache, errors, and the time from the first to
+    the last event."""
+    seconds = F.unix_timestamp(F.max("ts")) - F.unix_timestamp(F.min("ts"))
+    return log.groupBy("company").agg(F.count_if(F.col("kind").isin("download", "cache")).alias("processed"), F.count_if(F.col("kind") == "error").alias("errors"), seconds.alias("seconds"))
+
+
+def report(log: DataFrame) -> DataFrame:
+    """(part, of, line), the text report, in the order of part and of: companies by name with their figures, then errors by component."""
+    rates = success_rates(log).join(batch_totals(log).select("company", "seconds"), "company")
+    company = rates.select(F.lit(1).alias("part"), "company", F.concat(F.lit("  - "), "company", F.lit(": runtime "), F.col("seconds").cast("string"), F.lit(" s, found "), F.col("found").cast("string"), F.lit(", processed "), F.col("processed").cast("string"), F.lit(", success rate "), F.format_number(100 * F.col("report_rate"), 2), F.lit("%")).alias("line"))
+    error = error_rollup(log).select(F.when(F.col("component") == "total", 2).otherwise(3).alias("part"), F.col("component").alias("company"), F.when(F.col("component") == "total", F.concat(F.lit("Total errors: "), F.col("n").cast("string"))).otherwise(F.concat(F.lit("  - "), "component", F.lit(": "), F.col("n").cast("string"), F.lit(" errors"))).alias("line"))
+    return company.unionByName(error).select("part", F.col("company").alias("of"), "line")
+
+
+def save_metrics(log: DataFrame, path: str) -> None:
+    """counters, success_rates, batch_totals, errors as JSON, and the report as text, below path."""
+    for name, part in (("counters", counters(log)), ("success_rates", success_rates(log)), ("batch_totals", batch_totals(log)), ("errors", error_top(log))):
+        part.write.mode("overwrite").json(f"{path}/{name}")
+    report(log).orderBy("part", "of").select("line").coalesce(1).write.mode("overwrite").text(f"{path}/report")
 
 
 def retry_delay(attempt: Column, base: float = 5.0) -> Column:

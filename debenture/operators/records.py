@@ -19,11 +19,11 @@ def register_extractor(name: str, rule) -> None:
     EXTRACTORS[name] = rule
 
 
-def extracted(docs: DataFrame, text: str = "text", path: str = "file_path", strict: bool = False) -> DataFrame:
-    """docs without their text, with filename, metadata, sections, extracted_banks, bank_info and validation_flags. A text
+def extracted(docs: DataFrame, text: str = "text", path: str = "file_path", strict: bool = False, clean=T.clean_text) -> DataFrame:
+    """`clean` (text, strict) may be replaced by a cleaner of one's own. docs without their text, with filename, metadata, sections, extracted_banks, bank_info and validation_flags. A text
     that is empty once cleaned has only the flag text_extraction_failed; one whose dates can't be read has only
     `processing_error: no such group`."""
-    d = docs.withColumn("t", T.clean_text(F.col(text), strict)).withColumn("filename", filename_of_path(F.col(path)))
+    d = docs.withColumn("t", clean(F.col(text), strict)).withColumn("filename", filename_of_path(F.col(path)))
     d = d.withColumns({"d": E.dates(F.col("t"), strict), "m": E.currency(F.col("t"), strict), "c": E.coupon(F.col("t"), strict), "sections": T.document_sections(F.col("t"), strict), "bank_info": E.banks(F.col("t"), strict)})
     flags = E.validation_flags(F.size("bank_info"), F.col("d.issue_date"), F.col("d.maturity_date"), F.col("m.currency"), F.col("m.issue_size"), F.col("c.coupon_rate"), F.col("c.coupon_type"), F.size("sections"), F.col("filename"))
     empty, failed = F.col("t") == "", F.col("d.failed")
@@ -47,8 +47,8 @@ def consolidated(records: DataFrame) -> DataFrame:
     r = records.withColumn("b", F.explode_outer("bank_info")).withColumn("role", F.explode_outer("b.roles"))
     return r.select(
         F.col("company").alias("company_name"), F.col("company").alias("issuer_name"), "metadata.issue_date", "metadata.maturity_date", "metadata.issue_size", "metadata.currency", "metadata.coupon_rate",
-        F.col("b.bank").alias("bank_standard_name"), F.col("role").alias("bank_role"), F.col("b.bank").alias("bank_raw_name"),
-        F.when(F.col("b.bank").isNotNull(), F.lit(1.0)).alias("bank_confidence"), F.col("file_path").alias("pdf_path"), F.array_join("validation_flags", "; ").alias("validation_flags"),
+        F.col("b.bank").alias("bank_standard_name"), F.col("role").alias("bank_role"), F.col("b.raw").alias("bank_raw_name"),
+        F.col("b.confidence").alias("bank_confidence"), F.col("file_path").alias("pdf_path"), F.array_join("validation_flags", "; ").alias("validation_flags"),
     )
 
 

@@ -92,3 +92,26 @@ def cached(documents: DataFrame, index: DataFrame, files: DataFrame) -> DataFram
 
 def new_cache_entries(documents: DataFrame, index: DataFrame) -> DataFrame:
     return documents.join(index.select("doc_id"), "doc_id", "left_anti")
+
+
+def with_required(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """rows in which none of the columns is null or empty."""
+    for c in columns:
+        rows = rows.filter(F.col(c).isNotNull() & (F.col(c).cast("string") != ""))
+    return rows
+
+
+def dry_run(files: DataFrame, identity: list[str], bad: Column) -> DataFrame:
+    """(total_files, organized_files, skipped_files, error_files): bad files fail; of the others with one identity one is moved."""
+    head = files.groupBy(*identity).agg(F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return head.agg(total(F.col("good") + F.col("bad")).alias("total_files"), F.count_if(F.col("good") > 0).alias("organized_files"), total(F.greatest(F.col("good") - 1, F.lit(0))).alias("skipped_files"), total("bad").alias("error_files"))
+
+
+def against_index(files: DataFrame, content: Column, order: list[str], index: DataFrame, there: DataFrame) -> DataFrame:
+    """files with sha256, kept_path and is_duplicate, looked up in an index(sha256, path): the indexed path stands while its file is
+    there(path); an entry whose file is gone is forgotten, and the first of the files takes its place."""
+    out = first_by_content(files, content, order)
+    known = index.join(there.select("path").distinct(), "path", "left_semi").select("sha256", F.col("path").alias("indexed"))
+    out = out.join(known, "sha256", "left").withColumn("kept_path", F.coalesce("indexed", "kept_path"))
+    return out.withColumn("is_duplicate", F.col("path") != F.col("kept_path")).drop("indexed")

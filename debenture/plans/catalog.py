@@ -166,18 +166,21 @@ def banks_by_role(spark, sf):
 
 
 def standard_bank_names(spark, sf):
-    """Aliases to the letter, else the alias that shares the most words (blocked by a common word), from 85 on."""
-    aliases = spark.createDataFrame([(s, a) for s, xs in ALIASES.items() for a in xs], "standard string, alias string")
+    """Aliases to the letter, else the alias whose words are most like the name's, from 85 on."""
     names = _names(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"))).select("k", F.lower(E.clean_bank_name(F.col("raw"))).alias("name"))
-    words = lambda c: F.array_distinct(F.split(c, " "))
-    left = names.withColumn("word", F.explode(words(F.col("name"))))
-    right = aliases.withColumn("word", F.explode(words(F.col("alias"))))
-    both = left.join(right, "word").select("k", "name", "standard", "alias").distinct()
-    a, b = words(F.col("name")), words(F.col("alias"))
-    common = F.size(F.array_intersect(a, b))
-    score = F.when(F.col("name") == F.col("alias"), F.lit(100.0)).otherwise(F.floor(100.0 * common / F.least(F.size(a), F.size(b)) - 10.0 * (F.greatest(F.size(a), F.size(b)) - common > 2).cast("int")))
-    best = both.withColumn("score", score.cast("double")).groupBy("k", "name").agg(F.max(F.struct("score", "standard")).alias("best"))
-    return best.filter("best.score >= 85").select("k", "name", F.col("best.standard").alias("standard"), (F.col("best.score") / 100).alias("confidence"))
+    best = names.withColumn("best", E.standard_bank(F.col("name"), ALIASES)).filter("best is not null")
+    return best.select("k", "name", F.col("best.standard").alias("standard"), (F.col("best.score") / 100).alias("confidence"))
+
+
+def bank_confidence_tiers(spark, sf):
+    d = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.lower(F.replace("s_name", F.lit("Supplier#"), F.lit("paribas bank "))).alias("name"))
+    score = F.array_max(F.array(*[E.token_set_ratio(F.col("name"), F.lit(a)) for xs in ALIASES.values() for a in xs]))
+    return d.withColumn("confidence", score / 100).withColumn("tier", E.confidence_tier(F.col("confidence")))
+
+
+def bank_lists_by_role(spark, sf):
+    d = bank_role_section(spark, sf).select(F.coalesce("role", F.lit("Unknown")).alias("role"), "bank").distinct()
+    return d.groupBy("role").agg(F.array_join(F.sort_array(F.collect_set("bank")), "|").alias("banks"))
 
 
 ALIASES = {"BNP Paribas": ["bnp", "bnp paribas"], "Deutsche Bank": ["deutsche bank", "db"], "JPMorgan": ["jpmorgan", "jp morgan chase"], "Banco Santander": ["banco santander", "santander"], "Goldman Sachs": ["goldman sachs", "goldman sachs group"]}
@@ -226,7 +229,7 @@ def flag_summary(spark, sf):
 
 def plausibility(spark, sf):
     r = _records(spark, sf)
-    flags = E.plausibility_flags(F.col("metadata.issue_date"), F.col("metadata.maturity_date"), F.col("metadata.currency"), F.col("metadata.issue_size"), F.lit(1.0))
+    flags = E.plausibility_flags(F.col("metadata.issue_date"), F.col("metadata.maturity_date"), F.col("metadata.currency"), F.col("metadata.issue_size"), F.array_min(F.transform("bank_info", lambda b: b["confidence"])))
     return r.select("doc_id", F.array_join(flags, ",").alias("flags"))
 
 
@@ -342,7 +345,7 @@ def first_companies(spark, sf):
 
 
 def mock_fallback_lookup(spark, sf):
-    r = register(spark, sf).filter("seq % 50 = 0").select("company", F.col("company").alias("issuer"), "seq")
+    r = register(spark, sf).select("company", F.col("company").alias("issuer"), "seq")
     default = spark.createDataFrame([("default", "Default", -1), ("default", "Default", -2)], "company string, issuer string, seq long")
     c = table(spark, sf, "customer").select(F.col("c_name").alias("name"))
     return C.with_fallback(c, r.unionByName(default)).select("name", "issuer", "seq")
@@ -391,7 +394,41 @@ def error_top5(spark, sf):
 
 
 def session_budget(spark, sf):
-    return M.session_marks(run_log(spark, sf)).select("company", "seq", F.col("block").cast("long").alias("block"), F.col("age_s").cast("long").alias("age_s"), "renew")
+    return M.session_marks(run_log(spark, sf)).select("company", "seq", "session", "request", "age_s", "renew")
+
+
+def batch_totals(spark, sf):
+    return M.batch_totals(run_log(spark, sf))
+
+
+def metrics_report(spark, sf):
+    return M.report(run_log(spark, sf))
+
+
+def required_fields(spark, sf):
+    """How many register rows have an id and a url, as all that is downloaded must."""
+    r = register(spark, sf).withColumn("doc_id", F.when(F.col("seq") % 4 > 0, F.col("seq")))
+    kept = G.with_required(r, ["doc_id", "url"]).agg(F.count("*").alias("kept"))
+    return r.agg(F.count("*").alias("n")).join(kept)
+
+
+def dry_run_stats(spark, sf):
+    """Files that the organiser would move, skip (told before) and fail on (no url)."""
+    return G.dry_run(register(spark, sf), ["company", "url"], F.col("url") == "")
+
+
+def first_date_matches(spark, sf):
+    """The first three dates of each document, by pattern, then place."""
+    found = F.slice(E.all_matches(F.col("text"), P.DATE_STRINGS), 1, 3)
+    return prospectuses(spark, sf).select("doc_id", F.posexplode(found).alias("nr", "found"))
+
+
+def content_against_index(spark, sf):
+    """Files looked up in an index of contents, of which some files are gone."""
+    d = table(spark, sf, "documents").filter("text is not null").select("doc_id", "text", F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("path"))
+    i = G.first_by_content(d.filter("doc_id % 2 = 0"), F.col("text"), ["doc_id"]).filter("not is_duplicate").select("sha256", "path")
+    there = i.filter("path not like '%4'").select("path")
+    return G.against_index(d, F.col("text"), ["doc_id"], i, there).select("doc_id", "sha256", "kept_path", "is_duplicate")
 
 
 def retry_delays(spark, sf):
@@ -447,14 +484,14 @@ def files_per_company(spark, sf):
 NAMES = [
     clean_text, clean_prospectus, find_section_distribution, extract_sections, bank_sections, text_context,
     dates_issue_maturity, date_parse_matrix, currency_primary, currency_fallback, currency_full, programme_size, coupon,
-    bank_roles, bank_known_names, bank_near_roles, bank_clean_name, bank_valid_name, bank_role_section, banks_by_role, standard_bank_names,
+    bank_roles, bank_known_names, bank_near_roles, bank_clean_name, bank_valid_name, bank_role_section, banks_by_role, bank_lists_by_role, standard_bank_names, bank_confidence_tiers,
     validation_flags, extraction_record, consolidated_flat, typed_record, issuance_by_currency_year, issuance_by_bank, flag_summary, plausibility, run_summary,
     final_terms_filter, filename_recognised, filename_from_url, filename_from_header, organized_path, path_collisions, output_filename,
-    document_id_md5, document_hash_md5, content_sha256, content_dedup, url_dedup,
+    document_id_md5, document_hash_md5, content_sha256, content_dedup, content_against_index, url_dedup, required_fields, dry_run_stats,
     eu_company_filter, unprocessed_companies, downloaded_documents, company_lookup_ci, company_suffix_strip, company_type_counts, company_stats,
     docs_top5_per_company, first_companies, mock_fallback_lookup, cache_lookup, cache_inserts, company_documents, processed_names_sorted,
-    run_counters, success_rate, error_rollup, error_top5, session_budget, retry_delays,
-    html_links, html_result_rows, keyword_lines, distinct_dates_top20, name_concordance, path_union, files_per_company,
+    run_counters, success_rate, error_rollup, error_top5, session_budget, batch_totals, metrics_report, retry_delays,
+    html_links, html_result_rows, keyword_lines, first_date_matches, distinct_dates_top20, name_concordance, path_union, files_per_company,
 ]
 
 

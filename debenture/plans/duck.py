@@ -110,14 +110,15 @@ SELECT d.doc_id, c AS currency, s AS issue_size FROM d LEFT JOIN g ON g.doc_id =
 def currency_fallback(rel: str, t: str = "t") -> str:
     parts = []
     for i, p in enumerate(P.AMOUNT_PHRASES):
-        p = p.replace(r"([\d,\.]+)", r"([\d,\.]*[\d\.][\d,\.]*)")
-        parts.append(f"SELECT doc_id, {i} AS p, regexp_extract({t}, {ci(p)}, 0) AS w, regexp_extract({t}, {ci(p)}, 1) AS g, regexp_extract({t}, {ci(p)}, 2) AS a, {start(t, '(?i)' + p).replace('(?s)^(.*?)(?i)', '(?is)^(.*?)')} AS pos, {t} AS t FROM d")
+        p = P.counting_phrase(p)
+        either = lambda x, y: f"coalesce(nullif(regexp_extract({t}, {ci(p)}, {x}), ''), regexp_extract({t}, {ci(p)}, {y}))"  # noqa: B023, E731
+        parts.append(f"SELECT doc_id, {i} AS p, regexp_extract({t}, {ci(p)}, 0) AS w, {either(1, 3)} AS g, {either(2, 4)} AS a, {start(t, '(?i)' + p).replace('(?s)^(.*?)(?i)', '(?is)^(.*?)')} AS pos, {t} AS t FROM d")
     parts.append(f"SELECT doc_id, 9 AS p, regexp_extract({t}, {ci(P.PROGRAMME)}, 0) AS w, 'EUR' AS g, regexp_extract({t}, {ci(P.PROGRAMME)}, 1) AS a, 1 AS pos, {t} AS t FROM d")
     exact = "CASE " + " ".join(f"WHEN upper(g) = {q(c)} THEN {q(c)}" for c in P.CURRENCY_CODES) + " END"
     near = code_in("substring(t, greatest(pos - 50, 1), pos + length(w) + 50 - greatest(pos - 50, 1))")
     amount = scaled("replace(a, ',', '')", "lower(w)")
     return f"""WITH d AS ({rel}), f AS ({' UNION ALL '.join(parts)}),
-g AS (SELECT doc_id, coalesce({exact}, {symbol_code('g')}, {near}) AS c, nullif({amount}, '') AS s, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS r FROM f WHERE w <> '')
+g AS (SELECT doc_id, coalesce({exact}, {symbol_code('g')}, CASE WHEN replace(a, ',', '') <> '' THEN {near} END) AS c, nullif({amount}, '') AS s, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS r FROM f WHERE w <> '')
 SELECT d.doc_id, c AS currency, s AS issue_size FROM d LEFT JOIN g ON g.doc_id = d.doc_id AND r = 1"""
 
 
@@ -169,6 +170,22 @@ def near(rel: str) -> str:
     return f"SELECT DISTINCT doc_id, section, text, raw FROM (SELECT doc_id, section, text, unnest(regexp_extract_all(a, {q(P.CAPITALISED)}, 0)) AS raw FROM ({ctx}) WHERE {good}) WHERE NOT regexp_matches(raw, {q(P.CANDIDATE_STOP)})"
 
 
+def token_set(a: str, b: str) -> str:
+    """The likeness of two texts by their words, 0 to 100."""
+    like = lambda x, y: f"floor(100 - 100 * levenshtein({x}, {y}) / greatest(length({x}), length({y}), 1))"
+    words = lambda c: f"list_sort(list_distinct(list_filter(regexp_split_to_array({c}, {q(r'\s+')}), lambda w: w <> '')))"
+    return f"""(SELECT CASE WHEN len(i) > 0 AND (len(x) = 0 OR len(y) = 0) THEN 100 WHEN len(i) = 0 THEN {like('o', 't')} ELSE greatest({like('c', 'o')}, {like('c', 't')}, {like('o', 't')}) END::DOUBLE
+ FROM (SELECT i, x, y, array_to_string(i, ' ') AS c, array_to_string(list_concat(i, x), ' ') AS o, array_to_string(list_concat(i, y), ' ') AS t
+  FROM (SELECT list_filter(k, lambda w: list_contains(l, w)) AS i, list_filter(k, lambda w: NOT list_contains(l, w)) AS x, list_filter(l, lambda w: NOT list_contains(k, w)) AS y FROM (SELECT {words(a)} AS k, {words(b)} AS l))))"""
+
+
+def raw_names(rel: str, t: str = "t") -> str:
+    """rel(doc_id, t) to (doc_id, bank, raw, confidence)."""
+    s = sections(rel, t)
+    return f"""SELECT doc_id, bank, min(raw) AS raw, max({token_set('lower(raw)', 'lower(bank)')} / 100) AS confidence FROM (
+ WITH s AS MATERIALIZED ({s}) SELECT doc_id, raw, {bank_name('raw')} AS bank FROM ({known('SELECT * FROM s')} UNION {near('SELECT * FROM s')})) WHERE {bank_valid('bank')} GROUP BY doc_id, bank"""
+
+
 def mentions(rel: str, t: str = "t") -> str:
     """rel(doc_id, t) to (doc_id, section, bank, role): role null where a bank has none."""
     s = sections(rel, t)

@@ -78,10 +78,8 @@ def records() -> str:
 
 REC = records()
 
-NEAR_SCORE = """SELECT k, name, max_by(standard, (score, standard)) AS standard, max(score) / 100 AS confidence FROM (
- SELECT DISTINCT k, name, standard, alias, CASE WHEN name = alias THEN 100.0 ELSE floor(100.0 * c / least(a, b) - 10.0 * (CASE WHEN greatest(a, b) - c > 2 THEN 1 ELSE 0 END)) END::DOUBLE AS score
- FROM (SELECT k, name, standard, alias, len(list_intersect(list_distinct(string_split(name, ' ')), list_distinct(string_split(alias, ' ')))) AS c, len(list_distinct(string_split(name, ' '))) AS a, len(list_distinct(string_split(alias, ' '))) AS b
-  FROM n, al) WHERE c > 0) WHERE score >= 85 GROUP BY k, name"""
+NEAR_SCORE = f"""SELECT k, name, max_by(standard, (score, standard)) AS standard, max(score) / 100 AS confidence FROM (
+ SELECT k, name, standard, alias, CASE WHEN name = alias THEN 100.0 ELSE {D.token_set('name', 'alias')} END AS score FROM n, al) GROUP BY k, name HAVING max(score) >= 85"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -111,15 +109,15 @@ def oracle_sql() -> dict[str, str]:
         "standard_bank_names": f"WITH n AS (SELECT k, lower({D.bank_name('raw')}) AS name FROM ({names()})), al AS (SELECT * FROM (VALUES {', '.join(f'({q(s)}, {q(a)})' for s, xs in ALIASES.items() for a in xs)}) v(standard, alias)) {NEAR_SCORE}",
         "validation_flags": f"{REC} SELECT doc_id, array_to_string(flags, ',') AS flags FROM rec",
         "extraction_record": f"{REC} SELECT doc_id, filename, issue_date, maturity_date, issue_size, currency, coupon_rate, coupon_type, banks, array_to_string(flags, ',') AS flags FROM rec",
-        "consolidated_flat": f"""{REC}, x AS (SELECT doc_id, bank, role, count(role) OVER (PARTITION BY doc_id, bank) AS n FROM (SELECT DISTINCT doc_id, bank, role FROM mn)), y AS (SELECT * FROM x WHERE role IS NOT NULL OR n = 0)
- SELECT company AS company_name, company AS issuer_name, issue_date, maturity_date, issue_size, currency, coupon_rate, y.bank AS bank_standard_name, y.role AS bank_role, y.bank AS bank_raw_name, CASE WHEN y.bank IS NOT NULL THEN 1.0::DOUBLE END AS bank_confidence, file_path AS pdf_path, array_to_string(flags, '; ') AS validation_flags
+        "consolidated_flat": f"""{REC}, x AS (SELECT doc_id, bank, role, count(role) OVER (PARTITION BY doc_id, bank) AS n FROM (SELECT DISTINCT doc_id, bank, role FROM mn)), rw AS ({D.raw_names('SELECT * FROM r')}), y AS (SELECT x.*, raw, confidence FROM x JOIN rw ON rw.doc_id = x.doc_id AND rw.bank = x.bank WHERE role IS NOT NULL OR n = 0)
+ SELECT company AS company_name, company AS issuer_name, issue_date, maturity_date, issue_size, currency, coupon_rate, y.bank AS bank_standard_name, y.role AS bank_role, y.raw AS bank_raw_name, y.confidence AS bank_confidence, file_path AS pdf_path, array_to_string(flags, '; ') AS validation_flags
  FROM rec LEFT JOIN y ON y.doc_id = rec.doc_id AND NOT rec.failed""",
         "typed_record": f"{REC} SELECT doc_id, CAST(CAST(issue_date AS DATE) AS VARCHAR) AS issue_date, CAST(CAST(maturity_date AS DATE) AS VARCHAR) AS maturity_date, TRY_CAST(issue_size AS DOUBLE) AS issue_size, currency, CAST(coupon_rate AS DOUBLE) AS coupon_rate FROM rec",
         "issuance_by_currency_year": f"{REC} SELECT currency, CAST(year(CAST(issue_date AS DATE)) AS BIGINT) AS year, count(*) AS n, CAST(sum(CAST(TRY_CAST(issue_size AS DOUBLE) AS DECIMAL(38,6))) AS DOUBLE) AS size FROM rec GROUP BY 1, 2",
         "issuance_by_bank": f"{REC} SELECT bank, count(*) AS n, CAST(sum(CAST(TRY_CAST(issue_size AS DOUBLE) AS DECIMAL(38,2))) AS DOUBLE) AS size FROM (SELECT DISTINCT doc_id, bank FROM mn) b JOIN rec USING (doc_id) WHERE NOT failed GROUP BY bank",
         "flag_summary": f"{REC} SELECT doc_id, CASE WHEN len(flags) = 0 THEN 'None' WHEN length(j) > 27 THEN left(j, 27) || '...' ELSE j END AS line, len(flags) AS n_flags, n_banks FROM (SELECT *, array_to_string(flags, ', ') AS j FROM rec)",
-        "plausibility": f"""{REC}, x AS (SELECT doc_id, TRY_CAST(issue_date AS DATE) AS i, TRY_CAST(maturity_date AS DATE) AS m, currency, issue_size FROM rec)
- SELECT doc_id, array_to_string(list_filter([CASE WHEN m <= i THEN 'maturity_not_after_issue' END, CASE WHEN NOT year(i) BETWEEN 1990 AND 2050 THEN 'issue_date_out_of_range' END, CASE WHEN NOT year(m) BETWEEN 1990 AND 2050 THEN 'maturity_date_out_of_range' END, CASE WHEN currency IS NULL OR issue_size IS NULL THEN 'size_or_currency_missing' END], lambda x: x IS NOT NULL), ',') AS flags FROM x""",
+        "plausibility": f"""{REC}, x AS (SELECT rec.doc_id, TRY_CAST(issue_date AS DATE) AS i, TRY_CAST(maturity_date AS DATE) AS m, currency, issue_size, CASE WHEN NOT failed THEN k.confidence END AS confidence FROM rec LEFT JOIN (SELECT doc_id, min(confidence) AS confidence FROM ({D.raw_names('SELECT * FROM r')}) GROUP BY doc_id) k ON k.doc_id = rec.doc_id)
+ SELECT doc_id, array_to_string(list_filter([CASE WHEN m <= i THEN 'maturity_not_after_issue' END, CASE WHEN NOT year(i) BETWEEN 1990 AND 2050 THEN 'issue_date_out_of_range' END, CASE WHEN NOT year(m) BETWEEN 1990 AND 2050 THEN 'maturity_date_out_of_range' END, CASE WHEN currency IS NULL OR issue_size IS NULL THEN 'size_or_currency_missing' END, CASE WHEN confidence < 0.85 THEN 'low_bank_confidence' END], lambda x: x IS NOT NULL), ',') AS flags FROM x""",
         "run_summary": f"{REC} SELECT count(DISTINCT company) AS companies_attempted, count(DISTINCT company) FILTER (NOT empty AND NOT failed) AS companies_succeeded, count(*) AS documents, count(*) FILTER (empty OR failed) AS errors FROM rec",
         "final_terms_filter": f"SELECT doc_id, filename FROM (SELECT doc_id, {BASENAME} AS filename FROM ({PRO})) WHERE {any_of('lower(filename)', P.FINAL_TERMS)}",
         "filename_recognised": f"SELECT doc_id, filename, {any_of('lower(filename)', P.RECOGNISED)} AS recognised FROM (SELECT doc_id, {BASENAME} AS filename FROM ({PRO}))",
@@ -142,7 +140,7 @@ def oracle_sql() -> dict[str, str]:
         "company_stats": f"SELECT company, sum(n) OVER (PARTITION BY company)::BIGINT AS total_documents, max(l) OVER (PARTITION BY company) AS last_updated, doc_type, n FROM (SELECT company, doc_type, count(*) AS n, max(CAST(d AS DATE)) AS l FROM ({REGISTER}) GROUP BY 1, 2)",
         "docs_top5_per_company": f"SELECT company, seq, rank FROM (SELECT company, seq, row_number() OVER (PARTITION BY company ORDER BY seq) AS rank FROM ({REGISTER})) WHERE rank <= 5",
         "first_companies": f"SELECT seq, name, country FROM ({COMPANIES}) ORDER BY seq LIMIT 5",
-        "mock_fallback_lookup": f"WITH r AS (SELECT company, seq FROM ({REGISTER}) WHERE seq % 50 = 0) SELECT c_name AS name, c_name AS issuer, seq FROM customer JOIN r ON company = c_name UNION ALL SELECT c_name, c_name, s FROM customer, (VALUES (-1), (-2)) v(s) WHERE c_name NOT IN (SELECT company FROM r)",
+        "mock_fallback_lookup": f"WITH r AS (SELECT company, seq FROM ({REGISTER})) SELECT c_name AS name, c_name AS issuer, seq FROM customer JOIN r ON company = c_name UNION ALL SELECT c_name, c_name, s FROM customer, (VALUES (-1), (-2)) v(s) WHERE c_name NOT IN (SELECT company FROM r)",
         "cache_lookup": "SELECT o_orderkey AS doc_id, CASE WHEN o_orderkey % 6 = 0 THEN '/cache/' || o_orderkey END AS cache_path, o_orderkey % 6 = 0 AS cache_hit FROM orders",
         "cache_inserts": "SELECT o_orderkey AS doc_id FROM orders WHERE o_orderkey % 3 <> 0",
         "company_documents": f"SELECT name, count(url) AS n FROM ({COMPANIES}) LEFT JOIN ({REGISTER}) ON name = company GROUP BY name",
@@ -151,7 +149,24 @@ def oracle_sql() -> dict[str, str]:
         "success_rate": f"SELECT company, found, processed, CASE WHEN found > 0 THEN processed / found END AS rate, processed / greatest(found, 1) AS report_rate FROM (SELECT company, coalesce(sum(value) FILTER (kind = 'found'), 0)::BIGINT AS found, count(*) FILTER (kind IN ('download', 'cache')) AS processed FROM ({LOG}) GROUP BY company)",
         "error_rollup": f"SELECT coalesce(component, 'total') AS component, count(*) AS n FROM ({LOG}) WHERE kind = 'error' AND component IN ({', '.join(q(c) for c in P.ERROR_COMPONENTS)}) GROUP BY ROLLUP (component)",
         "error_top5": f"SELECT component, rank, message, greatest(n, 5) - 5 AS more FROM (SELECT component, message, row_number() OVER (PARTITION BY component ORDER BY seq) AS rank, count(*) OVER (PARTITION BY component) AS n FROM ({LOG}) WHERE kind = 'error' AND component IN ({', '.join(q(c) for c in P.ERROR_COMPONENTS)})) WHERE rank <= 5",
-        "session_budget": f"SELECT company, seq, nth // 100 AS block, age AS age_s, age > 3600 OR (nth > 0 AND nth % 100 = 0) AS renew FROM (SELECT company, seq, row_number() OVER (PARTITION BY company ORDER BY ts, seq) - 1 AS nth, (floor(epoch(ts)) - floor(epoch(min(ts) OVER (PARTITION BY company))))::BIGINT AS age FROM ({LOG}))",
+        "session_budget": f"""WITH RECURSIVE l AS MATERIALIZED (SELECT company, seq, floor(epoch(ts))::BIGINT AS sec, row_number() OVER (PARTITION BY company ORDER BY ts, seq) AS nth FROM ({LOG})),
+ f AS (SELECT company, seq, nth, 0::BIGINT AS session, 0::BIGINT AS request, sec AS start, sec, false AS renew FROM l WHERE nth = 1 UNION ALL
+  SELECT company, seq, nth, session + r::INT, CASE WHEN r THEN 0 ELSE request + 1 END, CASE WHEN r THEN sec ELSE start END, sec, r
+  FROM (SELECT l.company, l.seq, l.nth, l.sec, f.session, f.request, f.start, l.sec - f.start > 3600 OR f.request + 1 >= 100 AS r FROM f JOIN l ON l.company = f.company AND l.nth = f.nth + 1))
+ SELECT company, seq, session, request, sec - start AS age_s, renew FROM f""",
+        "batch_totals": f"SELECT company, count(*) FILTER (kind IN ('download', 'cache')) AS processed, count(*) FILTER (kind = 'error') AS errors, (floor(epoch(max(ts))) - floor(epoch(min(ts))))::BIGINT AS seconds FROM ({LOG}) GROUP BY company",
+        "metrics_report": f"""WITH c AS (SELECT company, (floor(epoch(max(ts))) - floor(epoch(min(ts))))::BIGINT AS s, coalesce(sum(value) FILTER (kind = 'found'), 0)::BIGINT AS f, count(*) FILTER (kind IN ('download', 'cache')) AS p FROM ({LOG}) GROUP BY company),
+ e AS (SELECT component, count(*) AS n FROM ({LOG}) WHERE kind = 'error' AND component IN ({', '.join(q(c) for c in P.ERROR_COMPONENTS)}) GROUP BY ROLLUP (component))
+ SELECT 1 AS part, company AS of, '  - ' || company || ': runtime ' || s || ' s, found ' || f || ', processed ' || p || ', success rate ' || format('{{:,.2f}}', 100.0 * p / greatest(f, 1)) || '%' AS line FROM c
+ UNION ALL SELECT CASE WHEN component IS NULL THEN 2 ELSE 3 END, coalesce(component, 'total'), CASE WHEN component IS NULL THEN 'Total errors: ' || n ELSE '  - ' || component || ': ' || n || ' errors' END FROM e""",
+        "required_fields": f"SELECT count(*) AS n, count(*) FILTER (url <> '' AND doc_id IS NOT NULL) AS kept FROM (SELECT url, CASE WHEN seq % 4 > 0 THEN seq END AS doc_id FROM ({REGISTER}))",
+        "dry_run_stats": f"SELECT count(*) AS total_files, count(*) FILTER (NOT gone AND NOT bad) AS organized_files, count(*) FILTER (gone AND NOT bad) AS skipped_files, count(*) FILTER (bad) AS error_files FROM (SELECT row_number() OVER (PARTITION BY url, company ORDER BY seq) > 1 AS gone, url = '' AS bad FROM ({REGISTER}))",
+        "first_date_matches": f"SELECT doc_id, nr, found FROM (SELECT doc_id, unnest(l) AS found, generate_subscripts(l, 1) - 1 AS nr FROM (SELECT doc_id, list_slice({D.matches('text', P.DATE_STRINGS)}, 1, 3) AS l FROM ({PRO})))",
+        "bank_confidence_tiers": f"SELECT k, name, confidence, CASE WHEN confidence >= 0.8 THEN 'high' WHEN confidence >= 0.6 THEN 'medium' ELSE 'low' END AS tier FROM (SELECT k, name, max({D.token_set('name', 'alias')}) / 100 AS confidence FROM (SELECT s_suppkey AS k, lower(replace(s_name, 'Supplier#', 'paribas bank ')) AS name FROM supplier), (VALUES {', '.join(f'({q(a)})' for xs in ALIASES.values() for a in xs)}) v(alias) GROUP BY k, name)",
+        "bank_lists_by_role": f"WITH x AS (SELECT doc_id, section, bank, role, count(role) OVER (PARTITION BY doc_id, section, bank) AS n FROM ({MENTIONS})) SELECT coalesce(role, 'Unknown') AS role, string_agg(DISTINCT bank, '|' ORDER BY bank) AS banks FROM x WHERE role IS NOT NULL OR n = 0 GROUP BY 1",
+        "content_against_index": """WITH f AS (SELECT doc_id, source || '/' || doc_id AS path, sha256(text) AS sha FROM documents WHERE text IS NOT NULL), i AS (SELECT sha, min_by(path, doc_id) AS old FROM f WHERE doc_id % 2 = 0 GROUP BY sha),
+ j AS (SELECT i.sha, old, NOT old LIKE '%4' AS there FROM i), n AS (SELECT sha, min_by(path, doc_id) AS head FROM f GROUP BY sha)
+ SELECT doc_id, sha AS sha256, CASE WHEN there THEN old ELSE head END AS kept_path, path <> CASE WHEN there THEN old ELSE head END AS is_duplicate FROM f JOIN n USING (sha) LEFT JOIN j USING (sha)""",
         "retry_delays": "SELECT range AS attempt, 5.0::DOUBLE * pow(2.0, range) AS seconds FROM range(6)",
         "html_links": f"SELECT page_id, url, {url_name('url')} AS filename FROM (SELECT page_id, regexp_extract(html, {q(r'(?is)<a\b[^>]*?href\s*=\s*"([^"]*)"')}, 1) AS url FROM pages) WHERE url <> ''",
         "html_result_rows": f"SELECT page, row, company AS issuer_name, doc_type, date, url, {url_name('url')} AS filename FROM (SELECT *, seq // 20 AS page, row_number() OVER (PARTITION BY seq // 20 ORDER BY seq) - 1 AS row FROM ({REGISTER})) WHERE url <> ''",
