@@ -69,9 +69,13 @@ def keyed(lines: DataFrame, probe: bool, steps: Steps = EDITS, part: int = 0, pa
     return d.select(F.xxhash64("short", "i", F.expr("substring(wide, 4 * at - 3, 4 * size)")).alias("key"), "id", F.expr("less = 0 and shift = 0").alias("own"))
 
 
+#: Frequent characters that are counted in lines that meet.
+LETTERS = "etaoinshrdlcumwfgypbvkz ,.EIAT"
+
+
 def letter_counts(line: Column) -> Column:
-    """How often the line holds each of 30 frequent characters. An edit changes two of the numbers at most, by one."""
-    return F.array(*[F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in "etaoinshrdlcumwfgypbvkz ,.EIAT"])
+    """How often the line holds each of LETTERS. An edit changes two of the numbers at most, by one."""
+    return F.array(*[F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS])
 
 
 def odd_bits(counts: Column) -> Column:
@@ -192,20 +196,25 @@ def near_lines(distinct: DataFrame, steps: Steps = EDITS) -> DataFrame:
     met = reduce(DataFrame.unionByName, parts)
     ids = met.select("id").unionByName(met.filter("many = 1").select(F.col("low").alias("id"))).distinct()
     texts = saved(distinct.join(ids, "id", "left_semi").withColumn("counts", letter_counts(F.col("line"))).withColumns({"odd": odd_bits(F.col("counts")), "most": allowed(F.length("line"), steps)}), "lines-texts")
-    odd = texts.select("id", "odd", "most")
-    by = met.join(odd, "id")
-    one = odd.select(F.col("id").alias("low"), F.col("odd").alias("odd2"), F.col("most").alias("most2"))
-    alone = by.filter("many = 1").join(one, "low").select("id", F.col("low").alias("to"), "odd", "odd2", "most", "most2")
-    # lines that share a segment with many: those that can be found are dealt out, those that look for them go to all
-    many = by.filter("many > 1").withColumn("deals", F.ceil(F.col("many") / HOT).cast("int"))
-    held = many.filter("own").select("key", F.pmod(F.xxhash64("id"), F.col("deals")).cast("int").alias("deal"), F.col("id").alias("to"), F.col("odd").alias("odd2"), F.col("most").alias("most2"))
-    looking = many.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).select("key", "deal", "id", "odd", "most")
-    reach = lambda d: d.filter("id <> to and bit_count(odd ^ odd2) <= 2 * least(most, most2)").select(F.least("id", "to").alias("a"), F.greatest("id", "to").alias("b"))
-    pairs = saved(reach(alone).unionByName(reach(looking.join(held, ["key", "deal"]))).distinct(), "lines-pairs")
-    side = lambda name, *to: texts.select(F.col("id").alias(name), *[F.col(c).alias(x) for c, x in zip(("line", "counts", "most"), to, strict=True)])
-    both = pairs.join(side("a", "u", "c", "most"), "a").join(side("b", "v", "c2", "most2"), "b").withColumn("most", F.least("most", "most2"))
-    apart = F.aggregate(F.zip_with("c", "c2", lambda x, y: F.abs(x - y)), F.lit(0), lambda acc, x: acc + x)
-    near = both.filter(apart <= 2 * F.col("most")).select("a", "b", line_distance(F.col("u"), F.col("v"), max(e for _, e in steps), F.col("most")).alias("edits"), "most")
+    facts = ("id", "line", "counts", "odd", "most")
+    one = texts.select(*facts)
+    two = texts.select(*[F.col(c).alias(f"{c}2") for c in facts])
+    most = F.least("most", "most2")
+    apart = reduce(lambda x, y: x + y, [F.abs(F.get("counts", F.lit(i)) - F.get("counts2", F.lit(i))) for i in range(len(LETTERS))])
+    distance = line_distance(F.col("line"), F.col("line2"), max(e for _, e in steps), most)
+    may = (F.col("id") != F.col("id2")) & (F.bit_count(F.col("odd").bitwiseXOR(F.col("odd2"))) <= 2 * most) & (apart <= 2 * most)
+    ends = [F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")]
+    alone = met.filter("many = 1").select("id", F.col("low").alias("id2")).distinct().join(one.drop("line"), "id").join(two.drop("line2"), "id2").filter(may)
+    # lines that share a segment with many: those that can be found are dealt out, those that look for them go to all, and what
+    # comes out of the join are links, not pairs that met
+    many = met.filter("many > 1").withColumn("deals", F.ceil(F.col("many") / HOT).cast("int")).join(one, "id")
+    held = many.filter("own").select(F.col("key").alias("key2"), F.pmod(F.xxhash64("id"), F.col("deals")).cast("int").alias("deal2"), *[F.col(c).alias(f"{c}2") for c in facts])
+    looking = many.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).select("key", "deal", *facts)
+    linked = looking.join(held, (F.col("key") == F.col("key2")) & (F.col("deal") == F.col("deal2")) & may & (distance <= most))
+    pairs = saved(alone.select(*ends).unionByName(linked.select(*ends)).distinct(), "lines-pairs")
+    side = lambda name, line, most: texts.select(F.col("id").alias(name), F.col("line").alias(line), F.col("most").alias(most))
+    both = pairs.join(side("a", "line", "most"), "a").join(side("b", "line2", "most2"), "b")
+    near = both.select("a", "b", distance.alias("edits"), most.alias("most"))
     near = saved(near.filter("edits <= most").select("a", "b", "edits"), "lines-near")
     discard(*parts, texts, pairs)
     return near
