@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from debenture.llm import decontam, jaccard, mixing, quality, sharding
-from debenture.llm.common import saved
+from debenture.llm.common import discard, discard_since, saved, working_files
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,14 +37,20 @@ def shard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality_stage), ("near_duplicates", duplicate_stage), ("decontamination", benchmark_stage), ("mix", mix_stage), ("shards", shard_stage)]
 
-#: The classifier and the drawn shards are beyond SQL; tests/llm hold the stages against brute force.
+#: The classifier and the drawn shards are beyond SQL; tests/llm hold each stage against what it was given.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
+        before = working_files()
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = saved(docs, f"pipeline-{name}")
+            # what the stage wrote on its way is read no more; what it was given goes as the next one has been written
+            discard_since(before, docs)
+            if i:
+                discard(last)
+            last = docs
     return docs
