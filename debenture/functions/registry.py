@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from debenture.functions import patterns as P
 from debenture.operators import records
 
 SCALARS = {
@@ -14,10 +15,25 @@ SCALARS = {
 }
 
 
+def _quoted(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _bank_scalars() -> dict:
+    ci = lambda p: _quoted(f"(?i){p}")
+    cleaned = f"trim(regexp_replace(regexp_replace(regexp_replace(name, {ci(P.BANK_SUFFIX)}, ''), {ci(P.BANK_PREFIX)}, ''), {_quoted(r'\s+')}, ' '))"
+    known = " ".join(f"WHEN lower({cleaned}) = {_quoted(a)} OR startswith(lower({cleaned}), {_quoted(a + ' ')}) THEN {_quoted(b)}" for a, b in P.BANK_NAMES.items())
+    wrong = ", ".join(_quoted(t) for x in P.NOT_BANKS for t in (x, x + "s"))
+    banks = ci("|".join(f"(?:{p})" for p in P.BANKS))
+    valid = f"coalesce(length(name) >= 3 AND lower(name) NOT IN ({wrong}) AND (name RLIKE {banks} OR lower(name) RLIKE {_quoted(P.BANK_ENDING)} OR name RLIKE {_quoted(P.BANK_OF)} OR name RLIKE {_quoted(P.PROPER_NAME)}), false)"
+    return {"clean_bank_name": ("name STRING", "STRING", f"CASE {known} ELSE {cleaned} END"), "is_valid_bank_name": ("name STRING", "BOOLEAN", valid)}
+
+
 def register_functions(spark: SparkSession) -> list[str]:
-    for name, (args, kind, body) in SCALARS.items():
+    every = SCALARS | _bank_scalars()
+    for name, (args, kind, body) in every.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({args}) RETURNS {kind} RETURN {body}")
-    return list(SCALARS)
+    return list(every)
 
 
 def register_views(docs: DataFrame, strict: bool = False) -> None:

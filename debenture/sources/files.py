@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zipfile
 from xml.etree import ElementTree
@@ -38,6 +39,26 @@ def read_stats(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STATS_SCHEMA).option("mode", "DROPMALFORMED").json(path)
 
 
+def write_stats(stats: DataFrame, path: str) -> None:
+    """Company statistics as JSON lines, in place of what was there."""
+    stats.select("company", "total_documents", "last_updated", "document_types").write.mode("overwrite").json(path)
+
+
+HASH_SCHEMA = "sha256 string, path string"
+
+
+def read_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """The index of contents; a missing file or a broken line has none."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], HASH_SCHEMA)
+    return spark.read.schema(HASH_SCHEMA).option("mode", "DROPMALFORMED").json(path)
+
+
+def write_hashes(files: DataFrame, path: str) -> None:
+    """The index of files(sha256, kept_path): each content once, in place of what was there."""
+    files.groupBy("sha256").agg(F.min("kept_path").alias("path")).write.mode("overwrite").json(path)
+
+
 def bootstrap(spark: SparkSession, folder: str) -> None:
     """Empty state where there is none."""
     for name, schema in (("processed", "name string"), ("downloaded", "doc_id string"), ("stats", STATS_SCHEMA)):
@@ -121,3 +142,36 @@ class CompanySheet(DataSource):
                     yield i, row[0], row[2] or ""
 
         return Reader()
+
+
+class RegisterSearch(DataSource):
+    """format("register_search"): what a search of the register shows, from a fixture instead of a browser: option `fixture` is JSON
+    text of {company: [{issuer_name, doc_type, date, url}, ...]}, `companies` JSON text of the names asked for (default: all), `page_size`
+    rows of a page, `max_pages` pages of a company. A partition is a company's page; pages end with the rows. A company that the
+    fixture doesn't have finds nothing."""
+
+    @classmethod
+    def name(cls):
+        return "register_search"
+
+    def schema(self):
+        return "company string, page int, row int, issuer_name string, doc_type string, date string, url string"
+
+    def reader(self, schema):
+        options = dict(self.options)
+        fixture = json.loads(options["fixture"])
+        size, most = int(options.get("page_size", 100)), int(options.get("max_pages", 1 << 30))
+
+        class Reader(DataSourceReader):
+            def partitions(self):
+                names = json.loads(options["companies"]) if "companies" in options else list(fixture)
+                pages = [(c, p) for c in names for p in range(min(most, -(-len(fixture.get(c, [])) // size)))]
+                return [InputPartition(x) for x in pages] or [InputPartition(None)]
+
+            def read(self, partition):
+                if partition.value is not None:
+                    company, page = partition.value
+                    for i, r in enumerate(fixture[company][page * size : (page + 1) * size]):
+                        yield company, page, i, r.get("issuer_name"), r.get("doc_type"), r.get("date"), r.get("url")
+
+        return Reader()

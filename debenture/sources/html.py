@@ -8,8 +8,20 @@ from pyspark.sql import functions as F
 
 from debenture.operators.register import filename_of_url
 
-_LINK = r'(?is)<a\b[^>]*?href\s*=\s*"([^"]*)"'
-_LINK_TEXT = r'(?is)<a\b[^>]*?href\s*=\s*"[^"]*"[^>]*>(.*?)</a>'
+_LINK = r"""(?is)<a\b[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_LINK_TEXT = r"""(?is)<a\b[^>]*?href\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>(.*?)</a>"""
+_NEXT = r"""(?is)<a\b[^>]*?(?:rel\s*=\s*["']?next|class\s*=\s*["'][^"']*\bnext\b)[^>]*>"""
+
+
+def link(markup) -> Column:
+    """The first link's target, whatever its quotes; empty if there is none."""
+    return F.concat(*[F.regexp_extract(markup, _LINK, i) for i in (1, 2, 3)])
+
+
+def next_page(markup) -> Column:
+    """The target of the link to the next page of results (rel or class `next`); null on the last page."""
+    target = link(F.regexp_extract(markup, _NEXT, 0))
+    return F.when(target != "", target)
 
 
 def visible(markup: Column) -> Column:
@@ -24,7 +36,7 @@ def cell_text(cell: Column) -> Column:
 
 def first_links(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(key, url, filename): the first link of each page that has one."""
-    url = F.regexp_extract(html, _LINK, 1)
+    url = link(html)
     out = pages.select(key, url.alias("url"), visible(F.regexp_extract(html, _LINK_TEXT, 1)).alias("label")).filter("url <> ''")
     return out.select(key, "url", filename_of_url(F.col("url"), F.col("label")).alias("filename"))
 
@@ -33,9 +45,9 @@ def result_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(key, row, issuer_name, doc_type, date, url, filename) of table rows that hold a link; rows of fewer than three cells
     have only the link. What isn't there is empty."""
     rows = pages.select(key, F.posexplode(F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1)).alias("row", "r"))
-    rows = rows.withColumn("cells", F.regexp_extract_all("r", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1)).filter(F.regexp_extract("r", _LINK, 1) != "")
+    rows = rows.withColumn("cells", F.regexp_extract_all("r", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1)).filter(link("r") != "")
     cell = lambda i: F.when(F.size("cells") >= 3, cell_text(F.get("cells", F.lit(i)))).otherwise("")
-    url = F.regexp_extract("r", _LINK, 1)
+    url = link("r")
     return rows.select(key, "row", cell(0).alias("issuer_name"), cell(1).alias("doc_type"), cell(2).alias("date"), url.alias("url"), filename_of_url(url, visible(F.regexp_extract("r", _LINK_TEXT, 1))).alias("filename"))
 
 

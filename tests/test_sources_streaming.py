@@ -1,11 +1,13 @@
 """Files in and out, and streams against their batch twins."""
 
+import json
 import zipfile
 
 from pyspark.sql import functions as F
 
-from debenture.functions import registry
-from debenture.operators import companies, records
+from debenture import jobs as batch
+from debenture.functions import extract, registry
+from debenture.operators import companies, metrics, records, register
 from debenture.sources import files, html, pdf
 from debenture.streaming import jobs
 
@@ -80,3 +82,79 @@ def test_sql_names(spark):
         assert spark.sql("SELECT length FROM extractions").first()[0] == 3
     finally:
         records.EXTRACTORS.clear()
+
+
+def test_state_comes_back(spark, tmp_path):
+    d = spark.createDataFrame([("s1", "a"), ("s1", "a"), ("s2", "b")], "sha256 string, kept_path string")
+    files.write_hashes(d, str(tmp_path / "hashes"))
+    assert sorted(map(tuple, files.read_hashes(spark, str(tmp_path / "hashes")).collect())) == [("s1", "a"), ("s2", "b")]
+    assert files.read_hashes(spark, str(tmp_path / "none")).count() == 0
+    s = companies.stats(spark.createDataFrame([("c", "t", "2024-01-01"), ("c", "u", "2024-02-01")], "company string, doc_type string, date string").withColumn("date", F.to_date("date")))
+    files.write_stats(s, str(tmp_path / "stats"))
+    back = files.read_stats(spark, str(tmp_path / "stats")).first()
+    assert back["total_documents"] == 2 and back["document_types"] == {"t": 1, "u": 1}
+
+
+def test_a_forgotten_file_is_replaced(spark):
+    d = spark.createDataFrame([(1, "new1", "x"), (2, "new2", "x"), (3, "new3", "y")], "seq int, path string, content string")
+    index = register.first_by_content(spark.createDataFrame([(0, "old1", "x"), (0, "old3", "y")], "seq int, path string, content string"), F.col("content"), ["seq"]).select("sha256", "path")
+    there = spark.createDataFrame([("old3",)], "path string")
+    got = {r["path"]: (r["kept_path"], r["is_duplicate"]) for r in register.against_index(d, F.col("content"), ["seq"], index, there).collect()}
+    assert got == {"new1": ("new1", False), "new2": ("new1", True), "new3": ("old3", True)}
+
+
+def test_register_search(spark):
+    rows = [{"issuer_name": "A", "doc_type": "t", "date": "d", "url": f"u{i}"} for i in range(5)]
+    spark.dataSource.register(files.RegisterSearch)
+    read = lambda **o: spark.read.format("register_search").options(fixture=json.dumps({"A": rows, "B": []}), page_size="2", **o).load()
+    assert sorted((r["company"], r["page"], r["row"], r["url"]) for r in read().collect()) == [("A", i // 2, i % 2, f"u{i}") for i in range(5)]
+    assert read(max_pages="1").count() == 2 and read(companies='["B", "C"]').count() == 0 and read().rdd.getNumPartitions() == 3
+
+
+def test_links_in_any_quotes(spark):
+    d = spark.createDataFrame([(1, "<a href='x/y.pdf'>a</a>"), (2, '<a class="q" href=z.pdf >b</a>'), (3, "<p>"), (4, '<a rel="next" href="?page=2">more</a>')], "k int, html string")
+    assert sorted((r["k"], r["url"]) for r in html.first_links(d, "k", "html").collect()) == [(1, "x/y.pdf"), (2, "z.pdf"), (4, "?page=2")]
+    assert [r[0] for r in d.select(html.next_page("html")).collect()] == [None, None, None, "?page=2"]
+    row = spark.createDataFrame([(1, "<tr><td>A</td><td>t</td><td>d</td><td><a href='u/f.pdf'>f</a></td></tr>")], "k int, html string")
+    assert tuple(html.result_rows(row, "k", "html").first()) == (1, 0, "A", "t", "d", "u/f.pdf", "f.pdf")
+
+
+def test_sessions_start_anew(spark):
+    # a request every 30 minutes: the third is not later than an hour, the fourth is
+    rows = [("a", i, 1800 * i) for i in range(8)] + [("b", i, i) for i in range(205)]
+    log = spark.createDataFrame(rows, "company string, seq long, t long").select("company", "seq", F.timestamp_seconds("t").alias("ts"))
+    got = {(r["company"], r["seq"]): (r["session"], r["request"], r["renew"]) for r in metrics.session_marks(log).collect()}
+    assert [s for s in range(8) if got["a", s][2]] == [3, 6] and [s for s in range(205) if got["b", s][2]] == [100, 200]
+    assert got["a", 7] == (2, 1, False) and got["b", 204] == (2, 4, False)
+
+
+def test_likeness_of_names(spark):
+    pairs = {("bnp paribas", "bnp paribas fortis"): 100, ("bank deutsche", "deutsche bank"): 100, ("santandr", "santander"): 88, ("", "x"): 0}
+    d = spark.createDataFrame([(*k,) for k in pairs], "a string, b string")
+    assert [r[0] for r in d.select(extract.token_set_ratio(F.col("a"), F.col("b"))).collect()] == [*pairs.values()]
+
+
+def test_bank_functions_in_sql(spark):
+    registry.register_functions(spark)
+    names = ["the Deutsche Bank AG", "J.P. Morgan Securities plc", "SG", "Bank of Foo", "acme", "O'Neil  Bank"]
+    d = spark.createDataFrame([(n,) for n in names], "name string")
+    d.createOrReplaceTempView("some_names")
+    got = spark.sql("SELECT clean_bank_name(name) AS a, is_valid_bank_name(name) AS b FROM some_names").collect()
+    assert got == d.select(extract.clean_bank_name(F.col("name")).alias("a"), extract.is_valid_bank_name(F.col("name")).alias("b")).collect()
+
+
+def test_a_run_writes_all_it_should(spark, tmp_path):
+    text = "Subscription and Sale. Joint Lead Managers: BNP Paribas, Deutsche Bank AG. Coupon: 3.625 per cent."
+    docs = spark.createDataFrame([(1, "A/B", "/x/final_terms.pdf", text), (2, "A/B", "/x/other.pdf", ""), (3, "C", "/x/final.pdf", text), (4, "D", "/x/final.pdf", text)], "doc_id long, company string, file_path string, text string")
+    names = spark.createDataFrame([(1, "A/B", "France"), (2, "C", "Japan"), (3, "D", "Spain"), (4, "E", "Italy")], "seq long, name string, country string")
+    files.write_names(spark.createDataFrame([("D",)], "name string"), str(tmp_path / "processed"))
+    got = batch.process(spark, names, str(tmp_path / "processed"), records.extracted(docs), str(tmp_path / "out")).first().asDict()
+    assert got["companies_succeeded"] == 1 and got["documents"] == 2 and got["errors"] == 1
+    assert {p.name for p in (tmp_path / "out/companies").iterdir() if p.is_dir()} == {"__folder=A_B"}
+    flat = spark.read.option("header", "true").csv(str(tmp_path / "out/consolidated/sheet"))
+    assert flat.columns == records.CONSOLIDATED and spark.read.json(str(tmp_path / "out/consolidated/json")).count() == flat.count() >= 3
+    assert "Deutsche Bank AG" not in {r["bank_standard_name"] for r in flat.collect()}
+    assert sorted(r[0] for r in files.read_names(spark, str(tmp_path / "processed")).collect()) == ["A/B", "D", "E"]
+    metrics.save_metrics(spark.createDataFrame([("a", "found", None, None, 3, "1970-01-01"), ("a", "error", "scraper", "m", 0, "1970-01-01")], "company string, kind string, component string, message string, value int, ts string").withColumns({"seq": F.lit(1), "ts": F.to_timestamp("ts")}), str(tmp_path / "metrics"))
+    assert spark.read.text(str(tmp_path / "metrics/report")).first()[0].startswith("  - a: runtime 0 s, found 3")
+    assert batch.parser().parse_args(["extract", "--pdf-dir", "a", "--out", "b"]).use_ocr is False
