@@ -29,7 +29,9 @@ def records_of(spark: SparkSession, pdf_dir: str, readers: list | None = None) -
 def process(spark: SparkSession, companies: DataFrame, processed_path: str, records: DataFrame, out: str) -> DataFrame:
     """Companies that are eligible and not yet processed: their records as a JSON folder each, one consolidated JSON and sheet, and
     the list of processed names with theirs added. Returns (companies_attempted, companies_succeeded, documents, errors)."""
-    wanted = C.unprocessed(C.eligible(companies), files.read_names(spark, processed_path)).select("name")
+    # what is asked for is written first, as the list that it comes from changes below
+    C.unprocessed(C.eligible(companies), files.read_names(spark, processed_path)).select("name").distinct().write.mode("overwrite").parquet(f"{out}/wanted")
+    wanted = spark.read.parquet(f"{out}/wanted")
     own = records.join(wanted, F.col("company") == F.col("name"), "left_semi").persist()
     files.write_company_json(own, f"{out}/companies")
     files.write_consolidated(R.consolidated(own), f"{out}/consolidated")
@@ -38,8 +40,7 @@ def process(spark: SparkSession, companies: DataFrame, processed_path: str, reco
     files.write_names(spark.read.parquet(f"{out}/processed_next"), processed_path)
     bad = F.exists("validation_flags", lambda f: (f == "text_extraction_failed") | F.startswith(f, F.lit("processing_error")))
     done = own.agg(F.countDistinct(F.when(~bad, F.col("company"))).alias("companies_succeeded"), F.count("*").alias("documents"), F.count_if(bad).alias("errors"))
-    attempted = spark.read.parquet(f"{out}/processed_next").join(companies.select("name").distinct(), "name", "left_semi").agg(F.count("*").alias("companies_attempted"))
-    return attempted.join(done)
+    return wanted.agg(F.count("*").alias("companies_attempted")).join(done)
 
 
 def parser() -> argparse.ArgumentParser:

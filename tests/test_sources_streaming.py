@@ -49,7 +49,7 @@ def test_html_by_parser_and_by_pattern(spark):
     d = spark.createDataFrame([(1, page), (2, None)], "k int, html string")
     assert html.parsed_rows(d, "k", "html").count() == 2
     r = html.result_rows(d, "k", "html").collect()
-    assert [(x["issuer_name"], x["doc_type"], x["date"], x["filename"]) for x in r] == [("A", "T", "2024", "f.pdf")]
+    assert [(x["issuer_name"], x["doc_type"], x["date"], x["filename"]) for x in r] == [("A", "T", "2024", "u")]
 
 
 def test_streams_equal_batch(spark, tmp_path):
@@ -149,7 +149,7 @@ def test_a_run_writes_all_it_should(spark, tmp_path):
     names = spark.createDataFrame([(1, "A/B", "France"), (2, "C", "Japan"), (3, "D", "Spain"), (4, "E", "Italy")], "seq long, name string, country string")
     files.write_names(spark.createDataFrame([("D",)], "name string"), str(tmp_path / "processed"))
     got = batch.process(spark, names, str(tmp_path / "processed"), records.extracted(docs), str(tmp_path / "out")).first().asDict()
-    assert got["companies_succeeded"] == 1 and got["documents"] == 2 and got["errors"] == 1
+    assert got["companies_attempted"] == 2 and got["companies_succeeded"] == 1 and got["documents"] == 2 and got["errors"] == 1
     assert {p.name for p in (tmp_path / "out/companies").iterdir() if p.is_dir()} == {"__folder=A_B"}
     flat = spark.read.option("header", "true").csv(str(tmp_path / "out/consolidated/sheet"))
     assert flat.columns == records.CONSOLIDATED and spark.read.json(str(tmp_path / "out/consolidated/json")).count() == flat.count() >= 3
