@@ -201,8 +201,8 @@ def _train(rows: list, steps: int) -> Model:
     y = np.array([r[2] for r in rows], np.float64)
     if len(set(y.tolist())) < 2:
         return Model(bias=50.0)
-    row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    row = row.astype(np.int32)
+    sizes = np.array([len(r[0]) for r in rows])
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
     at = np.concatenate([r[0] for r in rows]).astype(np.int32)
     value = np.concatenate([r[1] for r in rows])
     held = np.arange(len(rows)) % 5 == 4
@@ -213,14 +213,28 @@ def _train(rows: list, steps: int) -> Model:
     weight = np.where(held, 0, np.where(y > 0, 0.5 / share, 0.5 / (1 - share)))
     weight /= weight.sum()
     w, bias, m, v = np.zeros(_KINDS * BINS), 0.0, np.zeros(_KINDS * BINS + 1), np.zeros(_KINDS * BINS + 1)
+    # once in the order of the rows, once in that of the bins: both sums are over neighbours
+    full, first = np.flatnonzero(sizes), (np.cumsum(sizes) - sizes)[sizes > 0]
+    order = np.argsort(at, kind="stable")
+    by_bin, row_by_bin = value[order], row[order]
+    bins, begin = np.unique(at[order], return_index=True)
+
+    def scores_of(w: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(rows))
+        if len(full):
+            out[full] = np.add.reduceat(value * w.astype(np.float32)[at], first)
+        return out
+
     for t in range(1, steps + 1):
-        z = np.bincount(row, value * w[at], len(rows)) + bias
+        z = scores_of(w) + bias
         g = weight * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y)
-        grad = np.append(np.bincount(at, value * g[row], _KINDS * BINS) + 1e-5 * w, g.sum())
+        grad = np.append(1e-5 * w, g.sum())
+        if len(bins):
+            grad[bins] += np.add.reduceat(by_bin * g.astype(np.float32)[row_by_bin], begin)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         step = 0.02 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, bias = w - step[:-1], bias - step[-1]
-    z = np.bincount(row, value * w[at], len(rows)) + bias
+    z = scores_of(w) + bias
     zs, ys = (z[held], y[held]) if len(set(y[held].tolist())) > 1 else (z, y)
     # Platt with smoothed targets
     hi, lo = (ys.sum() + 1) / (ys.sum() + 2), 1 / (len(ys) - ys.sum() + 2)
