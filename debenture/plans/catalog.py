@@ -21,8 +21,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A small file is one split; rules cost milliseconds a text, so the texts are dealt out over the cores first."""
-    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """A small file is one split; rules cost milliseconds a text, so where there are fewer splits than cores the texts are dealt out
+    first. What has enough splits isn't moved."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def prospectuses(spark: SparkSession, sf: str) -> DataFrame:
