@@ -532,3 +532,65 @@ def test_banded_distance(spark):
 
 def test_digest_of_turns_matches_the_contract():
     assert hashlib.sha256(b"user\nok\n").hexdigest() == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in [("user", "ok")]).encode()).hexdigest()
+
+
+# --- all operators: long texts, empty tables, repeated rows, clashing names ----------------------------------------
+
+
+def test_clusters_and_removals_of_paragraphs(spark):
+    rng, lines = random.Random(31), []
+    for _ in range(25):
+        w = words(rng, 60)
+        lines += [w, list(w), [*w[:30], "other", *w[31:]], words(rng, 15)]
+    texts = [" ".join(w) for w in lines]
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    sets = [shingle_set(x) for x in texts]
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8]
+    whole = [frozenset(ids[i] for i in g) for g in components(range(len(texts)), links) if len(g) > 1]
+    d = spark.createDataFrame([*zip(ids, texts, strict=True)], "doc_id long, text string").withColumns({c: F.lit("clash") for c in CLASH if c not in ("text", "doc_id")})
+    near, groups = {r["doc_id"]: r for r in substring.near_paragraphs(d).collect()}, {}
+    for i, r in near.items():
+        groups.setdefault(r["cluster"], set()).add(i)
+    # each cluster lies in one of the true ones, and nearly all are whole; of each the first place stays
+    assert len(whole) == 25 and all(any(g <= w for w in whole) for g in groups.values()) and sum(g in whole for g in map(frozenset, groups.values())) >= 23
+    want = {i: i != min(g) for g in groups.values() for i in g}
+    assert {i: r["removed"] for i, r in near.items()} == want and all(r["kept"] == min(groups[r["cluster"]]) for r in near.values())
+    out = {r["doc_id"]: r for r in substring.repeats(d).collect()}
+    assert {i for i, gone in want.items() if gone} <= {i for i, r in out.items() if r["n_removed"]}
+    # a removed paragraph goes whole, near its head or alike
+    assert all(out[i]["removed_words"] == 60 for i, gone in want.items() if gone)
+
+
+def test_very_long_texts(spark, tokenizer):
+    rng = random.Random(32)
+    long = " ".join(words(rng, 180_000))
+    item = "if Anna buys 3 apples and 5 pears for 20 dollars then how much would Anna pay for 3 apples at the market stall today"
+    texts = [long, long, long[:-3] + "xyz", f"{long} {item.replace('Anna', 'Boris')}", "short"]
+    assert len(long) > 1 << 20
+    d = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA)
+    assert sorted((r["doc_id"], r["class_id"], r["copy_id"], r["n_links"]) for r in jaccard.near_duplicates(d).collect()) == [(0, 0, 0, 2), (1, 0, 0, 2), (2, 0, 2, 2), (3, 0, 3, 2), (4, 4, 4, 0)]
+    assert {r["doc_id"] for r in substring.repeats(d).collect()} == {0, 1, 2, 3}
+    b = spark.createDataFrame([(10, item)], "item_id long, text string")
+    assert [(r["doc_id"], r["n_changed"]) for r in decontam.leaks(d, b).collect()] == [(3, 1)]
+    assert {r["doc_id"]: r["n_words"] for r in quality.judged(d, quality.Model(bias=50.0)).collect()} == {0: 180_000, 1: 180_000, 2: 180_000, 3: 180_000 + len(item.split()), 4: 1}
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(d).collect()}
+    assert got[2] == len(tokenizer.encode(f"lang: en\nsource: s\n\n{texts[2]}", add_special_tokens=False).ids)
+    lines = line_dedup.per_document(d).collect()
+    assert {r["doc_id"]: r["n_links"] for r in lines} == {i: int(i < 3 and distance(long[-9:], texts[2][-9:]) <= 4) for i in range(5)}
+    assert sharding.shard(d).count() == 5 and mixing.mix_sources(d).agg(F.sum("size")).first()[0] > 4 * 180_000
+
+
+def test_empty_tables_and_repeated_rows(spark):
+    model = quality.Model(bias=50.0)
+    item = spark.createDataFrame([(10, "the old river runs by the mill and the tall trees stand near it"), (10, "the old river runs by the mill and the tall trees stand near it")], "item_id long, text string")
+    rows = [(1, "say the old river runs by the mill and the tall trees stand near it", "en", "s", 0)] * 3 + [(None, None, None, None, None)] * 2
+    d = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("clash") for c in [*CLASH, "n_tokens", "n_words"]})
+    none = d.limit(0)
+    assert [x.count() for x in (token_counts.token_counts(none), quality.judged(none, model), sharding.shard(none), mixing.mixed(none), line_dedup.per_document(none), line_dedup.without_duplicate_lines(none), jaccard.one_of_each(none), decontam.without_leaks(none, item))] == [0] * 8
+    assert len({str(r) for r in token_counts.token_counts(d).filter("doc_id = 1").collect()}) == 1 and token_counts.token_counts(d).count() == 5
+    judged = quality.judged(d, model).filter("doc_id = 1").collect()
+    assert len(judged) == 3 and {r["n_words"] for r in judged} == {15}
+    assert [(r["doc_id"], r["item_id"]) for r in decontam.leaks(d, item).collect()] == [(1, 10)]
+    assert decontam.without_leaks(d, item).count() == 2 and jaccard.one_of_each(d).count() == 2 and sharding.shard(d).count() == 5
+    assert substring.repeats(d).count() == 0 and line_dedup.per_document(d).agg(F.sum("n_lines")).first()[0] == 3
