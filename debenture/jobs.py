@@ -66,8 +66,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if args.job == "extract":
         records_of(spark, args.pdf_dir, readers).write.mode("overwrite").json(args.out)
         return
-    spark.dataSource.register(files.CompanySheet)
-    sheet = spark.read.format("company_sheet").option("path", args.companies_file).option("sheet", args.sheet).load()
+    sheet = files.read_sheet(spark, args.companies_file, args.sheet)
     process(spark, sheet, f"{args.output_dir}/processed", records_of(spark, args.pdf_dir, readers), args.output_dir).show()
 
 

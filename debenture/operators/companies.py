@@ -45,6 +45,17 @@ def first_per_company(documents: DataFrame, n: int = 5, order: str = "seq") -> D
     return documents.withColumn("rank", F.row_number().over(Window.partitionBy("company").orderBy(order))).filter(F.col("rank") <= n)
 
 
+def first_n(companies: DataFrame, n: int, order: str = "seq", first: dict | None = None) -> DataFrame:
+    """The first n companies by `order`; the values of `first` stand in place of the first one's."""
+    out = companies.orderBy(order).limit(n)
+    if not first:
+        return out
+    # n rows are left, so this window is as small
+    out = out.withColumn("low", F.min(order).over(Window.partitionBy()))
+    same = F.col(order) == F.col("low")
+    return out.select(*[F.when(same, F.lit(first[c])).otherwise(F.col(c)).alias(c) if c in first else F.col(c) for c in companies.columns])
+
+
 def with_fallback(companies: DataFrame, register: DataFrame, default: str = "default") -> DataFrame:
     """Each company's register rows; where it has none, the rows of `default` in its own name."""
     known = register.select("company").distinct().withColumnRenamed("company", "__known")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,11 +96,13 @@ def new_cache_entries(documents: DataFrame, index: DataFrame) -> DataFrame:
     return documents.join(index.select("doc_id"), "doc_id", "left_anti")
 
 
+def has_required(columns: list[str]) -> Column:
+    """Whether none of the columns is null or empty."""
+    return reduce(lambda a, b: a & b, [F.coalesce(F.col(c).cast("string"), F.lit("")) != "" for c in columns])
+
+
 def with_required(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """rows in which none of the columns is null or empty."""
-    for c in columns:
-        rows = rows.filter(F.col(c).isNotNull() & (F.col(c).cast("string") != ""))
-    return rows
+    return rows.filter(has_required(columns))
 
 
 def dry_run(files: DataFrame, identity: list[str], bad: Column) -> DataFrame:

@@ -140,6 +140,7 @@ def oracle_sql() -> dict[str, str]:
         "company_stats": f"SELECT company, sum(n) OVER (PARTITION BY company)::BIGINT AS total_documents, max(l) OVER (PARTITION BY company) AS last_updated, doc_type, n FROM (SELECT company, doc_type, count(*) AS n, max(CAST(d AS DATE)) AS l FROM ({REGISTER}) GROUP BY 1, 2)",
         "docs_top5_per_company": f"SELECT company, seq, rank FROM (SELECT company, seq, row_number() OVER (PARTITION BY company ORDER BY seq) AS rank FROM ({REGISTER})) WHERE rank <= 5",
         "first_companies": f"SELECT seq, name, country FROM ({COMPANIES}) ORDER BY seq LIMIT 5",
+        "first_companies_override": f"SELECT seq, CASE WHEN r = 1 THEN 'Aker BP ASA' ELSE name END AS name, CASE WHEN r = 1 THEN 'Norway' ELSE country END AS country FROM (SELECT *, row_number() OVER (ORDER BY seq) AS r FROM ({COMPANIES})) WHERE r <= 5",
         "mock_fallback_lookup": f"WITH r AS (SELECT company, seq FROM ({REGISTER})) SELECT c_name AS name, c_name AS issuer, seq FROM customer JOIN r ON company = c_name UNION ALL SELECT c_name, c_name, s FROM customer, (VALUES (-1), (-2)) v(s) WHERE c_name NOT IN (SELECT company FROM r)",
         "cache_lookup": "SELECT o_orderkey AS doc_id, CASE WHEN o_orderkey % 6 = 0 THEN '/cache/' || o_orderkey END AS cache_path, o_orderkey % 6 = 0 AS cache_hit FROM orders",
         "cache_inserts": "SELECT o_orderkey AS doc_id FROM orders WHERE o_orderkey % 3 <> 0",

@@ -94,8 +94,8 @@ def write_consolidated(rows: DataFrame, path: str) -> None:
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships"}
 
 
-def sheet_rows(path: str, sheet: str, skip: int):
-    """Rows (lists of text or None) of a workbook's sheet, by the standard library."""
+def sheet_rows(path, sheet: str, skip: int):
+    """Rows (lists of text or None) of a workbook's sheet, by the standard library; path: a local one or an open file."""
     with zipfile.ZipFile(path) as z:
         shared = []
         if "xl/sharedStrings.xml" in z.namelist():
@@ -118,8 +118,24 @@ def sheet_rows(path: str, sheet: str, skip: int):
             yield out
 
 
+def read_sheet(spark: SparkSession, path: str, sheet: str = "Upstream", skip: int = 4) -> DataFrame:
+    """(seq, name, country) of the sheet of a workbook that lies anywhere Spark can read."""
+
+    def run(frames):
+        import io
+
+        import pandas as pd
+
+        for frame in frames:
+            rows = [(i, r[0], r[2] or "") for content in frame["content"] for i, r in enumerate(row + [None] * 3 for row in sheet_rows(io.BytesIO(content), sheet, skip))]
+            yield pd.DataFrame(rows, columns=["seq", "name", "country"])
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "seq bigint, name string, country string")
+
+
 class CompanySheet(DataSource):
-    """format("company_sheet"): name (first column) and country (third) of a workbook's sheet; options path, sheet, skip (rows
+    """format("company_sheet"): name (first column) and country (third) of the sheet of a workbook on a local path that all machines see
+    (read_sheet takes any other); options path, sheet, skip (rows
     before the data: three headings and a header)."""
 
     @classmethod

@@ -32,6 +32,7 @@ def test_workbook(spark, tmp_path):
     spark.dataSource.register(files.CompanySheet)
     got = spark.read.format("company_sheet").option("path", str(tmp_path / "c.xlsx")).load()
     assert [tuple(r) for r in companies.eligible(got).collect()] == [("Acme", "France", "Active")]
+    assert sorted(map(tuple, files.read_sheet(spark, str(tmp_path / "c.xlsx")).collect())) == sorted(map(tuple, got.collect()))
 
 
 def test_pdf_tiers(spark, tmp_path):
