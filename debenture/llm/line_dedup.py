@@ -49,8 +49,9 @@ def lookups(n: int, steps: Steps = EDITS) -> list[tuple[int, int, int, int]]:
 
 
 def keyed(lines: DataFrame, probe: bool, steps: Steps = EDITS, part: int = 0, parts: int = 1) -> DataFrame:
-    """(key, id, own) of lines(id, line, n): the keys under which a line can be found, or those that it looks up (own: it can be
-    found under it), as far as they belong to a part of the rounds."""
+    """(key, id, kind) of lines(id, line, n): the keys under which a line can be found, or those that it looks up. kind: 16 times the
+    characters that the other line is shorter, 2 times the segment's number, and 1 where the line itself can be found under
+    it; as far as they belong to a part of the rounds."""
     kinds, before = [], None
     for n in range(max(least + e for least, e in steps) + 1):
         now = [x for i, x in enumerate(lookups(n, steps)) if (probe and i % parts == part) or (not probe and x[0] == x[3] == 0)]
@@ -66,7 +67,7 @@ def keyed(lines: DataFrame, probe: bool, steps: Steps = EDITS, part: int = 0, pa
     # the last short % parts segments are one character longer
     d = d.withColumns({"at": F.expr("base * i + greatest(0, late) + 1 + shift"), "size": F.expr("base + int(late >= 0)")})
     d = d.filter("at >= 1 and at + size - 1 <= n")
-    return d.select(F.xxhash64("short", "i", F.expr("substring(wide, 4 * at - 3, 4 * size)")).alias("key"), "id", F.expr("less = 0 and shift = 0").alias("own"))
+    return d.select(F.xxhash64("short", "i", F.expr("substring(wide, 4 * at - 3, 4 * size)")).alias("key"), "id", F.expr("less * 16 + i * 2 + int(less = 0 and shift = 0)").alias("kind"))
 
 
 #: Frequent characters that are counted in lines that meet.
@@ -192,7 +193,7 @@ def near_lines(distinct: DataFrame, steps: Steps = EDITS) -> DataFrame:
             # a row per line and key that another line has as well; the index has each key once, so its side fits a hash table
             probe = keyed(lines, True, steps, part, ROUNDS)
             met = probe.join(index.hint("shuffle_hash"), "key").filter("not (low = id and high = id)")
-            parts.append(saved(met.select("key", "id", "own", "low", "many"), "lines-met"))
+            parts.append(saved(met.select("key", "id", "kind", "low", "many"), "lines-met"))
     met = reduce(DataFrame.unionByName, parts)
     ids = met.select("id").unionByName(met.filter("many = 1").select(F.col("low").alias("id"))).distinct()
     texts = saved(distinct.join(ids, "id", "left_semi").withColumn("counts", letter_counts(F.col("line"))).withColumns({"odd": odd_bits(F.col("counts")), "most": allowed(F.length("line"), steps)}), "lines-texts")
@@ -208,9 +209,9 @@ def near_lines(distinct: DataFrame, steps: Steps = EDITS) -> DataFrame:
     # lines that share a segment with many: those that can be found are dealt out, those that look for them go to all, and what
     # comes out of the join are links, not pairs that met
     many = met.filter("many > 1").withColumn("deals", F.ceil(F.col("many") / HOT).cast("int")).join(one, "id")
-    held = many.filter("own").select(F.col("key").alias("key2"), F.pmod(F.xxhash64("id"), F.col("deals")).cast("int").alias("deal2"), *[F.col(c).alias(f"{c}2") for c in facts])
-    looking = many.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).select("key", "deal", *facts)
-    linked = looking.join(held, (F.col("key") == F.col("key2")) & (F.col("deal") == F.col("deal2")) & may & (distance <= most))
+    held = many.filter("kind % 2 = 1").select(F.col("key").alias("key2"), F.pmod(F.xxhash64("id"), F.col("deals")).cast("int").alias("deal2"), *[F.col(c).alias(f"{c}2") for c in facts])
+    looking = many.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).select("key", "deal", "kind", *facts)
+    linked = looking.join(held, (F.col("key") == F.col("key2")) & (F.col("deal") == F.col("deal2")) & may & _first_meeting(most, max(e for _, e in steps)) & (distance <= most))
     pairs = saved(alone.select(*ends).unionByName(linked.select(*ends)).distinct(), "lines-pairs")
     side = lambda name, line, most: texts.select(F.col("id").alias(name), F.col("line").alias(line), F.col("most").alias(most))
     both = pairs.join(side("a", "line", "most"), "a").join(side("b", "line2", "most2"), "b")
@@ -220,6 +221,20 @@ def near_lines(distinct: DataFrame, steps: Steps = EDITS) -> DataFrame:
     return near
 
 
+def _first_meeting(edits: Column, most: int) -> Column:
+    """Whether a line and another, line2, that it has looked up by kind aren't compared under another key anyway: two lines found
+    under a key of both are compared by the one of lesser id, and lines that have an earlier segment at one place meet there."""
+    less, i, n = F.expr("kind div 16"), F.expr("kind % 16 div 2"), F.length("line2")
+    parts = edits + 1
+    again = (F.col("kind") % 2 == 1) & (F.col("id") > F.col("id2"))
+    for j in range(most):
+        late = F.lit(j) - parts + n % parts
+        base = ((n - n % parts) / parts).cast("int")
+        at, size = base * j + F.greatest(F.lit(0), late) + 1, base + (late >= 0).cast("int")
+        again |= (F.lit(j) < i) & (F.lit(j) <= edits - less) & (F.substring("line", at, size) == F.substring("line2", at, size))
+    return ~again
+
+
 def line_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", steps: Steps = EDITS) -> DataFrame:
     """(doc_id, row_at, n, cls, n_links, exact, kept), a row per line with a word: cls is its cluster of equal and near lines,
     n_links the number of other texts within the edits, `exact` says that an equal line stands earlier in the corpus (least
