@@ -66,7 +66,7 @@ def discard(*frames: DataFrame) -> None:
 
 def _empty(spark: SparkSession, path: str) -> None:
     # an empty table in their place: any file system that Spark writes to can do that
-    spark.range(0).write.mode("overwrite").parquet(path)
+    spark.range(0, 0, 1, 1).write.mode("overwrite").parquet(path)
     _written.remove(path)
 
 
@@ -94,7 +94,7 @@ def bucketed(df: DataFrame, name: str, key: str):
         yield spark.table(name)
     finally:
         spark.sql(f"DROP TABLE {name}")
-        spark.range(0).write.mode("overwrite").parquet(path)
+        spark.range(0, 0, 1, 1).write.mode("overwrite").parquet(path)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from debenture.llm import chat, decontam, encoder, jaccard, line_dedup, mixing, quality, sharding, substring, token_counts, token_store
+from debenture.llm import chat, common, decontam, encoder, jaccard, line_dedup, mixing, quality, sharding, substring, token_counts, token_store
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 #: Column names that the operators use within.
@@ -594,3 +594,27 @@ def test_empty_tables_and_repeated_rows(spark):
     assert [(r["doc_id"], r["item_id"]) for r in decontam.leaks(d, item).collect()] == [(1, 10)]
     assert decontam.without_leaks(d, item).count() == 2 and jaccard.one_of_each(d).count() == 2 and sharding.shard(d).count() == 5
     assert substring.repeats(d).count() == 0 and line_dedup.per_document(d).agg(F.sum("n_lines")).first()[0] == 3
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark, tmp_path):
+    class Conf(dict):
+        set = dict.__setitem__
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.shared_dir(Session)
+    Session.conf = Conf({"spark.master": "local[2]"})
+    assert common.shared_dir(Session) == common.shared_dir(Session) == Session.conf["spark.checkpoint.dir"]
+
+
+def test_working_files_go(spark):
+    mark = common.working_files()
+    a, b = common.saved(spark.range(5), "a"), common.saved(spark.range(7), "b")
+    common.discard_since(mark, b)
+    assert common.working_files() - mark == {b.saved_at} and b.count() == 7 and spark.read.parquet(a.saved_at).count() == 0
+    with pytest.raises(ZeroDivisionError), common.bucketed(spark.range(3), "c", "id") as c:
+        name = c.inputFiles()[0].rsplit("/", 2)[1]
+        1 / 0  # noqa: B018
+    assert not spark.catalog.tableExists(name)
