@@ -237,7 +237,8 @@ def near_paragraphs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     edges = _banded(rows, bands).withColumn("before", F.lag("cls").over(near)).filter("before <> cls")
     groups = saved(components(edges.select(F.col("cls").alias("a"), F.col("before").alias("b")), "substring-candidates"), "substring-groups")
     at = saved(_places(rows), "substring-paragraphs")
-    first = at.join(groups, at["cls"] == groups["node"]).groupBy("cls", "root").agg(F.min(F.struct("row_at", "place", "n")).alias("f"))
+    # a common paragraph is one row before it meets its group
+    first = at.groupBy("cls").agg(F.min(F.struct("row_at", "place", "n")).alias("f")).join(groups, F.col("cls") == F.col("node"))
     wanted = first.groupBy(F.col("f.row_at").alias("in_row")).agg(F.collect_list(F.struct(F.col("f.place").alias("place"), F.col("f.n").alias("n"), "cls", "root")).alias("wanted"))
     one = rows.select("row_at", "text").join(wanted, F.col("row_at") == F.col("in_row"))
     found = saved(verified(_sets(one).dropDuplicates(["cls"]), threshold), "substring-links")
@@ -245,7 +246,8 @@ def near_paragraphs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     # clusters with two places or more: paragraphs found twice, and paragraphs with a link
     twice = at.groupBy("cls").agg(F.min("row_at").alias("l"), F.max("row_at").alias("h")).filter("l <> h")
     known = twice.select("cls").unionByName(roots.select(F.col("node").alias("cls"))).distinct()
-    known = known.join(roots, known["cls"] == roots["node"], "left").select("cls", F.coalesce("root", "cls").alias("cluster"))
+    # written, so that Spark can split the places of a common paragraph as they meet it
+    known = saved(known.join(roots, known["cls"] == roots["node"], "left").select("cls", F.coalesce("root", "cls").alias("cluster")), "substring-known")
     hits = saved(at.join(known, "cls").select("doc_id", "row_at", "place", "n", "cluster").distinct(), "substring-lines")
     heads = hits.groupBy("cluster").agg(F.min(F.struct("doc_id", "row_at", "place")).alias("head"), F.min("row_at").alias("l"), F.max("row_at").alias("h")).filter("l <> h")
     out = hits.join(heads, "cluster")
