@@ -204,13 +204,15 @@ def verified(sets: DataFrame, threshold: float = THRESHOLD, chance=None) -> Data
     return d.mapInArrow(run, "cls long, links long, to long, missed double")
 
 
-def matched(full: DataFrame, depth: int, drop: int) -> DataFrame:
-    """(cls, root): candidate groups of full(cls, labels), of texts that share a node of the tries, `drop` bytes above the leaves."""
-    node = F.shiftright("label", 8 * drop)
-    nodes = full.select("cls", F.explode("labels").alias("label")).select("cls", node.alias("node"))
-    stars = nodes.groupBy("node").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low <> high")
-    edges = nodes.join(stars.select("node", "low"), "node").filter("cls <> low").select(F.col("cls").alias("a"), F.col("low").alias("b"))
-    return components(edges, "jaccard-candidates").select(F.col("node").alias("cls"), "root")
+def matched(full: DataFrame, drop: int, before: DataFrame | None) -> DataFrame:
+    """(a, b), written: candidate links of full(cls, labels), of each text to the least one at its node of the tries, `drop` bytes above the
+    leaves. `before`: the links of one level below, which are kept; only nodes in which branches meet add to them."""
+    nodes = full.select("cls", F.explode("labels").alias("label")).select("cls", F.shiftright("label", 8 * drop).alias("node"), F.shiftright("label", 8 * max(0, drop - 1)).alias("branch"))
+    stars = nodes.groupBy("node").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), F.min("branch").alias("least"), F.max("branch").alias("most")).filter("low <> high")
+    if before is not None:
+        stars = stars.filter("least <> most")
+    edges = nodes.join(stars.select("node", "low"), "node").filter("cls <> low").select(F.col("cls").alias("a"), F.col("low").alias("b")).distinct()
+    return saved(edges if before is None else edges.unionByName(before), "jaccard-met")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, target: float = RECALL, id_hash: str | None = None) -> DataFrame:
@@ -226,10 +228,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     full = s.filter("n > 0")
     classes = full.groupBy("cls").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("n_copies"))
     texts = docs.select(F.col(f"`{id_hash}`").alias("at") if id_hash else F.xxhash64(f"`{doc_id}`").alias("at"), F.col(f"`{text}`").alias("text"))
+    met = None
     for d in range(depth, 0, -1):
+        met, below = matched(full, 7 - d, met), met
+        if below is not None:
+            discard(below)
         mark = working_files()
+        groups = components(met, "jaccard-candidates").select(F.col("node").alias("cls"), "root")
         # ids by hash, so that null is a value and a table in buckets needn't be moved; what isn't the class's text falls out in _sets
-        lead = classes.join(saved(matched(full, d, 7 - d), "jaccard-groups"), "cls").select("cls", "root", F.xxhash64("copy_id").alias("lead"))
+        lead = classes.join(saved(groups, "jaccard-groups"), "cls").select("cls", "root", F.xxhash64("copy_id").alias("lead"))
         sets = saved(_sets(texts.join(lead, F.col("at") == F.col("lead"))).dropDuplicates(["cls"]), "jaccard-sets")
         found = saved(verified(sets, threshold, lambda x, d=d: recall(x, trees, d)), "jaccard-links")
         discard_since(mark, found)
@@ -238,6 +245,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
             break
         if d > 1:
             discard(found)
+    discard(met)
     links = found.groupBy("cls").agg(F.sum("links").alias("n_links"))
     mark = working_files()
     roots = components(found.select(F.col("cls").alias("a"), F.col("to").alias("b")), "jaccard-classes").select(F.col("node").alias("cls"), "root")
