@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, line_dedup, mixing, quality, sharding, substring, token_counts, token_store
+from . import audit, bpe, chat, clusters, decontam, jaccard, line_dedup, mixing, quality, sharding, substring, token_counts, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,8 +75,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = clusters.clustered(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.decode_ids(bpe.encode_texts(_table(spark, sf_dir, "documents"), columns=["doc_id"]))
+    n_tokens = F.floor(F.octet_length("ids") / 4).cast("long")
+    return out.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_chat_formatting, op2_substring_dedup, op3_benchmark_decontamination, op4_token_counts, op5_ngram_jaccard_join, op6_token_id_output, op7_source_mixing, op8_quality_rules, op9_line_dedup, op10_sharding)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_substring_dedup, op3_benchmark_decontamination, op4_token_counts, op5_ngram_jaccard_join, op6_token_id_output, op7_source_mixing, op8_quality_rules, op9_line_dedup, op10_sharding, op11_centroid_clustering, op12_filter_audit, op13_byte_level_bpe)}
 
 
 _REST = r"(?:\|im_start\|>|\|im_end\|>|\|endoftext\|>|/?s>|/?INST\]|<SYS>>|</SYS>>)"
@@ -190,5 +205,67 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (exact) AS n_exact, count(*)
 FROM f GROUP BY doc_id"""
 
 
+OP11_SQL = (
+    """
+WITH q AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m FROM (SELECT sha256('3:' || vec_id) AS h, v FROM q WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT 8)
+)"""
+    + "".join(
+        f""", a{r} AS MATERIALIZED (
+  SELECT vec_id, v, arg_min(c, d) AS c, min(d)[1] AS distance FROM (
+    SELECT vec_id, v, c, [list_sum(list_transform(list_zip(v, m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, c] AS d, row_nr FROM (SELECT *, row_number() OVER () AS row_nr FROM q) JOIN c{r} ON true
+  ) GROUP BY row_nr, vec_id, v
+)"""
+        + (
+            f""", s{r} AS (
+  SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY c, i
+), c{r + 1} AS MATERIALIZED (
+  SELECT o.c, coalesce(g.m, o.m) AS m FROM c{r} o LEFT JOIN (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS m FROM s{r} GROUP BY c) g USING (c)
+)"""
+            if r < 10
+            else ""
+        )
+        for r in range(11)
+    )
+    + """
+SELECT vec_id, c::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a10 JOIN c10 USING (c)"""
+)
+
+OP12_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS fails
+  FROM t LEFT JOIN l USING (doc_id)
+), n AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, fails
+), o AS (
+  SELECT '' AS filter_order UNION ALL SELECT filter_order || x FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE NOT contains(filter_order, x)
+), s AS (
+  SELECT filter_order, step, substring(filter_order, step, 1) AS filter, 1 << (ascii(substring(filter_order, step, 1)) - 65) AS bit,
+    list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(substring(filter_order, i::INT, 1)) - 65))) AS before
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step) WHERE length(filter_order) = 5
+), r AS (
+  SELECT part, filter_order, step, filter,
+    coalesce(sum(n) FILTER (fails & (coalesce(before, 0)::INT | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (fails & coalesce(before, 0)::INT = 0 AND fails & bit > 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (fails & coalesce(before, 0)::INT > 0 AND fails & bit > 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (fails & coalesce(before, 0)::INT = 0 AND fails & bit > 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (fails & coalesce(before, 0)::INT = 0 AND fails & bit > 0), 0)::BIGINT AS toxic_lost
+  FROM n, s GROUP BY part, filter_order, step, filter
+)
+SELECT *, (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM r"""
+
+
 def oracle_sql() -> dict:
-    return {"op1_chat_formatting": OP1_SQL, "op5_ngram_jaccard_join": OP5_SQL, "op7_source_mixing": OP7_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op11_centroid_clustering": OP11_SQL, "op12_filter_audit": OP12_SQL, "op1_chat_formatting": OP1_SQL, "op5_ngram_jaccard_join": OP5_SQL, "op7_source_mixing": OP7_SQL, "op9_line_dedup": OP9_SQL}
