@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
 
 
-#: Folders that `saved` has written in this driver and that are still there, oldest first.
-_written: list[str] = []
+#: What `saved` has written in the innermost `working` block of this thread; outside of one nobody keeps a list.
+_files: ContextVar[list[str] | None] = ContextVar("files", default=None)
 #: Spark then removes the shuffle files of a query as it ends; what is saved here is never read from them again.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -52,33 +53,52 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     with _cleaning(spark):
         df.write.parquet(path)
-    _written.append(path)
+    files = _files.get()
+    if files is not None:
+        files.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.saved_at = path
     return out
 
 
-def discard(*frames: DataFrame) -> None:
-    """Empties the folders of what `saved` returned; nothing that is still to run may read them."""
-    for df in frames:
-        _empty(df.sparkSession, df.saved_at)
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
-def _empty(spark: SparkSession, path: str) -> None:
-    # an empty table in their place: any file system that Spark writes to can do that
-    spark.range(0, 0, 1, 1).write.mode("overwrite").parquet(path)
-    _written.remove(path)
+def discard(*frames: DataFrame) -> None:
+    """Removes the folders of what `saved` returned; nothing that is still to run may read them."""
+    for df in frames:
+        _remove(df.sparkSession, df.saved_at)
+        files = _files.get()
+        if files is not None and df.saved_at in files:
+            files.remove(df.saved_at)
 
 
-def working_files() -> set[str]:
-    """A mark: the folders that are there now."""
-    return set(_written)
+@contextmanager
+def working(spark: SparkSession):
+    """As the block ends, well or not, the folders go that `saved` has written within it and in the same thread, but for those of
+    the tables that the block gives to the function it gets (which returns its argument): these belong to what is around it.
+    Other threads' files, and those from before, aren't touched."""
+    files, kept, outer = [], [], _files.get()
+    token = _files.set(files)
 
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.saved_at)
+        return df
 
-def discard_since(mark: set[str], keep: DataFrame) -> None:
-    """Empties all that was written since the mark but `keep`."""
-    for path in [p for p in _written if p not in mark and p != keep.saved_at]:
-        _empty(keep.sparkSession, path)
+    try:
+        yield keep
+    except BaseException:
+        kept.clear()
+        raise
+    finally:
+        _files.reset(token)
+        for path in files:
+            if path not in kept:
+                _remove(spark, path)
+            elif outer is not None:
+                outer.append(path)
 
 
 @contextmanager
@@ -94,7 +114,7 @@ def bucketed(df: DataFrame, name: str, key: str):
         yield spark.table(name)
     finally:
         spark.sql(f"DROP TABLE {name}")
-        spark.range(0, 0, 1, 1).write.mode("overwrite").parquet(path)
+        _remove(spark, path)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

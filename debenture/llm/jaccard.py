@@ -16,9 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bucketed, components, discard, discard_since, fresh, mix, saved, shingles, signed, slices, utf8, working_files
+from .common import Words, bucketed, components, discard, fresh, mix, saved, shingles, signed, slices, utf8, working
 
 SHINGLE, THRESHOLD, TREES, DEPTH, RECALL = 5, 0.8, 24, 7, 0.999
+#: Where no link was found, prefixes are shortened until links at the threshold would be found with this chance.
+SURE = 0.99
 #: Texts and shingles of a block of a candidate group, on average.
 BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 1 << 20
 
@@ -233,25 +235,24 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         met, below = matched(full, 7 - d, met), met
         if below is not None:
             discard(below)
-        mark = working_files()
-        groups = components(met, "jaccard-candidates").select(F.col("node").alias("cls"), "root")
-        # ids by hash, so that null is a value and a table in buckets needn't be moved; what isn't the class's text falls out in _sets
-        lead = classes.join(saved(groups, "jaccard-groups"), "cls").select("cls", "root", F.xxhash64("copy_id").alias("lead"))
-        sets = saved(_sets(texts.join(lead, F.col("at") == F.col("lead"))).dropDuplicates(["cls"]), "jaccard-sets")
-        found = saved(verified(sets, threshold, lambda x, d=d: recall(x, trees, d)), "jaccard-links")
-        discard_since(mark, found)
+        with working(docs.sparkSession) as keep:
+            groups = components(met, "jaccard-candidates").select(F.col("node").alias("cls"), "root")
+            # ids by hash, so that null is a value and a table in buckets needn't be moved; what isn't the class's text falls out in _sets
+            lead = classes.join(saved(groups, "jaccard-groups"), "cls").select("cls", "root", F.xxhash64("copy_id").alias("lead"))
+            sets = saved(_sets(texts.join(lead, F.col("at") == F.col("lead"))).dropDuplicates(["cls"]), "jaccard-sets")
+            found = keep(saved(verified(sets, threshold, lambda x, d=d: recall(x, trees, d)), "jaccard-links"))
         links, missed = found.agg(F.sum("links"), F.sum("missed")).first()
-        if not links or links / (links + missed) >= target:
+        # where nothing was found there is nothing to go by but the chance of the least similar links
+        if (links / (links + missed) if links else recall(threshold, trees, d)) >= (target if links else SURE):
             break
         if d > 1:
             discard(found)
     discard(met)
     links = found.groupBy("cls").agg(F.sum("links").alias("n_links"))
-    mark = working_files()
-    roots = components(found.select(F.col("cls").alias("a"), F.col("to").alias("b")), "jaccard-classes").select(F.col("node").alias("cls"), "root")
-    classes = classes.join(links, "cls", "left").join(roots, "cls", "left").select("cls", "copy_id", "n_copies", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "cls").alias("root"))
-    classes = saved(classes, "jaccard-table")
-    discard_since(mark, classes)
+    with working(docs.sparkSession) as keep:
+        roots = components(found.select(F.col("cls").alias("a"), F.col("to").alias("b")), "jaccard-classes").select(F.col("node").alias("cls"), "root")
+        classes = classes.join(links, "cls", "left").join(roots, "cls", "left").select("cls", "copy_id", "n_copies", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "cls").alias("root"))
+        classes = keep(saved(classes, "jaccard-table"))
     discard(found)
     heads = classes.groupBy("root").agg(F.min("copy_id").alias("class_id"))
     classes = classes.join(heads, "root").drop("root")

@@ -133,9 +133,9 @@ def judged(docs: DataFrame, model: Model, text: str = "text", threshold: float =
     probability and kept.
 
     Null or empty text: no words, so base_failed. Very long texts are counted whole, in a step of their own. Repeated rows get
-    equal values. An empty table gives no rows. Columns named like the new ones are replaced."""
+    equal values. An empty table gives no rows. Columns named like the new ones, in whatever case, are replaced."""
     new = [x.split()[0] for x in _BASE_SCHEMA.split(", ")]
-    names = [c for c in (columns or docs.columns) if c not in new]
+    names = [c for c in (columns or docs.columns) if c.lower() not in new]
     drop = len(names)
     kept = docs.select(*[F.col(f"`{c}`") for c in names], *([] if text in names else [F.col(f"`{text}`")]))
     at = names.index(text) if text in names else drop

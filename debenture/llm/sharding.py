@@ -19,6 +19,8 @@ from .common import discard, fresh, keys_of, saved
 PART_ROWS = 8192
 #: Logical partitions at most, as the driver draws their matrix; beyond, each holds more rows.
 MOST_PARTS = 16384
+#: Copies of one row that a task makes at a time.
+COPIES = 1 << 16
 
 
 def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
@@ -73,7 +75,7 @@ def shard(docs: DataFrame, shards: int = 8, seed: int = 7) -> DataFrame:
 
     Nulls, empty and very long texts are rows like any other. Repeated rows are dealt out each for itself. An empty table gives no
     rows. Columns named shard or slot are replaced, others may have any names. The result hangs on the rows and the seed alone."""
-    d = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")])
+    d = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("shard", "slot")])
     key, key2 = fresh(d, "key", "key2")
     hashes = keys_of(d)
     d = d.withColumns({key: hashes[0], key2: hashes[1]})
@@ -91,7 +93,11 @@ def places(slim: DataFrame, shards: int, seed: int) -> DataFrame:
     """(key, key2, shard, slot), a row per row that slim(key, key2, count) stands for. No texts are moved."""
     spark = slim.sparkSession
     n = slim.agg(F.sum("count")).first()[0] or 0
-    rows = slim.select("key", "key2", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("nth"))
+    # a row that is there very often is first cut into ranges, which are dealt out, so that no task makes all of its copies
+    ranges = slim.select("key", "key2", "count", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1, F.lit(COPIES).cast("long"))).alias("from"))
+    if slim.filter(F.col("count") > COPIES).limit(1).count():
+        ranges = ranges.repartition("key", "key2", "from")
+    rows = ranges.select("key", "key2", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + COPIES, F.col("count")) - 1)).alias("nth"))
     draw = lambda x: F.xxhash64(F.lit(seed), F.lit(x), "key", "key2", "nth")
     parts = min(MOST_PARTS, max(8, -(-n // PART_ROWS)))
     rows = rows.withColumn("part", F.pmod(draw("part"), F.lit(parts)).cast("int"))

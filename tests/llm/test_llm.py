@@ -211,8 +211,8 @@ def test_leaks(spark):
     got = {r["doc_id"]: r for r in decontam.leaks(d, b).collect()}
     assert {1, 2} <= set(got) and not set(got) & {3, 4, 5, 6, 7}
     assert got[1]["n_changed"] == 0 and got[2]["n_changed"] > 2 and got[1]["item_id"] == 10
-    if 8 in got:
-        assert got[8]["coverage"] < 1
+    # its name and one of its numbers have two values: the later ones are in more windows, the four windows of the first ones are lost
+    assert (got[8]["n_windows"], got[8]["n_found"]) == (21, 17)
     assert {r["doc_id"] for r in decontam.without_leaks(d, b).collect()} >= {3, 4, 5, 6, 7} and decontam.leaks(d.limit(0), b).count() == 0 == decontam.leaks(d, b.limit(0)).count()
 
 
@@ -249,7 +249,60 @@ def test_values_are_consistent_over_all_alignments(spark):
     w = first.split()
     slots = sum(any(x in ("12", "Anna") for x in w[i : i + 5]) for i in range(len(w) - 4))
     assert got[1]["n_found"] - got[2]["n_found"] == slots
-    assert {r["doc_id"] for r in decontam.without_leaks(d, b).collect()} == {2} or got[2]["coverage"] >= 0.8
+    assert (n, got[1]["n_found"], got[2]["n_found"]) == (23, 19, 16)
+    assert {r["doc_id"] for r in decontam.without_leaks(d, b).collect()} == {2}
+
+
+def brute_leaks(texts, items):
+    """Of texts without sentence begins: every place of every item against every text, word by word."""
+
+    def read(t):
+        w = SPACE.findall(t)
+        return [("N" if x.isdigit() else "P" if x[0].isupper() else x, x.lower()) for x in w]
+
+    out = {}
+    for i, t in enumerate(texts):
+        for j, item in enumerate(items):
+            a, b = read(item), read(t)
+            k = min(5, len(a))
+            starts = [s for s in range(len(a) - k + 1) if sum(x[0] not in ("N", "P") for x in a[s : s + k]) >= 2]
+            best = 0
+            for shift in range(-len(a), len(b)):
+                hit = [s for s in starts if 0 <= s + shift <= len(b) - k and all(a[s + n][0] == b[s + shift + n][0] for n in range(k))]
+                told = {}
+                for s in hit:
+                    for n in range(k):
+                        if a[s + n][0] in ("N", "P"):
+                            told.setdefault(a[s + n][1], []).append(b[s + shift + n][1])
+                if all(len(set(v)) == 1 for v in told.values()):
+                    best = max(best, len(hit))
+            if starts and best / len(starts) >= 0.8:
+                out[i, j] = best
+    return out
+
+
+def test_every_item_against_every_text(spark):
+    rng, items = random.Random(61), []
+    for _ in range(12):
+        w = [rng.choice("abcdefgh") + rng.choice("lmno") + rng.choice("aeiou") for _ in range(rng.randint(3, 30))]
+        names = rng.sample(["Anna", "Boris", "Clara", "Xaver"], 2)
+        items.append(" ".join(rng.choice(names) if n and rng.random() < 0.1 else str(rng.choice([3, 17])) if rng.random() < 0.15 else x for n, x in enumerate(w)))
+    items = [x if not x[0].isdigit() else f"so {x}" for x in items]
+    texts = []
+    for _ in range(60):
+        t = rng.choice(items)
+        for old, new in (("Anna", "Emil"), ("Boris", "Frida"), ("17", "170"), ("3", "4")):
+            if rng.random() < 0.5:
+                t = " ".join(new if x == old else x for x in t.split())
+        w = t.split()
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            w[rng.randrange(len(w))] = "other"
+        texts.append(" ".join([*words(rng, rng.randint(0, 5)), *w, *words(rng, rng.randint(0, 5))]))
+    want = brute_leaks(texts, items)
+    d = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    b = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["n_found"] for r in decontam.leaks(d, b).collect()}
+    assert len(want) > 30 and got == want
 
 
 def test_short_items_are_found_whole(spark):
@@ -563,7 +616,7 @@ def test_clusters_and_removals_of_paragraphs(spark):
 
 def test_very_long_texts(spark, tokenizer):
     rng = random.Random(32)
-    long = " ".join(words(rng, 180_000))
+    long = " ".join(words(rng, 190_000))
     item = "if Anna buys 3 apples and 5 pears for 20 dollars then how much would Anna pay for 3 apples at the market stall today"
     texts = [long, long, long[:-3] + "xyz", f"{long} {item.replace('Anna', 'Boris')}", "short"]
     assert len(long) > 1 << 20
@@ -572,12 +625,12 @@ def test_very_long_texts(spark, tokenizer):
     assert {r["doc_id"] for r in substring.repeats(d).collect()} == {0, 1, 2, 3}
     b = spark.createDataFrame([(10, item)], "item_id long, text string")
     assert [(r["doc_id"], r["n_changed"]) for r in decontam.leaks(d, b).collect()] == [(3, 1)]
-    assert {r["doc_id"]: r["n_words"] for r in quality.judged(d, quality.Model(bias=50.0)).collect()} == {0: 180_000, 1: 180_000, 2: 180_000, 3: 180_000 + len(item.split()), 4: 1}
+    assert {r["doc_id"]: r["n_words"] for r in quality.judged(d, quality.Model(bias=50.0)).collect()} == {0: 190_000, 1: 190_000, 2: 190_000, 3: 190_000 + len(item.split()), 4: 1}
     got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(d).collect()}
     assert got[2] == len(tokenizer.encode(f"lang: en\nsource: s\n\n{texts[2]}", add_special_tokens=False).ids)
     lines = line_dedup.per_document(d).collect()
     assert {r["doc_id"]: r["n_links"] for r in lines} == {i: int(i < 3 and distance(long[-9:], texts[2][-9:]) <= 4) for i in range(5)}
-    assert sharding.shard(d).count() == 5 and mixing.mix_sources(d).agg(F.sum("size")).first()[0] > 4 * 180_000
+    assert sharding.shard(d).count() == 5 and mixing.mix_sources(d).agg(F.sum("size")).first()[0] > 4 * 190_000
 
 
 def test_empty_tables_and_repeated_rows(spark):
@@ -608,12 +661,77 @@ def test_a_cluster_without_a_shared_folder_is_refused(spark, tmp_path):
     assert common.shared_dir(Session) == common.shared_dir(Session) == Session.conf["spark.checkpoint.dir"]
 
 
+def there(spark, path):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def test_working_files_go(spark):
-    mark = common.working_files()
-    a, b = common.saved(spark.range(5), "a"), common.saved(spark.range(7), "b")
-    common.discard_since(mark, b)
-    assert common.working_files() - mark == {b.saved_at} and b.count() == 7 and spark.read.parquet(a.saved_at).count() == 0
+    before = common.saved(spark.range(3), "before")
+    with common.working(spark) as keep:
+        with common.working(spark) as keep_inner:
+            a, b = common.saved(spark.range(5), "a"), keep_inner(common.saved(spark.range(7), "b"))
+        assert not there(spark, a.saved_at) and b.count() == 7
+        c = keep(common.saved(b, "c"))
+    assert not there(spark, b.saved_at) and c.count() == 7 and before.count() == 3
+    with pytest.raises(ZeroDivisionError), common.working(spark) as keep:
+        d = keep(common.saved(spark.range(2), "d"))
+        1 / 0  # noqa: B018
+    assert not there(spark, d.saved_at)
+    common.discard(before, c)
+    assert not there(spark, before.saved_at)
     with pytest.raises(ZeroDivisionError), common.bucketed(spark.range(3), "c", "id") as c:
         name = c.inputFiles()[0].rsplit("/", 2)[1]
         1 / 0  # noqa: B018
     assert not spark.catalog.tableExists(name)
+
+
+def test_operators_in_two_threads_keep_their_files(spark, docs):
+    from concurrent.futures import ThreadPoolExecutor
+
+    other = docs.withColumn("doc_id", F.col("doc_id") + 1000)
+    want = [sorted(map(tuple, jaccard.near_duplicates(d).collect()), key=str) for d in (docs, other)]
+    with ThreadPoolExecutor(2) as pool:
+        got = list(pool.map(lambda d: sorted(map(tuple, jaccard.near_duplicates(d).collect()), key=str), (docs, other)))
+    assert got == want
+
+
+def test_german_nouns_are_no_names(spark):
+    item = "Das Kind hat die Mutter und der Vater hat die Tochter in der Stadt"
+    texts = ["Der Koch hat die Suppe und der Gast hat die Rechnung in der Hand", f"Davor. {item}. Danach.", "Heute hat Anna 3 rote und der kleine alte Hund 5 blaue Bälle im Garten bei Paul", "Heute hat Berta 9 rote und der kleine alte Hund 7 blaue Bälle im Garten bei Otto", "Heute hat Berta 9 rote und der kleine alte Esel 7 blaue Bälle im Stalle bei Otto"]
+    d = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    b = spark.createDataFrame([(10, item), (11, texts[2])], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["n_changed"] for r in decontam.leaks(d, b).collect()}
+    assert got == {(1, 10): 0, (2, 11): 0, (3, 11): 4}
+
+
+def test_links_are_looked_for_where_none_was_found_at_full_depth(spark):
+    rng, texts = random.Random(51), []
+    for _ in range(12):
+        w = words(rng, 120)
+        texts += [w, [*w[:54], *["x" + x for x in w[54:66]], *w[66:84], "y", *w[85:]]]
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    sets = [shingle_set(" ".join(w)) for w in texts]
+    likeness = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 24, 2)]
+    assert all(0.5 <= x < 0.7 for x in likeness)
+    got = {r["doc_id"]: r["n_links"] for r in jaccard.near_duplicates(d, threshold=0.5).collect()}
+    assert got == {i: 1 for i in range(24)}
+    # one trie and long prefixes: at full depth nothing is found
+    assert sum(r["n_links"] for r in jaccard.near_duplicates(d.filter("doc_id < 2"), threshold=0.5, trees=2).collect()) == 2
+
+
+def test_names_in_either_case_and_rows_repeated_often(spark, monkeypatch):
+    rows = [(i, f"text {i} " * 30, "mine") for i in range(20)]
+    for name in ("Shard", "slot", "KEY", "key2", "Count", "piece"):
+        d = spark.createDataFrame(rows, f"doc_id long, text string, `{name}` string")
+        got = sharding.shard(d)
+        assert len({c.lower() for c in got.columns}) == len(got.columns) and got.count() == 20
+        if name.lower() not in ("shard", "slot"):
+            assert {r[name] for r in got.collect()} == {"mine"}
+    for name in ("Kept", "N_WORDS"):
+        assert quality.judged(spark.createDataFrame(rows, f"doc_id long, text string, `{name}` string"), quality.Model(bias=50.0)).filter("kept is not null").count() == 20
+    monkeypatch.setattr(sharding, "COPIES", 7)
+    often = spark.createDataFrame([(1, "a")], "doc_id long, text string").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(1000)))).drop("n").unionByName(spark.createDataFrame([(2, "b"), (3, "c"), (3, "c")], "doc_id long, text string"))
+    got = sharding.shard(often).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == sorted([(1, "a")] * 1000 + [(2, "b"), (3, "c"), (3, "c")])
+    assert {(r["shard"], r["slot"]) for r in got} == {(s, i) for s in range(8) for i in range(sum(r["shard"] == s for r in got))}
