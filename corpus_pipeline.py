@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from debenture.llm import decontam, jaccard, mixing, quality, sharding
-from debenture.llm.common import discard, discard_since, saved, working_files
+from debenture.llm.common import discard, saved, working
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the base rules or the classifier reject."""
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.judged(docs, model).filter("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # under names of the stage's own, so that no column of docs is taken for one of the operator's
+    own = docs.select(*[F.col(f"`{c}`").alias(f"own_{i}") for i, c in enumerate(docs.columns)])
+    kept = quality.judged(own, model, text=f"own_{docs.columns.index('text')}").filter("kept")
+    return kept.select(*[F.col(f"own_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,15 +45,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        before = working_files()
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = saved(docs, f"pipeline-{name}")
-            # what the stage wrote on its way is read no more; what it was given goes as the next one has been written
-            discard_since(before, docs)
-            if i:
-                discard(last)
-            last = docs
-    return docs
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES[:-1]:
+        # what a stage writes on its way goes with it, what it was given goes as the next table has been written
+        with working(spark) as keep:
+            docs = keep(saved(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+        if last is not None:
+            discard(last)
+        last = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
