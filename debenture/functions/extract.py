@@ -8,14 +8,16 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import anchors as A
 from . import patterns as P
 from .text import bank_sections, ci, empty_to_null, let, text_around
 
 MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
 
 
-def first_group(text: Column, pattern: str, group: int = 1) -> Column:
-    return empty_to_null(F.regexp_extract(text, ci(pattern), group))
+def first_group(text: Column, pattern: str, group: int = 1, hits: Column | None = None) -> Column:
+    value = empty_to_null(F.regexp_extract(text, ci(pattern), group))
+    return value if hits is None else F.when(A.may_match(hits, pattern), value)
 
 
 def first_filled(*found: Column) -> Column:
@@ -64,10 +66,10 @@ def parse_date(s: Column, strict: bool = False) -> Column:
     return let(F.trim(s), lambda v: F.when(F.regexp_like(v, F.lit(numeric)), let(groups(v, numeric), by_number)).when(F.regexp_like(v, F.lit(word)), let(groups(v, word), by_name)))
 
 
-def first_date(t: Column, patterns: list[str], strict: bool = False) -> Column:
+def first_date(t: Column, patterns: list[str], strict: bool = False, hits: Column | None = None) -> Column:
     """Of each pattern in turn the first match, if it can be read. The reading is one lambda for all patterns, so the plan
     stays small."""
-    found = F.array(*[first_group(t, p) for p in patterns])
+    found = F.array(*[first_group(t, p, hits=hits) for p in patterns])
     return F.get(F.filter(F.transform(found, lambda x: parse_date(x, strict)), lambda d: d.isNotNull()), F.lit(0))
 
 
@@ -82,23 +84,23 @@ def _strict_dates(text: Column, patterns: list[str]) -> Column:
     return F.coalesce(first_group(t, lead + r"\s*[:\-]?\s*" + iso).try_cast("date"), found, parse_date(F.concat(day, F.lit(" "), us, F.lit(" "), year), strict=True))
 
 
-def dates(text: Column, strict: bool = False) -> Column:
+def dates(text: Column, strict: bool = False, hits: Column | None = None) -> Column:
     """struct of issue_date, maturity_date (yyyy-MM-dd) and failed: the ninth issue pattern has no group to read, so a text
     that comes to it without a date can't be processed (strict: it is read as month, day, year)."""
     out = lambda d: F.date_format(d, "yyyy-MM-dd")
 
-    def read(t: Column) -> Column:
+    def read(t: Column, known: Column) -> Column:
         if strict:
             return F.struct(out(_strict_dates(t, P.ISSUE_DATE)).alias("issue_date"), out(_strict_dates(t, P.MATURITY_DATE)).alias("maturity_date"), F.lit(False).alias("failed"))
-        issue, maturity = first_date(t, P.ISSUE_DATE[: P.NO_GROUP]), first_date(t, P.MATURITY_DATE)
+        issue, maturity = (first_date(t, x, hits=known) for x in (P.ISSUE_DATE[: P.NO_GROUP], P.MATURITY_DATE))
 
         def judge(x: Column) -> Column:
-            failed = x["i"].isNull() & F.regexp_like(t, F.lit(ci(P.ISSUE_DATE[P.NO_GROUP])))
+            failed = x["i"].isNull() & A.may_match(known, P.ISSUE_DATE[P.NO_GROUP]) & F.regexp_like(t, F.lit(ci(P.ISSUE_DATE[P.NO_GROUP])))
             return let(F.coalesce(failed, F.lit(False)), lambda f: F.struct(F.when(~f, out(x["i"])).alias("issue_date"), F.when(~f, out(x["m"])).alias("maturity_date"), f.alias("failed")))
 
         return let(F.struct(issue.alias("i"), maturity.alias("m")), judge)
 
-    return let(normalise_dates(text), read)
+    return A.within(text, hits, lambda known: let(normalise_dates(text), lambda t: read(t, known)))
 
 
 # --- coupon ---------------------------------------------------------------------------------------------------------
@@ -109,16 +111,16 @@ def normalise_coupon(text: Column, strict: bool = False) -> Column:
     return F.regexp_replace(F.regexp_replace(t, r"\s+%", "%"), r"(\d+),(\d+)", "$1.$2")
 
 
-def coupon(text: Column, strict: bool = False) -> Column:
+def coupon(text: Column, strict: bool = False, hits: Column | None = None) -> Column:
     """struct of coupon_rate and coupon_type. Rate: of each pattern in turn the first match from 0 to 20. Type: the first of
     the list that occurs; a rate without type is fixed, zero coupon without rate is 0."""
-    return let(normalise_coupon(text, strict), _coupon)
+    return A.within(text, hits, lambda known: let(normalise_coupon(text, strict), lambda t: _coupon(t, known)))
 
 
-def _coupon(t: Column) -> Column:
+def _coupon(t: Column, hits: Column) -> Column:
     fits = lambda x: F.coalesce(x.try_cast("double").between(0, 20), F.lit(False))
-    rate = F.coalesce(*[F.get(F.filter(F.regexp_extract_all(t, F.lit(ci(p)), 1), fits), F.lit(0)) for p in P.COUPON_RATE])
-    kind = F.coalesce(*[first_group(t, f"({p})") for p in P.COUPON_TYPES])
+    rate = F.coalesce(*[F.when(A.may_match(hits, p), F.get(F.filter(F.regexp_extract_all(t, F.lit(ci(p)), 1), fits), F.lit(0))) for p in P.COUPON_RATE])
+    kind = F.coalesce(*[F.when(A.may_match(hits, p), first_group(t, f"({p})")) for p in P.COUPON_TYPES])
     kind = F.regexp_replace(F.lower(F.trim(kind)), r"\s+", " ")
 
     def settle(x: Column) -> Column:
@@ -170,7 +172,7 @@ def code_of_symbol(group: Column) -> Column:
     return F.coalesce(*[F.when(F.contains(group, F.lit(s)), F.lit(c)) for s, c in P.SYMBOL_TO_CODE.items()])
 
 
-def currency_primary(text: Column, strict: bool = False) -> Column:
+def currency_primary(text: Column, strict: bool = False, hits: Column | None = None) -> Column:
     """struct of currency and issue_size of the first pattern that finds either."""
     symbol = "|".join(P.CURRENCY_SYMBOLS)
     result = "struct<currency:string,issue_size:string>"
@@ -187,17 +189,18 @@ def currency_primary(text: Column, strict: bool = False) -> Column:
         found = F.transform(F.regexp_extract_all(t, F.lit(ci(p)), 0), one)
         return F.get(F.filter(found, lambda x: x["currency"].isNotNull() | x["issue_size"].isNotNull()), F.lit(0))
 
-    return let(normalise_currency(text, strict), lambda t: F.coalesce(*[read(t, p) for p in P.ISSUE_SIZE], F.lit(None).cast(result)))
+    first = lambda t, known: F.coalesce(*[F.when(A.may_match(known, p), read(t, p)) for p in P.ISSUE_SIZE], F.lit(None).cast(result))
+    return A.within(text, hits, lambda known: let(normalise_currency(text, strict), lambda t: first(t, known)))
 
 
-def currency_fallback(text: Column, strict: bool = False) -> Column:
+def currency_fallback(text: Column, strict: bool = False, hits: Column | None = None) -> Column:
     """struct of currency and issue_size by the phrases that name an amount; a missing currency is looked for within 50
     characters. At last, the size of a medium term note programme."""
     result = "struct<currency:string,issue_size:string>"
 
-    def phrase(p: str) -> Column:
+    def phrase(known: Column, rule: str) -> Column:
         # a match counts if it has an amount, more than commas, or a currency
-        p = P.counting_phrase(p)
+        p = P.counting_phrase(rule)
 
         def read(x: Column) -> Column:
             whole, group = x["w"], F.coalesce(empty_to_null(x["g"]), x["g2"])
@@ -208,49 +211,55 @@ def currency_fallback(text: Column, strict: bool = False) -> Column:
             near = let(F.substring(text, F.greatest(start - 50, F.lit(1)), start + F.length(whole) + 50 - F.greatest(start - 50, F.lit(1))), code_in)
             return F.when(whole != "", F.struct(F.coalesce(exact, code_of_symbol(group), F.when(digits != "", near)).alias("currency"), empty_to_null(amount).alias("issue_size")))
 
-        return let(F.struct(*[F.regexp_extract(text, ci(p), i).alias(n) for i, n in ((0, "w"), (1, "g"), (2, "a"), (3, "g2"), (4, "a2"))]), read)
+        # texts without a match are read once
+        whole = F.regexp_extract(text, ci(p), 0)
+        groups = lambda w: F.struct(w.alias("w"), *[F.regexp_extract(text, ci(p), i).alias(n) for i, n in ((1, "g"), (2, "a"), (3, "g2"), (4, "a2"))])
+        return F.when(A.may_match(known, rule), let(whole, lambda w: F.when(w != "", let(groups(w), read))))
 
     whole = F.regexp_extract(text, ci(P.PROGRAMME), 0)
     amount = scaled(F.replace(F.regexp_extract(text, ci(P.PROGRAMME), 1), F.lit(","), F.lit("")), F.lower(whole), strict)
     programme = F.when(whole != "", F.struct(F.lit("EUR").alias("currency"), empty_to_null(amount).alias("issue_size")))
-    return F.coalesce(*[phrase(p) for p in P.AMOUNT_PHRASES], programme, F.lit(None).cast(result))
+    last = lambda known: F.when(A.may_match(known, P.PROGRAMME), programme)
+    return A.within(text, hits, lambda known: F.coalesce(*[phrase(known, p) for p in P.AMOUNT_PHRASES], last(known), F.lit(None).cast(result)))
 
 
-def currency(text: Column, strict: bool = False) -> Column:
+def currency(text: Column, strict: bool = False, hits: Column | None = None) -> Column:
     """struct of currency and issue_size: the fallback fills what the primary patterns leave out."""
-    return let(
-        currency_primary(text, strict),
-        lambda a: F.when(a["currency"].isNotNull() & a["issue_size"].isNotNull(), a).otherwise(
-            let(currency_fallback(text, strict), lambda b: F.struct(F.coalesce(a["currency"], b["currency"]).alias("currency"), F.coalesce(a["issue_size"], b["issue_size"]).alias("issue_size")))
-        ),
-    )
+
+    def both(known: Column) -> Column:
+        fill = lambda a, b: F.struct(F.coalesce(a["currency"], b["currency"]).alias("currency"), F.coalesce(a["issue_size"], b["issue_size"]).alias("issue_size"))
+        return let(currency_primary(text, strict, known), lambda a: F.when(a["currency"].isNotNull() & a["issue_size"].isNotNull(), a).otherwise(let(currency_fallback(text, strict, known), lambda b: fill(a, b))))
+
+    return A.within(text, hits, both)
 
 
 # --- banks ----------------------------------------------------------------------------------------------------------
 
 
-def all_matches(text: Column, patterns: list[str]) -> Column:
+def all_matches(text: Column, patterns: list[str], hits: Column | None = None) -> Column:
     """Matches of each pattern in turn, in one array."""
-    return F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(ci(f"({p})")), 1) for p in patterns]))
+    none = F.array().cast("array<string>")
+    one = lambda p: F.regexp_extract_all(text, F.lit(ci(f"({p})")), 1)
+    return F.flatten(F.array(*[one(p) if hits is None else F.when(A.may_match(hits, p), one(p)).otherwise(none) for p in patterns]))
 
 
-def bank_roles(text: Column) -> Column:
-    return F.array_distinct(F.transform(all_matches(text, P.BANK_ROLES), lambda r: F.trim(F.lower(r))))
+def bank_roles(text: Column, hits: Column | None = None) -> Column:
+    return A.within(text, hits, lambda known: F.array_distinct(F.transform(all_matches(text, P.BANK_ROLES, known), lambda r: F.trim(F.lower(r)))))
 
 
-def known_banks(text: Column) -> Column:
-    return F.array_distinct(all_matches(text, P.BANKS))
+def known_banks(text: Column, hits: Column | None = None) -> Column:
+    return A.within(text, hits, lambda known: F.array_distinct(all_matches(text, P.BANKS, known)))
 
 
-def banks_near(text: Column, roles: Column) -> Column:
-    """Capitalised runs within 100 characters of a role's first place, where nothing around it speaks against."""
+def banks_near(text: Column, roles: Column, low: Column | None = None) -> Column:
+    """Capitalised runs within 100 characters of a role's first place, where nothing around it speaks against. low: text in lower case."""
 
     def one(role: Column) -> Column:
         def read(around: Column) -> Column:
             good = (F.length(F.trim(around)) >= 3) & ~F.regexp_like(around, F.lit(ci(P.CONTEXT_STOP)))
             return F.when(good, F.filter(F.regexp_extract_all(around, F.lit(P.CAPITALISED), 0), lambda b: ~F.regexp_like(b, F.lit(P.CANDIDATE_STOP))))
 
-        return let(text_around(text, role, 100), read)
+        return let(text_around(text, role, 100, low), read)
 
     return F.array_distinct(F.flatten(F.array_compact(F.transform(roles, one))))
 
@@ -299,30 +308,34 @@ def is_valid_bank_name(name: Column) -> Column:
     return F.coalesce(F.when((F.length(name) < 3) | wrong, F.lit(False)).otherwise(known | shaped), F.lit(False))
 
 
-def bank_mentions(text: Column, strict: bool = False) -> Column:
+def bank_mentions(text: Column, strict: bool = False, hits: Column | None = None) -> Column:
     """array of (section, bank, raw, roles): per section and raw name its standard name and the roles within 100 characters."""
 
-    def of_section(s: Column) -> Column:
+    def of_section(s: Column, hits: Column) -> Column:
         t = s["text"]
-        known = known_banks(t)
         if strict:
-            known = F.array_distinct(F.flatten(F.array(*[F.regexp_extract_all(t, F.lit((r"\b" if p.isupper() else r"(?i)\b") + f"({p})" + r"\b"), 1) for p in P.BANKS])))
+            whole = lambda p: F.regexp_extract_all(t, F.lit((r"\b" if p.isupper() else r"(?i)\b") + f"({p})" + r"\b"), 1)
+            known = F.array_distinct(F.flatten(F.array(*[F.when(A.may_match(hits, p), whole(p)).otherwise(F.array().cast("array<string>")) for p in P.BANKS])))
+        else:
+            known = known_banks(t, hits)
 
-        def with_roles(roles: Column) -> Column:
-            raw = F.array_distinct(F.concat(known, banks_near(t, roles)))
+        def with_roles(x: Column) -> Column:
+            roles, low = x["roles"], x["low"]
+            raw = F.array_distinct(F.concat(known, banks_near(t, roles, low)))
 
             def one(bank: Column) -> Column:
-                around = F.lower(text_around(t, bank, 100))
+                around = F.lower(text_around(t, bank, 100, low))
                 return F.struct(s["section"].alias("section"), clean_bank_name(bank).alias("bank"), bank.alias("raw"), let(around, lambda a: F.filter(roles, lambda r: F.contains(a, r))).alias("roles"))
 
             return F.filter(F.transform(raw, one), lambda b: is_valid_bank_name(b["bank"]))
 
-        return let(bank_roles(t), with_roles)
+        return let(F.struct(bank_roles(t, hits).alias("roles"), F.lower(t).alias("low")), with_roles)
 
-    return F.flatten(F.transform(bank_sections(text, strict), of_section))
+    # sections overlap; what may be in any of them is looked for once, in the whole text
+    return A.within(text, hits, lambda h: F.flatten(F.transform(bank_sections(text, strict), lambda s: of_section(s, h))))
 
 
-def banks(text: Column, strict: bool = False) -> Column:
+def banks(text: Column, strict: bool = False, hits: Column | None = None) -> Column:
     """array of (bank, roles, sections, raw, confidence), a row per standard name in the order found; raw is the least of the names
     as written, confidence how much of it and the standard name agree (1: all words of one are in the other)."""
 
@@ -335,7 +348,7 @@ def banks(text: Column, strict: bool = False) -> Column:
 
         return F.transform(names, one)
 
-    return let(bank_mentions(text, strict), merge)
+    return let(bank_mentions(text, strict, hits), merge)
 
 
 # --- flags ----------------------------------------------------------------------------------------------------------

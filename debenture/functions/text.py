@@ -37,10 +37,10 @@ def first_of(text: Column, patterns: list[str]) -> Column:
     return F.coalesce(*[F.nullif(F.regexp_instr(text, F.lit(p)), F.lit(0)) for p in patterns])
 
 
-def find_section(text: Column, marker: str, end: str | None = None, strict: bool = False) -> Column:
-    """The section that `marker` begins, up to the first `end` behind it; null where there is none. Markers of distribution
-    and of managers stand for lists of headings, others for themselves. strict: `management` is a heading too, either
-    spelling of stabilisation."""
+def section_span(text: Column, marker: str, end: str | None = None, strict: bool = False) -> Column:
+    """struct of low (from 1) and high (behind the last character) of the section that `marker` begins, up to the first `end` behind
+    it; null where there is none. Markers of distribution and of managers stand for lists of headings, others for themselves.
+    strict: `management` is a heading too, either spelling of stabilisation."""
     low, key = F.lower(text), marker.lower()
     if any(x in key for x in ("distribution", "subscription", "placement", "sale")):
         start = first_of(low, P.DISTRIBUTION)
@@ -50,14 +50,18 @@ def find_section(text: Column, marker: str, end: str | None = None, strict: bool
         start = first_of(low, [r"stabili[sz]ation"])
     else:
         start = F.nullif(F.instr(low, key), F.lit(0))
+    behind = F.length(text) + 1
 
     def cut(s: Column) -> Column:
-        if end is None:
-            return F.substring(text, s, F.length(text))
-        stop = F.position(F.lit(end.lower()), low, s + len(marker))
-        return F.substring(text, s, F.when(stop > 0, stop - s).otherwise(F.length(text)))
+        stop = behind if end is None else let(F.position(F.lit(end.lower()), low, s + len(marker)), lambda at: F.when(at > 0, at).otherwise(behind))
+        return F.when(s.isNotNull(), F.struct(s.alias("low"), stop.alias("high")))
+
+    return let(start, cut)
+
 
-    return empty_to_null(F.trim(cut(start)))
+def find_section(text: Column, marker: str, end: str | None = None, strict: bool = False) -> Column:
+    """The text of section_span, trimmed; null where there is none or nothing in it."""
+    return let(section_span(text, marker, end, strict), lambda x: empty_to_null(F.trim(F.substring(text, x["low"], x["high"] - x["low"]))))
 
 
 def document_sections(text: Column, strict: bool = False) -> Column:
@@ -79,11 +83,15 @@ def bank_sections(text: Column, strict: bool = False) -> Column:
     return F.when(text == "", F.array().cast("array<struct<section:string,text:string>>")).otherwise(let(found, lambda x: F.when(F.size(x) > 0, x).otherwise(whole)))
 
 
-def text_around(text: Column, target: Column, window: int) -> Column:
-    """Up to `window` characters on both sides of the first place of target, without regard to case; else empty."""
-    at = F.position(F.lower(target), F.lower(text))
-    low = F.greatest(at - window, F.lit(1))
-    return F.when((at > 0) & (target != ""), F.substring(text, low, at + F.length(target) + window - low)).otherwise(F.lit(""))
+def text_around(text: Column, target: Column, window: int, low: Column | None = None) -> Column:
+    """Up to `window` characters on both sides of the first place of target, without regard to case; else empty. low: text in lower
+    case, where it is at hand."""
+
+    def cut(at: Column) -> Column:
+        begin = F.greatest(at - window, F.lit(1))
+        return F.when((at > 0) & (target != ""), F.substring(text, begin, at + F.length(target) + window - begin)).otherwise(F.lit(""))
+
+    return let(F.position(F.lower(target), F.lower(text) if low is None else low), cut)
 
 
 def contains_any(text: Column, words: list[str]) -> Column:

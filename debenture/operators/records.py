@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from debenture.functions import anchors
 from debenture.functions import extract as E
 from debenture.functions import text as T
 from debenture.operators.register import filename_of_path
@@ -24,7 +25,10 @@ def extracted(docs: DataFrame, text: str = "text", path: str = "file_path", stri
     that is empty once cleaned has only the flag text_extraction_failed; one whose dates can't be read has only
     `processing_error: no such group`."""
     d = docs.withColumn("t", clean(F.col(text), strict)).withColumn("filename", filename_of_path(F.col(path)))
-    d = d.withColumns({"d": E.dates(F.col("t"), strict), "m": E.currency(F.col("t"), strict), "c": E.coupon(F.col("t"), strict), "sections": T.document_sections(F.col("t"), strict), "bank_info": E.banks(F.col("t"), strict)})
+    # one pass over the text says which rules can match at all
+    t, hits = F.col("t"), F.col("hits")
+    d = d.withColumn("hits", anchors.found(t))
+    d = d.withColumns({"d": E.dates(t, strict, hits), "m": E.currency(t, strict, hits), "c": E.coupon(t, strict, hits), "sections": T.document_sections(t, strict), "bank_info": E.banks(t, strict, hits)})
     flags = E.validation_flags(F.size("bank_info"), F.col("d.issue_date"), F.col("d.maturity_date"), F.col("m.currency"), F.col("m.issue_size"), F.col("c.coupon_rate"), F.col("c.coupon_type"), F.size("sections"), F.col("filename"))
     empty, failed = F.col("t") == "", F.col("d.failed")
     good = ~empty & ~failed

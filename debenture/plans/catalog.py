@@ -9,6 +9,7 @@ from debenture.functions import extract as E
 from debenture.functions import patterns as P
 from debenture.functions import text as T
 from debenture.operators import companies as C
+from debenture.operators import mentions
 from debenture.operators import metrics as M
 from debenture.operators import records as R
 from debenture.operators import register as G
@@ -163,6 +164,12 @@ def _by(*cols):
     return Window.partitionBy(*cols)
 
 
+def bank_roles_by_place(spark, sf):
+    """The strict rule: every place of a name, not the first one's surroundings."""
+    # the texts are made here; dealt out once, they aren't made anew for each rule
+    return mentions.bank_roles_by_place(cleaned(spark, sf).select("doc_id", "t").repartition("doc_id"))
+
+
 def banks_by_role(spark, sf):
     return bank_role_section(spark, sf).groupBy(F.coalesce("role", F.lit("Unknown")).alias("role"), "bank").agg(F.countDistinct("doc_id").alias("n_documents"))
 
@@ -489,7 +496,7 @@ def files_per_company(spark, sf):
 NAMES = [
     clean_text, clean_prospectus, find_section_distribution, extract_sections, bank_sections, text_context,
     dates_issue_maturity, date_parse_matrix, currency_primary, currency_fallback, currency_full, programme_size, coupon,
-    bank_roles, bank_known_names, bank_near_roles, bank_clean_name, bank_valid_name, bank_role_section, banks_by_role, bank_lists_by_role, standard_bank_names, bank_confidence_tiers,
+    bank_roles, bank_known_names, bank_near_roles, bank_clean_name, bank_valid_name, bank_role_section, bank_roles_by_place, banks_by_role, bank_lists_by_role, standard_bank_names, bank_confidence_tiers,
     validation_flags, extraction_record, consolidated_flat, typed_record, issuance_by_currency_year, issuance_by_bank, flag_summary, plausibility, run_summary,
     final_terms_filter, filename_recognised, filename_from_url, filename_from_header, organized_path, path_collisions, output_filename,
     document_id_md5, document_hash_md5, content_sha256, content_dedup, content_against_index, url_dedup, required_fields, dry_run_stats,

@@ -194,3 +194,29 @@ b AS (SELECT doc_id, section, text, raw, {bank_name('raw')} AS bank FROM raw),
 v AS (SELECT doc_id, section, bank, lower({around('text', 'raw', 100)}) AS a FROM b WHERE {bank_valid('bank')}),
 r AS ({roles('SELECT * FROM s')})
 SELECT DISTINCT v.doc_id, v.section, v.bank, r.role FROM v LEFT JOIN r ON r.doc_id = v.doc_id AND r.section = v.section AND contains(v.a, r.role)"""
+
+
+def places(t: str, p: str) -> str:
+    """A list of structs (low, high, value) of a pattern's matches in t."""
+    lens = f"list_transform(regexp_split_to_array({t}, {q(p)}), lambda x: length(x))"
+    found = f"regexp_extract_all({t}, {q(p)}, 0)"
+    return f"""(SELECT list_transform(range(1, len(m) + 1), lambda i: {{'low': 1 + list_sum(g[1:i]) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0), 'high': 1 + list_sum(g[1:i]) + list_sum(list_transform(m[1:i], lambda x: length(x))), 'value': m[i]}})
+ FROM (SELECT {lens} AS g, {found} AS m))"""
+
+
+def roles_by_place(rel: str, names: str, roles_: str, window: int = 100) -> str:
+    """rel(doc_id, t): each place of a name against each place of a role in its section, by strict sections."""
+    heads = {"distribution": P.DISTRIBUTION, "management": P.MANAGEMENT, "stabilisation": [r"stabili[sz]ation"]}
+    at = lambda s: "coalesce(" + ", ".join(start("lower(t)", p) for p in heads[s]) + ")"
+    spans = " UNION ALL ".join(
+        f"SELECT doc_id, t, '{s}' AS section, a AS first, CASE WHEN strpos(substring(lower(t), a + {len(s)}), 'listing') > 0 THEN a + {len(s)} + strpos(substring(lower(t), a + {len(s)}), 'listing') - 1 ELSE length(t) + 1 END AS last FROM (SELECT doc_id, t, {at(s)} AS a FROM d) WHERE a IS NOT NULL"
+        for s in heads
+    )
+    return f"""WITH d AS MATERIALIZED (SELECT * FROM ({rel}) WHERE t <> ''), s AS MATERIALIZED ({spans}),
+f AS (SELECT * FROM s UNION ALL SELECT doc_id, t, 'full_text', 1, length(t) + 1 FROM d WHERE doc_id NOT IN (SELECT doc_id FROM s)),
+n AS MATERIALIZED (SELECT doc_id, unnest({places('t', names)}) AS x FROM d), r AS MATERIALIZED (SELECT doc_id, unnest({places('t', roles_)}) AS y FROM d),
+b AS (SELECT f.doc_id, section, first, last, {bank_name('x.value')} AS bank, x.low AS low, x.high AS high FROM f JOIN n ON n.doc_id = f.doc_id AND x.low >= first AND x.high <= last),
+v AS MATERIALIZED (SELECT * FROM b WHERE {bank_valid('bank')}),
+p AS (SELECT v.doc_id, section, bank, trim(lower(y.value)) AS role, count(*) AS n, min(greatest(y.low - high, low - y.high, 0))::INT AS distance
+  FROM v JOIN r ON r.doc_id = v.doc_id AND y.low >= greatest(low - {window}, first) AND y.high <= least(high + {window}, last) GROUP BY ALL)
+SELECT * FROM p UNION ALL SELECT doc_id, section, bank, NULL, count(*), NULL FROM v WHERE (doc_id, section, bank) NOT IN (SELECT (doc_id, section, bank) FROM p) GROUP BY doc_id, section, bank"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from debenture.functions import patterns as P
+from debenture.operators import mentions
 
 from . import duck as D
 from . import prospectus
@@ -104,6 +105,7 @@ def oracle_sql() -> dict[str, str]:
         "bank_near_roles": f"SELECT doc_id, section, raw FROM ({D.near(D.sections(REL))})",
         "bank_clean_name": f"SELECT k, raw, {D.bank_name('raw')} AS bank FROM ({names()})",
         "bank_valid_name": f"SELECT k, raw, {D.bank_valid('raw')} AS valid FROM ({names()})",
+        "bank_roles_by_place": D.roles_by_place(REL, mentions.NAMES, mentions.ROLES),
         "bank_role_section": f"SELECT * FROM (SELECT doc_id, section, bank, role, count(role) OVER (PARTITION BY doc_id, section, bank) AS n FROM ({MENTIONS})) WHERE role IS NOT NULL OR n = 0".replace("SELECT * FROM (SELECT doc_id", "SELECT doc_id, section, bank, role FROM (SELECT doc_id", 1),
         "banks_by_role": f"WITH x AS (SELECT doc_id, section, bank, role, count(role) OVER (PARTITION BY doc_id, section, bank) AS n FROM ({MENTIONS})) SELECT coalesce(role, 'Unknown') AS role, bank, count(DISTINCT doc_id) AS n_documents FROM x WHERE role IS NOT NULL OR n = 0 GROUP BY 1, 2",
         "standard_bank_names": f"WITH n AS (SELECT k, lower({D.bank_name('raw')}) AS name FROM ({names()})), al AS (SELECT * FROM (VALUES {', '.join(f'({q(s)}, {q(a)})' for s, xs in ALIASES.items() for a in xs)}) v(standard, alias)) {NEAR_SCORE}",
