@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from debenture.operators import companies as C
 from debenture.operators import records as R
 from debenture.operators import register as G
-from debenture.sources import files, pdf
+from debenture.sources import files, pdf, whole_files
 
 
 def records_of(spark: SparkSession, pdf_dir: str, readers: list | None = None) -> DataFrame:
@@ -27,13 +27,13 @@ def records_of(spark: SparkSession, pdf_dir: str, readers: list | None = None) -
 
 
 def process(spark: SparkSession, companies: DataFrame, processed_path: str, records: DataFrame, out: str) -> DataFrame:
-    """Companies that are eligible and not yet processed: their records as a JSON folder each, one consolidated JSON and sheet, and
+    """Companies that are eligible and not yet processed: their records as a JSON file each, one consolidated JSON and sheet, and
     the list of processed names with theirs added. Returns (companies_attempted, companies_succeeded, documents, errors)."""
     # what is asked for is written first, as the list that it comes from changes below
     C.unprocessed(C.eligible(companies), files.read_names(spark, processed_path)).select("name").distinct().write.mode("overwrite").parquet(f"{out}/wanted")
     wanted = spark.read.parquet(f"{out}/wanted")
     own = records.join(wanted, F.col("company") == F.col("name"), "left_semi").persist()
-    files.write_company_json(own, f"{out}/companies")
+    whole_files.write_companies(own, f"{out}/companies", order=["file_path"])
     files.write_consolidated(R.consolidated(own), f"{out}/consolidated")
     # the list is read while it is written, so its new names go beside it first
     files.read_names(spark, processed_path).unionByName(wanted).distinct().write.mode("overwrite").parquet(f"{out}/processed_next")

@@ -42,6 +42,7 @@ def stats(documents: DataFrame) -> DataFrame:
 
 
 def first_per_company(documents: DataFrame, n: int = 5, order: str = "seq") -> DataFrame:
+    """The first n documents of each company, with their rank; a task sends on n of a company at most."""
     return documents.withColumn("rank", F.row_number().over(Window.partitionBy("company").orderBy(order))).filter(F.col("rank") <= n)
 
 

@@ -80,11 +80,6 @@ def pdf_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
     return out.filter(F.endswith(F.lower("path"), F.lit(".pdf"))).distinct().orderBy("path")
 
 
-def write_company_json(records: DataFrame, path: str, company: str = "company") -> None:
-    """A folder per company of its records, those with any; the folder's name has _ for /."""
-    records.withColumn("__folder", F.replace(company, F.lit("/"), F.lit("_"))).repartition("__folder").write.partitionBy("__folder").mode("overwrite").json(path)
-
-
 def write_consolidated(rows: DataFrame, path: str) -> None:
     """The records as JSON, and as a sheet (CSV with header) with columns in their order."""
     rows.write.mode("overwrite").json(f"{path}/json")

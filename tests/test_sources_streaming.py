@@ -151,7 +151,9 @@ def test_a_run_writes_all_it_should(spark, tmp_path):
     files.write_names(spark.createDataFrame([("D",)], "name string"), str(tmp_path / "processed"))
     got = batch.process(spark, names, str(tmp_path / "processed"), records.extracted(docs), str(tmp_path / "out")).first().asDict()
     assert got["companies_attempted"] == 2 and got["companies_succeeded"] == 1 and got["documents"] == 2 and got["errors"] == 1
-    assert {p.name for p in (tmp_path / "out/companies").iterdir() if p.is_dir()} == {"__folder=A_B"}
+    (written,) = [p for p in (tmp_path / "out/companies").iterdir() if not p.name.startswith(".")]
+    document = json.loads(written.read_text())
+    assert written.name == "A_B.json" and document["company"] == {"name": "A/B"} and [x["doc_id"] for x in document["documents"]] == [1, 2]
     flat = spark.read.option("header", "true").csv(str(tmp_path / "out/consolidated/sheet"))
     assert flat.columns == records.CONSOLIDATED and spark.read.json(str(tmp_path / "out/consolidated/json")).count() == flat.count() >= 3
     assert "Deutsche Bank AG" not in {r["bank_standard_name"] for r in flat.collect()}
