@@ -173,6 +173,16 @@ def oracle_sql() -> dict[str, str]:
         "retry_delays": "SELECT range AS attempt, 5.0::DOUBLE * pow(2.0, range) AS seconds FROM range(6)",
         "html_links": f"SELECT page_id, url, {url_name('url')} AS filename FROM (SELECT page_id, regexp_extract(html, {q(r'(?is)<a\b[^>]*?href\s*=\s*"([^"]*)"')}, 1) AS url FROM pages) WHERE url <> ''",
         "html_result_rows": f"SELECT page, row, company AS issuer_name, doc_type, date, url, {url_name('url')} AS filename FROM (SELECT *, seq // 20 AS page, row_number() OVER (PARTITION BY seq // 20 ORDER BY seq) - 1 AS row FROM ({REGISTER})) WHERE url <> ''",
+        "paged_result_rows": f"""WITH RECURSIVE r AS MATERIALIZED (SELECT seq // 20 AS page, row_number() OVER (PARTITION BY seq // 20 ORDER BY seq) - 1 AS row, url FROM ({REGISTER})),
+ p AS MATERIALIZED (SELECT page, CASE WHEN page % 35 = 33 THEN page - 2 WHEN page % 70 = 69 THEN page - 34 WHEN page % 35 = 20 THEN page - 6 WHEN page % 7 <> 6 THEN page + 1 END AS next FROM (SELECT DISTINCT page FROM r)),
+ l AS MATERIALIZED (SELECT * FROM p WHERE next IN (SELECT page FROM p)),
+ w AS (SELECT page AS start, [page] AS seen FROM p UNION ALL SELECT start, list_append(seen, next) FROM w JOIN l ON l.page = seen[-1] WHERE NOT list_contains(seen, next)),
+ a AS (SELECT start, arg_max(seen, len(seen)) AS seen FROM w GROUP BY start),
+ h AS (SELECT page FROM p WHERE page NOT IN (SELECT next FROM l WHERE next <> page)),
+ m AS (SELECT DISTINCT unnest(seen) AS page FROM a WHERE start IN (SELECT page FROM h)),
+ c AS (SELECT * FROM a WHERE start IN (SELECT page FROM h) OR start NOT IN (SELECT page FROM m) AND start = list_min(seen)),
+ o AS (SELECT start AS chain, unnest(seen) AS page, generate_subscripts(seen, 1) - 1 AS position FROM c)
+ SELECT chain, position, page, row, url FROM o JOIN r USING (page) WHERE url <> ''""",
         "keyword_lines": f"SELECT doc_id, line FROM (SELECT doc_id, trim(lower(unnest(string_split(text, chr(10))))) AS line FROM ({PRO})) WHERE {any_of('line', P.DATE_KEYWORDS)}",
         "distinct_dates_top20": f"SELECT DISTINCT unnest({D.matches('text', P.DATE_STRINGS)}) AS found FROM ({PRO}) ORDER BY found LIMIT 20",
         "name_concordance": f"SELECT doc_id, name, n, md5({D.around('t', 'name', 100)}) AS context FROM (SELECT doc_id, t, name, ((length(t) - length(replace(t, name, ''))) // length(name)) AS n FROM ({REL}), (SELECT unnest([{', '.join(q(x) for x in P.CONCORDANCE_NAMES)}]) AS name)) WHERE n > 0",
