@@ -264,21 +264,53 @@ def banks_near(text: Column, roles: Column, low: Column | None = None) -> Column
     return F.array_distinct(F.flatten(F.array_compact(F.transform(roles, one))))
 
 
+def common_subsequence(x: Column, y: Column) -> Column:
+    """Length of the longest common subsequence. A bit for each character of the shorter text, while these fit a long: zeros in the end
+    are what both have; for longer texts by rows of the table of lengths."""
+
+    def by_bits(t: Column) -> Column:
+        full = F.call_function("shiftleft", F.lit(1).cast("long"), F.size(t["y"])) - 1
+        place = lambda c, i: F.call_function("shiftleft", F.lit(1).cast("long"), i)
+        mask = lambda x: F.aggregate(F.transform(t["y"], lambda c, i: F.when(c == x, place(c, i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+        step = lambda v, x: let(mask(x), lambda m: (v + v.bitwiseAND(m)).bitwiseOR(v.bitwiseAND(F.bitwise_not(m))).bitwiseAND(full))
+        return F.size(t["y"]) - F.bit_count(F.aggregate(t["x"], full, step))
+
+    def by_rows(t: Column) -> Column:
+        def row(before: Column, x: Column) -> Column:
+            cell = lambda now, j: F.when(F.get(t["y"], j - 1) == x, F.get(before, j - 1) + 1).otherwise(F.greatest(F.get(before, j), F.get(now, j - 1)))
+            return F.aggregate(F.sequence(F.lit(1), F.size(t["y"])), F.array(F.lit(0)), lambda now, j: F.concat(now, F.array(cell(now, j))))
+
+        return F.element_at(F.aggregate(t["x"], F.array_repeat(F.lit(0), F.size(t["y"]) + 1), row), -1)
+
+    letters = lambda c: F.filter(F.split(c, ""), lambda x: x != "")
+    first = F.length(x) >= F.length(y)
+    both = F.struct(letters(F.when(first, x).otherwise(y)).alias("x"), letters(F.when(first, y).otherwise(x)).alias("y"))
+    return let(both, lambda t: F.when(F.size(t["y"]) == 0, F.lit(0)).when(F.size(t["y"]) <= 62, by_bits(t)).otherwise(by_rows(t)))
+
+
+def likeness(x: Column, y: Column) -> Column:
+    """0 to 100: twice the longest common subsequence as a share of both lengths, rounded, halves to the even number."""
+    return F.bround(200 * common_subsequence(x, y) / F.greatest(F.length(x) + F.length(y), F.lit(1)), 0)
+
+
+def name_words(c: Column) -> Column:
+    return F.array_sort(F.array_distinct(F.filter(F.split(c, r"\s+"), lambda w: w != "")))
+
+
 def token_set_ratio(a: Column, b: Column) -> Column:
     """0 to 100: of the words that both have, followed by those that only one has, in order, the likeness of the two most alike of
-    common, common and first, common and second. Likeness is 100 less the share of edits in the longer one; two texts of
-    which one holds all words of the other are alike."""
-    like = lambda x, y: F.floor(100 - 100 * F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y), F.lit(1)))
-    words = lambda c: F.array_sort(F.array_distinct(F.filter(F.split(c, r"\s+"), lambda w: w != "")))
+    common, common and first, common and second; two texts of which one holds all words of the other are alike."""
     glue = lambda x, y: F.array_join(F.concat(x, y), " ")
 
     def ratio(s: Column) -> Column:
         both, x, y = F.array_intersect(s["a"], s["b"]), F.array_except(s["a"], s["b"]), F.array_except(s["b"], s["a"])
         one, two, common = glue(both, x), glue(both, y), F.array_join(both, " ")
         whole = (F.size(both) > 0) & ((F.size(x) == 0) | (F.size(y) == 0))
-        return F.when(whole, F.lit(100)).when(F.size(both) == 0, like(one, two)).otherwise(F.greatest(like(common, one), like(common, two), like(one, two))).cast("double")
+        # what is common begins the other two, so they have all of it
+        part = lambda c: F.bround(200 * F.length(common) / F.greatest(F.length(common) + F.length(c), F.lit(1)), 0)
+        return F.when(whole, F.lit(100)).when(F.size(both) == 0, likeness(one, two)).otherwise(F.greatest(part(one), part(two), likeness(one, two))).cast("double")
 
-    return let(F.struct(words(a).alias("a"), words(b).alias("b")), ratio)
+    return let(F.struct(name_words(a).alias("a"), name_words(b).alias("b")), ratio)
 
 
 def standard_bank(name: Column, aliases: dict[str, list[str]], threshold: int = 85) -> Column:
@@ -344,7 +376,7 @@ def banks(text: Column, strict: bool = False, hits: Column | None = None) -> Col
 
         def one(n: Column) -> Column:
             own = F.filter(all_, lambda b: b["bank"] == n)
-            return F.struct(n.alias("bank"), F.array_distinct(F.flatten(F.transform(own, lambda b: b["roles"]))).alias("roles"), F.array_distinct(F.transform(own, lambda b: b["section"])).alias("sections"), F.array_min(F.transform(own, lambda b: b["raw"])).alias("raw"), F.array_max(F.transform(own, lambda b: token_set_ratio(F.lower(b["raw"]), F.lower(n)) / 100)).alias("confidence"))
+            return F.struct(n.alias("bank"), F.array_distinct(F.flatten(F.transform(own, lambda b: b["roles"]))).alias("roles"), F.array_distinct(F.transform(own, lambda b: b["section"])).alias("sections"), F.array_min(F.transform(own, lambda b: b["raw"])).alias("raw"), F.array_max(F.transform(F.array_distinct(F.transform(own, lambda b: F.lower(b["raw"]))), lambda r: token_set_ratio(r, F.lower(n)) / 100)).alias("confidence"))
 
         return F.transform(names, one)
 

@@ -9,7 +9,7 @@ from debenture.functions import extract as E
 from debenture.functions import patterns as P
 from debenture.functions import text as T
 from debenture.operators import companies as C
-from debenture.operators import mentions, pages
+from debenture.operators import mentions, names, pages
 from debenture.operators import metrics as M
 from debenture.operators import records as R
 from debenture.operators import register as G
@@ -181,6 +181,14 @@ def standard_bank_names(spark, sf):
     return best.select("k", "name", F.col("best.standard").alias("standard"), (F.col("best.score") / 100).alias("confidence"))
 
 
+def names_by_alias_table(spark, sf):
+    """Part names, turned round, cut short or longer, against a table of parts."""
+    k, n = F.col("p_partkey"), F.lower("p_name")
+    made = F.when(k % 4 == 0, F.array_join(F.reverse(F.split(n, " ")), " ")).when(k % 4 == 1, F.regexp_replace(n, "e", "")).when(k % 4 == 2, F.concat(n, F.lit(" company"))).otherwise(n)
+    p = table(spark, sf, "part")
+    return names.standardised(p.select(made.alias("name")), p.select(n.alias("alias"), F.col("p_brand").alias("standard")))
+
+
 def bank_confidence_tiers(spark, sf):
     d = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.lower(F.replace("s_name", F.lit("Supplier#"), F.lit("paribas bank "))).alias("name"))
     score = F.array_max(F.array(*[E.token_set_ratio(F.col("name"), F.lit(a)) for xs in ALIASES.values() for a in xs]))
@@ -514,7 +522,7 @@ def files_per_company(spark, sf):
 NAMES = [
     clean_text, clean_prospectus, find_section_distribution, extract_sections, bank_sections, text_context,
     dates_issue_maturity, date_parse_matrix, currency_primary, currency_fallback, currency_full, programme_size, coupon,
-    bank_roles, bank_known_names, bank_near_roles, bank_clean_name, bank_valid_name, bank_role_section, bank_roles_by_place, banks_by_role, bank_lists_by_role, standard_bank_names, bank_confidence_tiers,
+    bank_roles, bank_known_names, bank_near_roles, bank_clean_name, bank_valid_name, bank_role_section, bank_roles_by_place, banks_by_role, bank_lists_by_role, standard_bank_names, names_by_alias_table, bank_confidence_tiers,
     validation_flags, extraction_record, consolidated_flat, typed_record, issuance_by_currency_year, issuance_by_bank, flag_summary, plausibility, run_summary,
     final_terms_filter, filename_recognised, filename_from_url, filename_from_header, organized_path, path_collisions, output_filename,
     document_id_md5, document_hash_md5, content_sha256, content_dedup, content_against_index, url_dedup, required_fields, dry_run_stats,

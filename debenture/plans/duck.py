@@ -171,8 +171,11 @@ def near(rel: str) -> str:
 
 
 def token_set(a: str, b: str) -> str:
-    """The likeness of two texts by their words, 0 to 100."""
-    like = lambda x, y: f"floor(100 - 100 * levenshtein({x}, {y}) / greatest(length({x}), length({y}), 1))"
+    """The likeness of two texts by their words, 0 to 100; of texts of 62 characters or fewer."""
+    bits = lambda x, y: f"list_transform(string_split({x}, ''), lambda c: list_sum(list_transform(range(length({y})), lambda i: CASE WHEN substring({y}, i + 1, 1) = c THEN 1::BIGINT << i ELSE 0 END))::BIGINT)"
+    full = lambda y: f"((1::BIGINT << length({y})) - 1)"
+    both = lambda x, y: f"(CASE WHEN length({x}) = 0 OR length({y}) = 0 THEN 0 ELSE length({y}) - bit_count(list_reduce({bits(x, y)}, lambda v, m: ((v + (v & m)) | (v & ~m)) & {full(y)}, {full(y)})) END)"
+    like = lambda x, y: f"round_even(200 * {both(x, y)} / greatest(length({x}) + length({y}), 1), 0)"
     words = lambda c: f"list_sort(list_distinct(list_filter(regexp_split_to_array({c}, {q(r'\s+')}), lambda w: w <> '')))"
     return f"""(SELECT CASE WHEN len(i) > 0 AND (len(x) = 0 OR len(y) = 0) THEN 100 WHEN len(i) = 0 THEN {like('o', 't')} ELSE greatest({like('c', 'o')}, {like('c', 't')}, {like('o', 't')}) END::DOUBLE
  FROM (SELECT i, x, y, array_to_string(i, ' ') AS c, array_to_string(list_concat(i, x), ' ') AS o, array_to_string(list_concat(i, y), ' ') AS t

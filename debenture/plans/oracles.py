@@ -109,6 +109,11 @@ def oracle_sql() -> dict[str, str]:
         "bank_role_section": f"SELECT * FROM (SELECT doc_id, section, bank, role, count(role) OVER (PARTITION BY doc_id, section, bank) AS n FROM ({MENTIONS})) WHERE role IS NOT NULL OR n = 0".replace("SELECT * FROM (SELECT doc_id", "SELECT doc_id, section, bank, role FROM (SELECT doc_id", 1),
         "banks_by_role": f"WITH x AS (SELECT doc_id, section, bank, role, count(role) OVER (PARTITION BY doc_id, section, bank) AS n FROM ({MENTIONS})) SELECT coalesce(role, 'Unknown') AS role, bank, count(DISTINCT doc_id) AS n_documents FROM x WHERE role IS NOT NULL OR n = 0 GROUP BY 1, 2",
         "standard_bank_names": f"WITH n AS (SELECT k, lower({D.bank_name('raw')}) AS name FROM ({names()})), al AS (SELECT * FROM (VALUES {', '.join(f'({q(s)}, {q(a)})' for s, xs in ALIASES.items() for a in xs)}) v(standard, alias)) {NEAR_SCORE}",
+        "names_by_alias_table": f"""WITH n AS MATERIALIZED (SELECT DISTINCT CASE p_partkey % 4 WHEN 0 THEN array_to_string(list_reverse(string_split(lower(p_name), ' ')), ' ') WHEN 1 THEN replace(lower(p_name), 'e', '') WHEN 2 THEN lower(p_name) || ' company' ELSE lower(p_name) END AS name FROM part),
+ a AS MATERIALIZED (SELECT lower(p_name) AS alias, max(p_brand) AS standard FROM part GROUP BY 1),
+ w AS (SELECT DISTINCT n.name, a.alias FROM (SELECT name, unnest(string_split(name, ' ')) AS w FROM n) n JOIN (SELECT alias, unnest(string_split(alias, ' ')) AS w FROM a) a ON n.w = a.w AND a.w <> '' WHERE name NOT IN (SELECT alias FROM a)),
+ s AS (SELECT name, standard, 100.0::DOUBLE AS score FROM n JOIN a ON name = alias UNION ALL SELECT name, standard, {D.token_set('name', 'alias')} FROM w JOIN a USING (alias))
+ SELECT name, max_by(standard, (score, standard)) AS standard, max(score) AS score FROM s GROUP BY name HAVING max(score) >= 85""",
         "validation_flags": f"{REC} SELECT doc_id, array_to_string(flags, ',') AS flags FROM rec",
         "extraction_record": f"{REC} SELECT doc_id, filename, issue_date, maturity_date, issue_size, currency, coupon_rate, coupon_type, banks, array_to_string(flags, ',') AS flags FROM rec",
         "consolidated_flat": f"""{REC}, x AS (SELECT doc_id, bank, role, count(role) OVER (PARTITION BY doc_id, bank) AS n FROM (SELECT DISTINCT doc_id, bank, role FROM mn)), rw AS ({D.raw_names('SELECT * FROM r')}), y AS (SELECT x.*, raw, confidence FROM x JOIN rw ON rw.doc_id = x.doc_id AND rw.bank = x.bank WHERE role IS NOT NULL OR n = 0)

@@ -130,7 +130,7 @@ def test_sessions_start_anew(spark):
 
 
 def test_likeness_of_names(spark):
-    pairs = {("bnp paribas", "bnp paribas fortis"): 100, ("bank deutsche", "deutsche bank"): 100, ("santandr", "santander"): 88, ("", "x"): 0}
+    pairs = {("bnp paribas", "bnp paribas fortis"): 100, ("bank deutsche", "deutsche bank"): 100, ("santandr", "santander"): 94, ("", "x"): 0, ("jpmorgan chase", "jp morgan chase"): 97, ("ab", "cd"): 0, ("a" * 70 + "b", "a" * 69 + "cb"): 99}
     d = spark.createDataFrame([(*k,) for k in pairs], "a string, b string")
     assert [r[0] for r in d.select(extract.token_set_ratio(F.col("a"), F.col("b"))).collect()] == [*pairs.values()]
 
