@@ -174,9 +174,10 @@ def components(edges: DataFrame, name: str, rounds: int = 40) -> DataFrame:
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         before, links = links, saved(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), f"{name}-star")
         discard(before)
-        # done when each node has one parent and no parent has one
-        twice = links.groupBy("a").count().filter("count > 1").limit(1)
-        if not twice.count() and not links.select("b").distinct().join(links.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count():
+        # done when each node has one parent and no parent has one: told by sums per node, ahead of any shuffle
+        ends = links.select(F.col("a").alias("node"), F.lit(1).alias("parents"), F.lit(0).alias("children")).unionByName(links.select(F.col("b").alias("node"), F.lit(0).alias("parents"), F.lit(1).alias("children")))
+        ends = ends.groupBy("node").agg(F.sum("parents").alias("parents"), F.max("children").alias("children"))
+        if ends.filter("parents > 1 or parents > 0 and children > 0").isEmpty():
             break
     else:
         raise RuntimeError(f"no components after {rounds} rounds")
