@@ -5,8 +5,8 @@ that labels in order are the trie in order and a node is the range of labels wit
 Texts that share a node are joined into candidate groups by stars, not by pairs, and a group is verified exactly, block against
 block: a task holds two blocks and returns, per text, its number of links and one link to its part of the block, never the
 pairs. From the similarities of the links found, each weighed by the chance to be found at this depth, follows how many were
-missed; as long as that is more than the target recall allows, the prefixes are shortened by one byte and matched anew. Equal
-texts are one class throughout.
+missed; as long as that is more than the target recall allows, the prefixes are shortened by one byte. Then groups are met by
+others at the shorter prefixes, and only those that have grown are verified anew. Equal texts are one class throughout.
 """
 
 from __future__ import annotations
@@ -113,9 +113,9 @@ def _sets(rows: DataFrame) -> DataFrame:
     return rows.select("text", "cls", "root").mapInArrow(run, "cls long, root long, n long, shingles binary")
 
 
-def linked(cls: np.ndarray, side: np.ndarray, sets: list[np.ndarray], threshold: float, chance=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per text: links to others (of the other side, where there are two), the least text that links lead to, and how many more
-    such links there should be if each was found with `chance`, a function of its similarity."""
+def linked(cls: np.ndarray, side: np.ndarray, sets: list[np.ndarray], threshold: float, chances: tuple = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per text: links to others (of the other side, where there are two), the least text that links lead to, and, for each of
+    `chances`, how many more such links there should be if each was found with that chance, a function of its similarity."""
     n = len(sets)
     sizes = np.array([len(x) for x in sets], np.int64)
     everything = np.concatenate(sets)
@@ -147,15 +147,18 @@ def linked(cls: np.ndarray, side: np.ndarray, sets: list[np.ndarray], threshold:
     link = similarity >= threshold
     if not two:
         np.fill_diagonal(link, False)
-    more = np.where(link, 1 / chance(np.where(link, similarity, 1)) - 1, 0) if chance else np.zeros(link.shape)
-    links, least, missed = np.zeros(n, np.int64), cls.copy(), np.zeros(n)
+    links, least, missed = np.zeros(n, np.int64), cls.copy(), np.zeros((n, len(chances)))
     links[left] += link.sum(1)
-    missed[left] += more.sum(1)
     if two:
         links[right] += link.sum(0)
-        missed[right] += more.sum(0)
     l, r = np.nonzero(link)
+    alike = similarity[l, r]
     l, r = left[l], right[r]
+    for k, chance in enumerate(chances):
+        more = 1 / chance(alike) - 1
+        missed[:, k] += np.bincount(l, more, n)
+        if two:
+            missed[:, k] += np.bincount(r, more, n)
     while len(l):
         before = least.copy()
         np.minimum.at(least, l, before[r])
@@ -169,8 +172,9 @@ def linked(cls: np.ndarray, side: np.ndarray, sets: list[np.ndarray], threshold:
     return links, least, missed
 
 
-def verified(sets: DataFrame, threshold: float = THRESHOLD, chance=None) -> DataFrame:
-    """(cls, root, n, shingles) to (cls, links, to, missed): blocks of a group (root) against each other, each pair of blocks once."""
+def verified(sets: DataFrame, threshold: float = THRESHOLD, chances: tuple = ()) -> DataFrame:
+    """(cls, root, n, shingles) to (cls, links, to, missed): blocks of a group (root) against each other, each pair of blocks once.
+    missed: a number for each of `chances`, as `linked` has it."""
     size = sets.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     d = sets.join(size, "root").withColumn("c", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     d = d.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -182,7 +186,7 @@ def verified(sets: DataFrame, threshold: float = THRESHOLD, chance=None) -> Data
         if len(rows) < 2 or (key[2] != key[3] and len(set(c.tolist())) < 2):
             return None
         cls = np.array([r[1] for r in rows], np.int64)
-        links, least, missed = linked(cls, c, [np.frombuffer(r[2], np.uint64) for r in rows], threshold, chance)
+        links, least, missed = linked(cls, c, [np.frombuffer(r[2], np.uint64) for r in rows], threshold, chances)
         some = links > 0
         return cls[some], links[some], least[some], missed[some]
 
@@ -190,7 +194,8 @@ def verified(sets: DataFrame, threshold: float = THRESHOLD, chance=None) -> Data
         key, rows = None, []
 
         def out(found):
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["cls", "links", "to", "missed"])
+            missed = pa.ListArray.from_arrays(pa.array(np.arange(len(found[0]) + 1, dtype=np.int32) * len(chances), pa.int32()), pa.array(found[3].reshape(-1)))
+            return pa.RecordBatch.from_arrays([*[pa.array(x) for x in found[:3]], missed], names=["cls", "links", "to", "missed"])
 
         for batch in batches:
             cols = [batch.column(batch.schema.get_field_index(x)).to_pylist() for x in ("at", "root", "i", "j", "c", "cls", "shingles")]
@@ -203,18 +208,28 @@ def verified(sets: DataFrame, threshold: float = THRESHOLD, chance=None) -> Data
         if rows and (found := group(key, rows)) is not None:
             yield out(found)
 
-    return d.mapInArrow(run, "cls long, links long, to long, missed double")
+    return d.mapInArrow(run, "cls long, links long, to long, missed array<double>")
 
 
-def matched(full: DataFrame, drop: int, before: DataFrame | None) -> DataFrame:
-    """(a, b), written: candidate links of full(cls, labels), of each text to the least one at its node of the tries, `drop` bytes above the
-    leaves. `before`: the links of one level below, which are kept; only nodes in which branches meet add to them."""
-    nodes = full.select("cls", F.explode("labels").alias("label")).select("cls", F.shiftright("label", 8 * drop).alias("node"), F.shiftright("label", 8 * max(0, drop - 1)).alias("branch"))
-    stars = nodes.groupBy("node").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), F.min("branch").alias("least"), F.max("branch").alias("most")).filter("low <> high")
-    if before is not None:
-        stars = stars.filter("least <> most")
-    edges = nodes.join(stars.select("node", "low"), "node").filter("cls <> low").select(F.col("cls").alias("a"), F.col("low").alias("b")).distinct()
-    return saved(edges if before is None else edges.unionByName(before), "jaccard-met")
+def matched(classes: DataFrame, drop: int, groups: DataFrame | None) -> DataFrame:
+    """(a, b), written: candidate links of classes(cls, labels) at the nodes of the tries that are `drop` bytes above the leaves, of each
+    text to the least one at its node. With groups(cls, root), what has met before is one: links are between roots, and only nodes
+    in which different groups meet have any."""
+    own = classes.select(F.col("cls").alias("of"), "labels") if groups is None else classes.select("cls", "labels").join(groups.select("cls", "root"), "cls", "left").select(F.coalesce("root", "cls").alias("of"), "labels")
+    nodes = own.select("of", F.explode("labels").alias("label")).select("of", F.shiftright("label", 8 * drop).alias("node"))
+    stars = nodes.groupBy("node").agg(F.min("of").alias("low"), F.max("of").alias("high")).filter("low <> high")
+    return saved(nodes.join(stars.select("node", "low"), "node").filter("of <> low").select(F.col("of").alias("a"), F.col("low").alias("b")).distinct(), "jaccard-met")
+
+
+def grown(groups: DataFrame | None, met: DataFrame) -> DataFrame:
+    """(cls, root, new), written: groups after their roots, and texts that were in none, have met by met(a, b); new says which are not
+    what they were."""
+    merged = components(met, "jaccard-candidates").select("node", F.col("root").alias("to"))
+    if groups is None:
+        return saved(merged.select(F.col("node").alias("cls"), F.col("to").alias("root"), F.lit(True).alias("new")), "jaccard-groups")
+    moved = groups.select("cls", "root").join(merged, F.col("root") == F.col("node"), "left").select("cls", F.coalesce("to", "root").alias("root"), F.col("to").isNotNull().alias("new"))
+    alone = merged.join(groups.select("cls"), F.col("node") == F.col("cls"), "left_anti").select(F.col("node").alias("cls"), F.col("to").alias("root"), F.lit(True).alias("new"))
+    return saved(moved.unionByName(alone), "jaccard-groups")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, target: float = RECALL, id_hash: str | None = None) -> DataFrame:
@@ -227,33 +242,36 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     gives no rows; other columns don't matter. Prefixes (`depth` bytes at most, 7 is the most) are shortened until, by the
     links found, the share of all links that was found is at the target. id_hash: a column of docs with xxhash64 of the id."""
     s = saved(_signed(docs, text, doc_id, trees, depth), "jaccard-signed")
-    full = s.filter("n > 0")
-    classes = full.groupBy("cls").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("n_copies"))
+    tries = saved(s.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("n_copies"), F.first("labels").alias("labels")), "jaccard-tries")
+    classes = tries.drop("labels")
     texts = docs.select(F.col(f"`{id_hash}`").alias("at") if id_hash else F.xxhash64(f"`{doc_id}`").alias("at"), F.col(f"`{text}`").alias("text"))
-    met = None
+    chances = tuple(lambda x, d=d: recall(x, trees, d) for d in range(1, depth + 1))
+    groups = found = None
     for d in range(depth, 0, -1):
-        met, below = matched(full, 7 - d, met), met
-        if below is not None:
-            discard(below)
         with working(docs.sparkSession) as keep:
-            groups = components(met, "jaccard-candidates").select(F.col("node").alias("cls"), "root")
-            # ids by hash, so that null is a value and a table in buckets needn't be moved; what isn't the class's text falls out in _sets
-            lead = classes.join(saved(groups, "jaccard-groups"), "cls").select("cls", "root", F.xxhash64("copy_id").alias("lead"))
-            sets = saved(_sets(texts.join(lead, F.col("at") == F.col("lead"))).dropDuplicates(["cls"]), "jaccard-sets")
-            found = keep(saved(verified(sets, threshold, lambda x, d=d: recall(x, trees, d)), "jaccard-links"))
-        links, missed = found.agg(F.sum("links"), F.sum("missed")).first()
+            met = matched(tries, 7 - d, groups)
+            # groups that nothing has joined stay as they were verified
+            if found is None or not met.isEmpty():
+                last = (groups, found)
+                groups = keep(grown(groups, met))
+                # ids by hash, so that null is a value and a table in buckets needn't be moved; what isn't the class's text falls out in _sets
+                lead = classes.join(groups.filter("new").select("cls", "root"), "cls").select("cls", "root", F.xxhash64("copy_id").alias("lead"))
+                sets = saved(_sets(texts.join(lead, F.col("at") == F.col("lead"))).dropDuplicates(["cls"]), "jaccard-sets")
+                now = verified(sets, threshold, chances)
+                if last[1] is not None:
+                    now = now.unionByName(last[1].join(groups.filter("new").select("cls"), "cls", "left_anti"))
+                found = keep(saved(now, "jaccard-links"))
+                discard(*[x for x in last if x is not None])
+        links, missed = found.agg(F.sum("links"), F.sum(F.get("missed", F.lit(d - 1)))).first()
         # where nothing was found there is nothing to go by but the chance of the least similar links
         if (links / (links + missed) if links else recall(threshold, trees, d)) >= (target if links else SURE):
             break
-        if d > 1:
-            discard(found)
-    discard(met)
     links = found.groupBy("cls").agg(F.sum("links").alias("n_links"))
     with working(docs.sparkSession) as keep:
         roots = components(found.select(F.col("cls").alias("a"), F.col("to").alias("b")), "jaccard-classes").select(F.col("node").alias("cls"), "root")
         classes = classes.join(links, "cls", "left").join(roots, "cls", "left").select("cls", "copy_id", "n_copies", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "cls").alias("root"))
         classes = keep(saved(classes, "jaccard-table"))
-    discard(found)
+    discard(found, groups, tries)
     heads = classes.groupBy("root").agg(F.min("copy_id").alias("class_id"))
     classes = classes.join(heads, "root").drop("root")
     out = s.select("doc_id", "cls", "n").join(classes, "cls", "left")
