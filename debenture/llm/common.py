@@ -159,8 +159,9 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 def components(edges: DataFrame, name: str, rounds: int = 40) -> DataFrame:
     """(node, root) of the connected components of edges (a, b); root is the component's least node. Nodes without edges
-    aren't returned. Alternates large and small star steps until nothing changes: the edges stay linear in number, no
-    component is gathered in one task but by its counts, and only counts go to the driver."""
+    aren't returned. Alternates large and small star steps until each node has one parent, then doubles the pointers to parents until
+    all lead to roots: the edges stay linear in number, no component is gathered in one task but by its counts, and only
+    counts go to the driver. Null ends join nothing; repeated edges and edges to oneself don't matter."""
     links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     links = saved(links, f"{name}-edges")
     for _ in range(rounds):
@@ -168,17 +169,22 @@ def components(edges: DataFrame, name: str, rounds: int = 40) -> DataFrame:
         # large star: greater neighbours of a node go to the least of its neighbourhood
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
         # small star: a node and its lesser neighbours go to the least of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         before, links = links, saved(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), f"{name}-star")
         discard(before)
-        # done when each node has one parent and no parent has one: told by sums per node, ahead of any shuffle
+        # whether each node has one parent, and whether parents have one: told by sums per node, ahead of any shuffle
         ends = links.select(F.col("a").alias("node"), F.lit(1).alias("parents"), F.lit(0).alias("children")).unionByName(links.select(F.col("b").alias("node"), F.lit(0).alias("parents"), F.lit(1).alias("children")))
         ends = ends.groupBy("node").agg(F.sum("parents").alias("parents"), F.max("children").alias("children"))
-        if ends.filter("parents > 1 or parents > 0 and children > 0").isEmpty():
+        most, deep = ends.agg(F.max("parents"), F.bool_or((F.col("parents") > 0) & (F.col("children") > 0))).first()
+        if not most or most == 1:
             break
     else:
         raise RuntimeError(f"no components after {rounds} rounds")
+    while deep:
+        up = links.select(F.col("a").alias("parent"), F.col("b").alias("next"))
+        before, links = links, saved(links.select("a", "b").join(up, F.col("b") == F.col("parent"), "left").select("a", F.coalesce("next", "b").alias("b"), F.col("next").isNotNull().alias("far")), f"{name}-up")
+        discard(before)
+        deep = not links.filter("far").isEmpty()
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
