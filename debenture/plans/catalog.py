@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +11,12 @@ from debenture.functions import extract as E
 from debenture.functions import patterns as P
 from debenture.functions import text as T
 from debenture.operators import companies as C
-from debenture.operators import mentions, names, pages
+from debenture.operators import concordance, mentions, names, pages
 from debenture.operators import metrics as M
 from debenture.operators import records as R
 from debenture.operators import register as G
+from debenture.streaming import ledger
+from debenture.working import saved, shared_dir, working
 
 from . import prospectus
 
@@ -508,6 +512,26 @@ def name_concordance(spark, sf):
     return d.select("doc_id", "name", n.alias("n"), F.md5(T.text_around(F.col("t"), F.col("name"), 100)).alias("context")).filter("n > 0")
 
 
+def names_by_position(spark, sf):
+    """Places of the known names of banks and of the nations' names in the texts, by the positional index."""
+    known = spark.sql(f"SELECT explode(array({', '.join(repr(x) for x in P.CONCORDANCE_NAMES)})) AS name")
+    nations = table(spark, sf, "nation").select(F.initcap(F.lower("n_name")).alias("name"))
+    return concordance.concordance(concordance.positions(cleaned(spark, sf), text="t"), known.unionByName(nations)).select("doc_id", "name", "n", "first")
+
+
+def statistics_by_batches(spark, sf):
+    """Statistics by company and type of all register rows, counted in four batches of which one comes twice."""
+    d = register(spark, sf).withColumn("date", F.to_date("date", "dd/MM/yyyy"))
+    with working(spark) as keep:
+        log = ledger.statistics(spark, f"{shared_dir(spark)}/statistics-{uuid.uuid4().hex}", every=3)
+        try:
+            for n in (0, 1, 1, 2, 3):
+                ledger.add_documents(log, n, d.filter(F.pmod("seq", F.lit(4)) == n))
+            return keep(saved(log.rows(), "statistics"))
+        finally:
+            log.drop()
+
+
 def path_union(spark, sf):
     """Paths named and paths found, once each, in order."""
     p = prospectuses(spark, sf).select(F.col("file_path").alias("path"))
@@ -529,7 +553,7 @@ NAMES = [
     eu_company_filter, unprocessed_companies, downloaded_documents, company_lookup_ci, company_suffix_strip, company_type_counts, company_stats,
     docs_top5_per_company, first_companies, first_companies_override, mock_fallback_lookup, cache_lookup, cache_inserts, company_documents, processed_names_sorted,
     run_counters, success_rate, error_rollup, error_top5, session_budget, batch_totals, metrics_report, retry_delays,
-    html_links, html_result_rows, paged_result_rows, keyword_lines, first_date_matches, distinct_dates_top20, name_concordance, path_union, files_per_company,
+    html_links, html_result_rows, paged_result_rows, keyword_lines, first_date_matches, distinct_dates_top20, name_concordance, names_by_position, statistics_by_batches, path_union, files_per_company,
 ]
 
 

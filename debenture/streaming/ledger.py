@@ -66,10 +66,16 @@ class Ledger:
         before = self._complete("snapshot")
         self.rows().write.mode("overwrite").parquet(self._at("snapshot", done[-1]))
         if before:
-            gone = [self._at("snapshot", n) for n in before[:-1]] + [self._at("batch", n) for n in self._complete("batch") if n <= before[-1]]
-            for p in gone:
-                old = self.spark._jvm.org.apache.hadoop.fs.Path(p)
-                old.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(old, True)
+            self._remove([self._at("snapshot", n) for n in before[:-1]] + [self._at("batch", n) for n in self._complete("batch") if n <= before[-1]])
+
+    def drop(self) -> None:
+        """All of it goes."""
+        self._remove([self.path])
+
+    def _remove(self, paths: list[str]) -> None:
+        for p in paths:
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(p)
+            at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def statistics(spark: SparkSession, path: str, every: int = 50) -> Ledger:
