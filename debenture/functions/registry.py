@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from debenture.functions import patterns as P
+from debenture.functions.text import SPACE
 from debenture.operators import records
 
 SCALARS = {
@@ -29,8 +30,20 @@ def _bank_scalars() -> dict:
     return {"clean_bank_name": ("name STRING", "STRING", f"CASE {known} ELSE {cleaned} END"), "is_valid_bank_name": ("name STRING", "BOOLEAN", valid)}
 
 
+def _text_scalars() -> dict:
+    at = "position(lower(target), lower(s))"
+    cut = f"substring(s, greatest({at} - width, 1), {at} + length(target) + width - greatest({at} - width, 1))"
+    ascii_only = _quoted(r"[^\x{00}-\x{7F}]+")
+    per_cent, before, comma = _quoted(r"per\s*cent\.?"), _quoted(r"\s+%"), _quoted(r"(\d+),(\d+)")
+    return {
+        "clean_text": ("s STRING", "STRING", f"trim(regexp_replace(regexp_replace(coalesce(s, ''), {_quoted(SPACE + '+')}, ' '), {ascii_only}, ''))"),
+        "text_context": ("s STRING, target STRING, width INT", "STRING", f"CASE WHEN {at} > 0 AND target <> '' THEN {cut} ELSE '' END"),
+        "normalise_coupon": ("s STRING", "STRING", f"regexp_replace(regexp_replace(regexp_replace(s, {per_cent}, '%'), {before}, '%'), {comma}, '$1.$2')"),
+    }
+
+
 def register_functions(spark: SparkSession) -> list[str]:
-    every = SCALARS | _bank_scalars()
+    every = SCALARS | _bank_scalars() | _text_scalars()
     for name, (args, kind, body) in every.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({args}) RETURNS {kind} RETURN {body}")
     return list(every)

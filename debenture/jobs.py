@@ -15,6 +15,7 @@ from debenture.operators import companies as C
 from debenture.operators import records as R
 from debenture.operators import register as G
 from debenture.sources import files, pdf, whole_files
+from debenture.streaming import ledger
 
 
 def records_of(spark: SparkSession, pdf_dir: str, readers: list | None = None) -> DataFrame:
@@ -26,15 +27,19 @@ def records_of(spark: SparkSession, pdf_dir: str, readers: list | None = None) -
     return R.extracted(docs.select("doc_id", "company", "file_path", "text"))
 
 
-def process(spark: SparkSession, companies: DataFrame, processed_path: str, records: DataFrame, out: str) -> DataFrame:
-    """Companies that are eligible and not yet processed: their records as a JSON file each, one consolidated JSON and sheet, and
-    the list of processed names with theirs added. Returns (companies_attempted, companies_succeeded, documents, errors)."""
+def process(spark: SparkSession, companies: DataFrame, processed_path: str, records: DataFrame, out: str, run: int | None = None) -> DataFrame:
+    """Companies that are eligible and not yet processed: their records as a JSON file each, one consolidated JSON and sheet, the
+    statistics by company in a ledger, and the list of processed names with theirs added, last. A run that was killed and comes again
+    with its number `run` counts once; without a number it is a new one. Returns (companies_attempted, companies_succeeded, documents, errors)."""
     # what is asked for is written first, as the list that it comes from changes below
     C.unprocessed(C.eligible(companies), files.read_names(spark, processed_path)).select("name").distinct().write.mode("overwrite").parquet(f"{out}/wanted")
     wanted = spark.read.parquet(f"{out}/wanted")
     own = records.join(wanted, F.col("company") == F.col("name"), "left_semi").persist()
     whole_files.write_companies(own, f"{out}/companies", order=["file_path"])
     files.write_consolidated(R.consolidated(own), f"{out}/consolidated")
+    log = ledger.statistics(spark, f"{out}/statistics")
+    documents = own.select("company", F.lit("Final Terms").alias("doc_type"), F.current_date().alias("date"))
+    ledger.add_documents(log, log.next() if run is None else run, documents)
     # the list is read while it is written, so its new names go beside it first
     files.read_names(spark, processed_path).unionByName(wanted).distinct().write.mode("overwrite").parquet(f"{out}/processed_next")
     files.write_names(spark.read.parquet(f"{out}/processed_next"), processed_path)
@@ -56,6 +61,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--output-dir", required=True)
     r.add_argument("--sheet", default="Upstream")
     r.add_argument("--use-ocr", action="store_true")
+    r.add_argument("--run", type=int, help="number of the run; a killed one is repeated under its own")
     return p
 
 
@@ -67,7 +73,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         records_of(spark, args.pdf_dir, readers).write.mode("overwrite").json(args.out)
         return
     sheet = files.read_sheet(spark, args.companies_file, args.sheet)
-    process(spark, sheet, f"{args.output_dir}/processed", records_of(spark, args.pdf_dir, readers), args.output_dir).show()
+    process(spark, sheet, f"{args.output_dir}/processed", records_of(spark, args.pdf_dir, readers), args.output_dir, args.run).show()
 
 
 if __name__ == "__main__":

@@ -532,6 +532,41 @@ def statistics_by_batches(spark, sf):
             log.drop()
 
 
+def contents_by_batches(spark, sf):
+    """The first batch and path of each text, the documents coming in four batches of which one comes twice, by the index with its filter."""
+    d = table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"), F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("path"))
+    with working(spark) as keep:
+        log = ledger.contents(spark, f"{shared_dir(spark)}/contents-{uuid.uuid4().hex}", every=2)
+        try:
+            for n in (0, 1, 1, 2, 3):
+                ledger.new_files(log, n, d.filter(F.pmod(F.floor(F.col("doc_id") / 3), F.lit(4)) == n))
+            return keep(saved(log.rows(), "contents"))
+        finally:
+            log.drop()
+
+
+def strict_dates(spark, sf):
+    """Dates as texts tell them that the compatible rules misread, read strictly: what was written must come back."""
+    i = F.to_date("o_orderdate")
+    m = F.add_months(i, 60)
+    day = lambda d: F.date_format(d, "d")
+    month = lambda d: F.element_at(F.array(*[F.lit(x) for x in MONTH_NAMES]), F.month(d))
+    ordinal = lambda d: F.concat(day(d), F.lit("th "), month(d), F.lit(", "), F.year(d).cast("string"))
+    first_month = lambda d: F.concat(month(d), F.lit(" "), day(d), F.lit(", "), F.year(d).cast("string"))
+    iso = lambda d: d.cast("string")
+    ways = [F.concat(F.lit(a), f(i), F.lit(f" {b}"), f(m)) for a, b, f in (("Issue Date: ", "Maturity Date: ", iso), ("Issuance Date: ", "Redemption Date: ", iso), ("Issue Date: ", "Maturity Date: ", ordinal), ("Issue Date: ", "Maturity Date: ", first_month))]
+    t = table(spark, sf, "orders").select(F.col("o_orderkey").alias("seq"), F.posexplode(F.array(*ways)).alias("way", "t"))
+    return t.select("seq", "way", E.dates(T.clean_text(F.col("t")), strict=True).alias("d")).select("seq", "way", "d.issue_date", "d.maturity_date")
+
+
+MONTH_NAMES = [x.title() for x in E.MONTHS]
+
+
+def strict_errors(spark, sf):
+    """Errors by component, those of unknown ones counted too."""
+    return M.error_rollup(run_log(spark, sf), strict=True)
+
+
 def path_union(spark, sf):
     """Paths named and paths found, once each, in order."""
     p = prospectuses(spark, sf).select(F.col("file_path").alias("path"))
@@ -553,7 +588,7 @@ NAMES = [
     eu_company_filter, unprocessed_companies, downloaded_documents, company_lookup_ci, company_suffix_strip, company_type_counts, company_stats,
     docs_top5_per_company, first_companies, first_companies_override, mock_fallback_lookup, cache_lookup, cache_inserts, company_documents, processed_names_sorted,
     run_counters, success_rate, error_rollup, error_top5, session_budget, batch_totals, metrics_report, retry_delays,
-    html_links, html_result_rows, paged_result_rows, keyword_lines, first_date_matches, distinct_dates_top20, name_concordance, names_by_position, statistics_by_batches, path_union, files_per_company,
+    html_links, html_result_rows, paged_result_rows, keyword_lines, first_date_matches, distinct_dates_top20, name_concordance, names_by_position, statistics_by_batches, contents_by_batches, strict_dates, strict_errors, path_union, files_per_company,
 ]
 
 

@@ -192,6 +192,9 @@ def oracle_sql() -> dict[str, str]:
         "distinct_dates_top20": f"SELECT DISTINCT unnest({D.matches('text', P.DATE_STRINGS)}) AS found FROM ({PRO}) ORDER BY found LIMIT 20",
         "name_concordance": f"SELECT doc_id, name, n, md5({D.around('t', 'name', 100)}) AS context FROM (SELECT doc_id, t, name, ((length(t) - length(replace(t, name, ''))) // length(name)) AS n FROM ({REL}), (SELECT unnest([{', '.join(q(x) for x in P.CONCORDANCE_NAMES)}]) AS name)) WHERE n > 0",
         "names_by_position": f"WITH d AS (SELECT doc_id, regexp_extract_all(t, '[\\p{{L}}\\p{{N}}]+') AS w FROM ({REL})), k AS (SELECT DISTINCT name, regexp_extract_all(name, '[\\p{{L}}\\p{{N}}]+') AS v FROM (SELECT unnest([{', '.join(q(x) for x in P.CONCORDANCE_NAMES)}]) AS name UNION ALL SELECT array_to_string([upper(x[1]) || lower(x[2:]) FOR x IN string_split(n_name, ' ')], ' ') FROM nation)) SELECT doc_id, name, len(hits)::BIGINT AS n, (hits[1] - 1)::INTEGER AS first FROM (SELECT doc_id, name, [i FOR i IN range(1, len(w) - len(v) + 2) IF w[i:i + len(v) - 1] = v] AS hits FROM d, k WHERE list_has_all(w, v)) WHERE len(hits) > 0",
+        "contents_by_batches": "SELECT sha256, batch, path FROM (SELECT *, row_number() OVER (PARTITION BY sha256 ORDER BY batch, path NULLS FIRST) AS r FROM (SELECT sha256(text) AS sha256, (doc_id // 3) % 4 AS batch, source || '/' || doc_id AS path FROM documents WHERE text IS NOT NULL)) WHERE r = 1",
+        "strict_dates": "SELECT o_orderkey AS seq, unnest(range(4))::INT AS way, strftime(o_orderdate, '%Y-%m-%d') AS issue_date, strftime(o_orderdate + INTERVAL 60 MONTH, '%Y-%m-%d') AS maturity_date FROM orders",
+        "strict_errors": f"SELECT coalesce(component, 'total') AS component, count(*) AS n FROM ({LOG}) WHERE kind = 'error' GROUP BY ROLLUP (component)",
         "statistics_by_batches": f"SELECT company, doc_type, count(*) AS n, max(d)::DATE AS last_updated FROM ({REGISTER}) GROUP BY company, doc_type",
         "path_union": f"SELECT DISTINCT file_path AS path FROM ({PRO})",
         "files_per_company": f"SELECT regexp_extract(file_path, '^(.*)/[^/]*$', 1) AS folder, count(*) AS n FROM ({PRO}) GROUP BY 1",

@@ -9,11 +9,19 @@ isn't needed any more goes only after the next snapshot, as readers may still be
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from debenture.streaming.jobs import running_counts
+from debenture.working import saved, working
+
+#: The filter over contents: bits of a block (a bitmap of Spark's own size), contents to a block and bits that each sets. Of contents that
+#: aren't there, about one in a hundred is asked for in vain; the filter takes some 11 bits a content.
+BITS, BLOCK, PROBES = 32768, 3000, 4
+#: Contents to a file of the index, at most about; it lies in 16 folders by the hash's first digit, in 256 by two where these would be more than a file each.
+FILE = 4_000_000
 
 
 class Ledger:
@@ -52,11 +60,24 @@ class Ledger:
             self.compact()
         return True
 
+    def next(self) -> int:
+        """The number behind all that have come."""
+        return max(self._complete("batch") + [self._through()]) + 1
+
     def rows(self) -> DataFrame:
         """All batches merged, as of now."""
         through = self._through()
-        paths = [self._at("snapshot", through)] * (through >= 0) + [self._at("batch", n) for n in self._complete("batch") if n > through]
-        return self.merge(self.spark.read.schema(self.schema).parquet(*paths)) if paths else self.spark.createDataFrame([], self.schema)
+        parts = ([self._snapshot(through)] if through >= 0 else []) + self._read([n for n in self._complete("batch") if n > through])
+        return self.merge(reduce(DataFrame.unionByName, parts)) if parts else self.spark.createDataFrame([], self.schema)
+
+    def _read(self, batches: list[int]) -> list[DataFrame]:
+        return [self.spark.read.schema(self.schema).parquet(*[self._at("batch", n) for n in batches])] if batches else []
+
+    def _snapshot(self, n: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self._at("snapshot", n))
+
+    def _write_snapshot(self, n: int, rows: DataFrame) -> None:
+        rows.write.mode("overwrite").parquet(self._at("snapshot", n))
 
     def compact(self) -> None:
         """Merges all batches into a snapshot; then the snapshot before the last one and the batches in it go."""
@@ -64,9 +85,9 @@ class Ledger:
         if not done:
             return
         before = self._complete("snapshot")
-        self.rows().write.mode("overwrite").parquet(self._at("snapshot", done[-1]))
+        self._write_snapshot(done[-1], self.rows())
         if before:
-            self._remove([self._at("snapshot", n) for n in before[:-1]] + [self._at("batch", n) for n in self._complete("batch") if n <= before[-1]])
+            self._remove([self._at(kind, n) for kind in ("snapshot", "filter") for n in before[:-1]] + [self._at("batch", n) for n in self._complete("batch") if n <= before[-1]])
 
     def drop(self) -> None:
         """All of it goes."""
@@ -98,19 +119,92 @@ def by_company(log: Ledger) -> DataFrame:
     return log.rows().groupBy("company").agg(F.sum("n").alias("total_documents"), F.max("last_updated").alias("last_updated"), types.alias("document_types"))
 
 
-def contents(spark: SparkSession, path: str, every: int = 50) -> Ledger:
-    """Each content with the first batch that had it, and the least of its paths there."""
-
-    def merge(d: DataFrame) -> DataFrame:
-        return d.groupBy("sha256").agg(F.min(F.struct("batch", "path")).alias("first")).select("sha256", "first.batch", "first.path")
-
-    return Ledger(spark, path, "sha256 string, batch bigint, path string", merge, every)
-
-
-def new_files(log: Ledger, n: int, files: DataFrame, content: str = "content") -> DataFrame:
+class Contents(Ledger):
+    """Each content with the first batch that had it, and the least of its paths there: the index, with a Bloom filter beside each
+    snapshot. What is asked of the index goes through the filter first, so contents that are new seldom read it; those
+    that pass read only the folders that their hashes begin with. A filter whose write was killed is done without."""
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 50):
+        def merge(d: DataFrame) -> DataFrame:
+            return d.groupBy("sha256").agg(F.min(F.struct("batch", "path")).alias("first")).select("sha256", "first.batch", "first.path")
+
+        super().__init__(spark, path, "sha256 string, batch bigint, path string", merge, every)
+
+    def _index(self, n: int) -> DataFrame:
+        return self.spark.read.schema(f"{self.schema}, folder string").parquet(self._at("snapshot", n))
+
+    def _snapshot(self, n: int) -> DataFrame:
+        return self._index(n).drop("folder")
+
+    def _write_snapshot(self, n: int, rows: DataFrame) -> None:
+        with working(self.spark):
+            rows = saved(rows, "contents")
+            many = rows.count()
+            digits = 1 if many <= 16 * FILE else 2
+            files = F.pmod(F.xxhash64("sha256"), F.lit(1 + many // (16**digits * FILE)))
+            laid = rows.withColumn("folder", F.substring("sha256", 1, digits)).repartition(F.col("folder"), files)
+            laid.write.mode("overwrite").partitionBy("folder").parquet(self._at("snapshot", n))
+            blocks = 1 + many // BLOCK
+            bits = rows.select(_block(blocks).alias("block"), F.explode(F.array(*_probes())).alias("bit"))
+            made = bits.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+            made.withColumns({"blocks": F.lit(blocks), "digits": F.lit(digits)}).write.mode("overwrite").parquet(self._at("filter", n))
+
+    def _filter(self, n: int) -> DataFrame | None:
+        return self.spark.read.schema("block bigint, bits binary, blocks int, digits int").parquet(self._at("filter", n)) if n in self._complete("filter") else None
+
+    def passing(self, keys: DataFrame) -> DataFrame:
+        """Those of keys(sha256, ...) that the filter of the last snapshot can't rule out: all that are in it, few of the others."""
+        n = self._through()
+        kept = self._filter(n)
+        if n < 0 or kept is None:
+            return keys if n >= 0 else keys.limit(0)
+        one = kept.select("blocks").first()
+        if one is None:
+            return keys.limit(0)
+        byte = lambda p: F.conv(F.hex(F.substring(F.col("bits"), F.floor(p / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        there = [F.getbit(byte(p), (p % 8).cast("int")) == 1 for p in _probes()]
+        asked = keys.withColumn("block", _block(one["blocks"])).join(kept.select("block", "bits"), "block")
+        return asked.filter(reduce(Column.__and__, there)).select(keys.columns)
+
+    def known(self, keys: DataFrame) -> DataFrame:
+        """(sha256) of those of keys(sha256, ...) that a batch has had. Within a block of `working`, as it writes what passes."""
+        n = self._through()
+        found = [keys.select("sha256").join(d, "sha256", "left_semi") for d in self._read(self.batches())]
+        if n >= 0:
+            asked = saved(self.passing(keys.select("sha256")), "contents-asked")
+            index, kept = self._index(n), self._filter(n)
+            one = kept.select("digits").first() if kept is not None else None
+            if one is not None:
+                # 256 at most
+                folders = [r["f"] for r in asked.select(F.substring("sha256", 1, one["digits"]).alias("f")).distinct().collect()]
+                index = index.filter(F.col("folder").isin(folders))
+            found.append(asked.join(index.select("sha256"), "sha256", "left_semi"))
+        return reduce(DataFrame.unionByName, found).distinct() if found else keys.select("sha256").limit(0)
+
+    def of_batch(self, n: int) -> DataFrame:
+        """Rows of the index whose first batch is n; the index is read only where that batch's own folder has gone."""
+        own = self._read([n]) if n in self._complete("batch") else []
+        return (own[0] if own else self.rows()).filter(F.col("batch") == n)
+
+
+def _block(blocks: int) -> Column:
+    return F.pmod(F.xxhash64("sha256"), F.lit(blocks).cast("bigint"))
+
+
+def _probes() -> list[Column]:
+    return [F.pmod(F.xxhash64("sha256", F.lit(i)), F.lit(BITS).cast("bigint")) for i in range(PROBES)]
+
+
+def contents(spark: SparkSession, path: str, every: int = 50) -> Contents:
+    return Contents(spark, path, every)
+
+
+def new_files(log: Contents, n: int, files: DataFrame, content: str = "content") -> DataFrame:
     """(sha256, batch, path) of contents that come in batch n of files(path, content) and in none before; for a batch that comes again, what
     it gave then. Null contents have none."""
     if not log.has(n):
         sha = files.select(F.sha2(F.col(f"`{content}`").cast("binary"), 256).alias("sha256"), F.lit(n).cast("bigint").alias("batch"), "path").filter("sha256 is not null")
-        log.add(n, log.merge(sha).join(log.rows().select("sha256"), "sha256", "left_anti").select("sha256", "batch", "path"))
-    return log.rows().filter(F.col("batch") == n)
+        with working(log.spark):
+            sha = saved(log.merge(sha), "contents-new")
+            log.add(n, sha.join(log.known(sha), "sha256", "left_anti"))
+    return log.of_batch(n)

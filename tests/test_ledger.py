@@ -1,8 +1,10 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from debenture.streaming import ledger
+from debenture.working import working
 
 DAY = dt.date(2024, 5, 1)
 SCHEMA = "company string, doc_type string, date date"
@@ -74,6 +76,41 @@ def test_contents_over_runs(spark, tmp_path):
             assert sorted(r["path"] for r in got.collect()) == want[n], (again, n)
 
 
+def keys(spark, low, high):
+    return spark.range(low, high).select(F.sha2(F.col("id").cast("string"), 256).alias("sha256"))
+
+
+def test_filter_before_the_index(spark, tmp_path):
+    log = ledger.contents(spark, f"file://{tmp_path}/seen", every=50)
+    assert log.passing(keys(spark, 0, 5)).count() == 0
+    old = spark.range(20_000).select(F.concat(F.lit("p"), "id").alias("path"), F.col("id").cast("string").alias("content"))
+    assert ledger.new_files(log, 0, old).count() == 20_000
+    log.compact()
+    # none that is there is ruled out, few of the others aren't
+    assert log.passing(keys(spark, 0, 20_000)).count() == 20_000
+    assert log.passing(keys(spark, 20_000, 60_000)).count() < 1200
+    # open batches are asked too
+    ledger.new_files(log, 1, spark.createDataFrame([("q", "60000"), ("r", "7")], "path string, content string"))
+    with working(spark):
+        got = {r["sha256"] for r in log.known(keys(spark, 19_990, 60_001)).collect()}
+    want = {r["sha256"] for r in keys(spark, 19_990, 20_000).collect() + keys(spark, 60_000, 60_001).collect()}
+    assert got == want
+    assert [r["path"] for r in log.of_batch(1).collect()] == ["q"]
+
+
+def test_killed_filter(spark, tmp_path):
+    log = ledger.contents(spark, f"file://{tmp_path}/seen", every=1)
+    row = lambda *rows: spark.createDataFrame(rows, "path string, content string")
+    ledger.new_files(log, 0, row(("a", "x"), ("b", "y")))
+    (tmp_path / "seen/filter-0/_SUCCESS").unlink()
+    assert [r["path"] for r in ledger.new_files(log, 1, row(("c", "x"), ("d", "z"))).collect()] == ["d"]
+    assert [r["path"] for r in ledger.new_files(log, 2, row(("e", "z"), ("f", "w"))).collect()] == ["f"]
+    # the first snapshots are gone, the state isn't
+    assert not (tmp_path / "seen/snapshot-0").exists()
+    assert sorted((r["path"], r["batch"]) for r in log.rows().collect()) == [("a", 0), ("b", 0), ("d", 1), ("f", 2)]
+    assert [r["path"] for r in ledger.new_files(log, 0, row(("z", "new"))).collect()] != ["z"]
+
+
 def test_stream_into_ledger(spark, tmp_path):
     source, log = tmp_path / "in", ledger.statistics(spark, f"file://{tmp_path}/stats", every=2)
     for rows in BATCHES:

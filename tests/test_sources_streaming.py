@@ -6,10 +6,10 @@ import zipfile
 from pyspark.sql import functions as F
 
 from debenture import jobs as batch
-from debenture.functions import extract, registry
+from debenture.functions import extract, registry, text
 from debenture.operators import companies, metrics, records, register
 from debenture.sources import files, html, pdf
-from debenture.streaming import jobs
+from debenture.streaming import jobs, ledger
 
 
 def test_names_and_state(spark, tmp_path):
@@ -77,6 +77,12 @@ def test_extract_stream_resumes(spark, tmp_path):
 def test_sql_names(spark):
     registry.register_functions(spark)
     assert spark.sql("SELECT is_final_terms('Final_x.pdf'), output_name('a/b'), normalise_dates('1st/2.3')").first() == (True, "a_b.json", "1-2-3")
+    texts = ["a\u00a0 \n€ b ", "Lead Manager: Bank of Foo, per cent.", "", None, "İstanbul manager 3,5 per cent"]
+    spark.createDataFrame([(t,) for t in texts], "t string").createOrReplaceTempView("some_texts")
+    d = spark.table("some_texts")
+    want = d.select(text.clean_text(F.col("t")), text.text_around(F.col("t"), F.lit("Manager"), 5), extract.normalise_coupon(F.col("t"))).collect()
+    got = spark.sql("SELECT clean_text(t), text_context(t, 'Manager', 5), normalise_coupon(t) FROM some_texts").collect()
+    assert [tuple(r) for r in got] == [(a, b or "", c) for a, b, c in want]
     records.register_extractor("length", F.length)
     try:
         registry.register_views(spark.createDataFrame([(1, "a.pdf", "abc")], "doc_id long, file_path string, text string"))
@@ -149,7 +155,13 @@ def test_a_run_writes_all_it_should(spark, tmp_path):
     docs = spark.createDataFrame([(1, "A/B", "/x/final_terms.pdf", text), (2, "A/B", "/x/other.pdf", ""), (3, "C", "/x/final.pdf", text), (4, "D", "/x/final.pdf", text)], "doc_id long, company string, file_path string, text string")
     names = spark.createDataFrame([(1, "A/B", "France"), (2, "C", "Japan"), (3, "D", "Spain"), (4, "E", "Italy")], "seq long, name string, country string")
     files.write_names(spark.createDataFrame([("D",)], "name string"), str(tmp_path / "processed"))
-    got = batch.process(spark, names, str(tmp_path / "processed"), records.extracted(docs), str(tmp_path / "out")).first().asDict()
+    got = batch.process(spark, names, str(tmp_path / "processed"), records.extracted(docs), str(tmp_path / "out"), 0).first().asDict()
+    # the run is killed as the list of names is to be written, and comes again under its number
+    files.write_names(spark.createDataFrame([("D",)], "name string"), str(tmp_path / "processed"))
+    again = batch.process(spark, names, str(tmp_path / "processed"), records.extracted(docs), str(tmp_path / "out"), 0).first().asDict()
+    assert again == got
+    log = ledger.statistics(spark, str(tmp_path / "out/statistics"))
+    assert [(r["company"], r["total_documents"]) for r in ledger.by_company(log).collect()] == [("A/B", 2)] and log.next() == 1
     assert got["companies_attempted"] == 2 and got["companies_succeeded"] == 1 and got["documents"] == 2 and got["errors"] == 1
     (written,) = [p for p in (tmp_path / "out/companies").iterdir() if not p.name.startswith(".")]
     document = json.loads(written.read_text())
