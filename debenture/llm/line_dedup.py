@@ -1,9 +1,9 @@
 """Near-duplicate lines by a segment-partition edit join. DataFrame functions only.
 
-How many edits two lines may be apart grows with the shorter one's length. Distinct lines are cut into that many segments and
-one more; two lines within so many edits share one of them, at a place that the lengths and the segment's number narrow down.
-So each line looks up substrings of itself among the segments of lines that are as long or a few characters shorter. Lines that meet
-others are compared by their character counts and by a bound from their ends, which rules most of them out, and the rest are verified by edit
+How many edits two lines may be apart grows with the shorter one's length. Distinct lines of a range of lengths have that many
+segments of one length and one more, the first half of them counted from the line's begin, the others from its end; two lines within so
+many edits share one of them, at a place that the segment's number narrows down, whatever their lengths. So each line looks up
+substrings of itself among the segments of lines of its range, or of the next lesser one where that is within reach. Lines that meet others are compared by their character counts and by a bound from their ends, which rules most of them out, and the rest are verified by edit
 distance, bit-parallel in a band of 2 * edits + 1 diagonals over what is left between their common prefix and suffix. Linked
 lines are clustered by components; of each cluster the first line in the corpus stays.
 """
@@ -20,8 +20,6 @@ from .common import bucketed, components, discard, fresh, saved
 #: (characters, edits): lines of so many characters or more may be so many edits apart, counted by the shorter line. One edit in
 #: fewer than eight characters joins what says different things; such lines are duplicates of equal ones only.
 EDITS = ((8, 1), (20, 2), (60, 3), (120, 4))
-#: Lookups are dealt out over so many rounds, so that their rows needn't lie on disk all at once.
-ROUNDS = 3
 #: Lines with one segment in common that one task compares another line with at most; more are dealt out over several.
 HOT = 256
 
@@ -37,37 +35,44 @@ def allowed(n: Column, steps: Steps = EDITS) -> Column:
     return reduce(lambda acc, x: F.when(n >= x[0], x[1]).otherwise(acc), sorted(steps), F.lit(0))
 
 
-def lookups(n: int, steps: Steps = EDITS) -> list[tuple[int, int, int, int]]:
-    """(characters shorter, parts, segment, shift) of the substrings that a line of n characters looks up: of each segment the begins
-    that hold if the edits before it and behind it are within reach of its number from either side."""
+def lookups(edits: int) -> list[tuple[int, int, int, int]]:
+    """(segment, ends, along, shift) of the substrings that a line looks up. Of two lines within so many edits, one segment of the shorter is
+    untouched and has exactly as many edits before it as its number, so at most the rest behind it: the first half is looked for
+    that far from its place counted from the begin, the second from its place counted from the end (ends: 1). along: segments from there."""
     out = []
-    for less in range(min(n, max(e for _, e in steps)) + 1):
-        edits = edits_of(n - less, steps)
-        if edits and less <= edits:
-            out += [(less, edits + 1, i, shift) for i in range(edits + 1) for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)]
+    for i in range(edits + 1):
+        behind = edits - i
+        ends, along = (0, i) if i <= behind else (1, -behind - 1)
+        out += [(i, ends, along, shift) for shift in range(-min(i, behind), min(i, behind) + 1)]
     return out
 
 
-def keyed(lines: DataFrame, probe: bool, steps: Steps = EDITS, part: int = 0, parts: int = 1) -> DataFrame:
-    """(key, id, kind) of lines(id, line, n): the keys under which a line can be found, or those that it looks up. kind: 16 times the
-    characters that the other line is shorter, 2 times the segment's number, and 1 where the line itself can be found under
-    it; as far as they belong to a part of the rounds."""
-    kinds, before = [], None
-    for n in range(max(least + e for least, e in steps) + 1):
-        now = [x for i, x in enumerate(lookups(n, steps)) if (probe and i % parts == part) or (not probe and x[0] == x[3] == 0)]
-        if now != before:
-            kinds.append((n, now))
-            before = now
-    entry = "array<struct<less: int, parts: int, i: int, shift: int>>"
-    lists = [(n, F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(("less", "parts", "i", "shift"), x, strict=True)]) for x in now]) if now else F.array().cast(entry)) for n, now in kinds]
-    every = reduce(lambda acc, x: F.when(F.col("n") >= x[0], x[1]).otherwise(acc), lists[1:], lists[0][1])
+def least_of(n: Column, steps: Steps = EDITS) -> Column:
+    """The least length of the range that lines of n characters belong to: ranges are 4 times the edits wide and end where the edits change."""
+    return reduce(lambda acc, x: F.when(n >= x[0], n - (n - x[0]) % (4 * x[1])).otherwise(acc), sorted(steps), F.lit(0))
+
+
+def keyed(lines: DataFrame, probe: bool, steps: Steps = EDITS) -> DataFrame:
+    """(key, id, kind) of lines(id, line, n): the keys under which a line can be found, or those that it looks up: in its own range of
+    lengths, and in a lesser one whose longest lines are within their edits of it. kind: 4 times the segment's number, 2 where it is
+    looked for at its own place, and 1 where the line itself can be found under the key."""
+    n, m, most = F.col("n"), F.col("m"), max(e for _, e in steps)
     # four bytes a character, so that a substring needn't count characters from the line's begin
-    d = lines.select("id", "n", F.encode("line", "UTF-32").alias("wide"), every.alias("e")).select("id", "n", "wide", F.explode("e").alias("e")).select("id", "n", "wide", "e.*")
-    d = d.withColumn("short", F.col("n") - F.col("less")).withColumns({"base": F.expr("int(short div parts)"), "late": F.expr("i - parts + short % parts")})
-    # the last short % parts segments are one character longer
-    d = d.withColumns({"at": F.expr("base * i + greatest(0, late) + 1 + shift"), "size": F.expr("base + int(late >= 0)")})
-    d = d.filter("at >= 1 and at + size - 1 <= n")
-    return d.select(F.xxhash64("short", "i", F.expr("substring(wide, 4 * at - 3, 4 * size)")).alias("key"), "id", F.expr("less * 16 + i * 2 + int(less = 0 and shift = 0)").alias("kind"))
+    d = lines.filter(n >= min(least for least, _ in steps)).select("id", "n", F.encode("line", "UTF-32").alias("wide"))
+    if probe:
+        # a range is met at the greatest length of it
+        ranges = F.when(n - least_of(n, steps) >= most, F.array(n)).otherwise(F.array(*[n - less for less in range(most + 1)]))
+        d = d.select("*", F.explode(ranges).alias("m")).filter((m == n) | ((n - m <= allowed(m, steps)) & (least_of(m, steps) != least_of(m + 1, steps))))
+    else:
+        d = d.withColumn("m", n)
+    entry = lambda x: F.struct(*[F.lit(v).alias(c) for c, v in zip(("i", "ends", "along", "shift"), x, strict=True)])
+    every = F.array().cast("array<struct<i: int, ends: int, along: int, shift: int>>")
+    for least, e in sorted(steps):
+        every = F.when(m >= least, F.array(*[entry(x) for x in lookups(e) if probe or x[3] == 0])).otherwise(every)
+    d = d.select("id", "n", "m", "wide", least_of(m, steps).alias("least"), allowed(m, steps).alias("edits"), F.explode(every).alias("e"))
+    d = d.select("id", "n", "m", "wide", "least", F.expr("int(least div (edits + 1))").alias("size"), "e.*")
+    d = d.withColumn("at", F.expr("ends * n + along * size + 1 + shift")).filter("at >= 1 and at + size - 1 <= n")
+    return d.select(F.xxhash64("least", "i", F.expr("substring(wide, 4 * at - 3, 4 * size)")).alias("key"), "id", F.expr("i * 4 + int(shift = 0) * 2 + int(shift = 0 and m = n)").alias("kind"))
 
 
 #: Frequent characters that are counted in lines that meet.
@@ -187,23 +192,20 @@ def near_lines(distinct: DataFrame, steps: Steps = EDITS) -> DataFrame:
     """(a, b, edits) of distinct(id, line): pairs of lines within the edits that their lengths allow, a < b."""
     lines = distinct.select("id", "line", F.length("line").alias("n"))
     index = keyed(lines, False, steps).groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("many"))
-    parts = []
-    with bucketed(index, "lines_index", "key") as index:
-        for part in range(ROUNDS):
-            # a row per line and key that another line has as well; the index has each key once, so its side fits a hash table
-            probe = keyed(lines, True, steps, part, ROUNDS)
-            met = probe.join(index.hint("shuffle_hash"), "key").filter("not (low = id and high = id)")
-            parts.append(saved(met.select("key", "id", "kind", "low", "many"), "lines-met"))
-    met = reduce(DataFrame.unionByName, parts)
+    # a row per line and key that another line has as well; the index has each key once, so its side fits a hash table
+    met = keyed(lines, True, steps).join(index.hint("shuffle_hash"), "key").filter("not (low = id and high = id)")
+    met = saved(met.select("key", "id", "kind", "low", "many"), "lines-met")
     ids = met.select("id").unionByName(met.filter("many = 1").select(F.col("low").alias("id"))).distinct()
-    texts = saved(distinct.join(ids, "id", "left_semi").withColumn("counts", letter_counts(F.col("line"))).withColumns({"odd": odd_bits(F.col("counts")), "most": allowed(F.length("line"), steps)}), "lines-texts")
-    facts = ("id", "line", "counts", "odd", "most")
+    # the few ids are the hash table, so that the distinct lines needn't be sorted
+    texts = distinct.join(ids.hint("shuffle_hash"), "id", "left_semi").withColumns({"n": F.length("line"), "counts": letter_counts(F.col("line"))})
+    texts = saved(texts.withColumns({"odd": odd_bits(F.col("counts")), "most": allowed(F.col("n"), steps)}), "lines-texts")
+    facts = ("id", "line", "n", "counts", "odd", "most")
     one = texts.select(*facts)
     two = texts.select(*[F.col(c).alias(f"{c}2") for c in facts])
     most = F.least("most", "most2")
     apart = reduce(lambda x, y: x + y, [F.abs(F.get("counts", F.lit(i)) - F.get("counts2", F.lit(i))) for i in range(len(LETTERS))])
     distance = line_distance(F.col("line"), F.col("line2"), max(e for _, e in steps), most)
-    may = (F.col("id") != F.col("id2")) & (F.bit_count(F.col("odd").bitwiseXOR(F.col("odd2"))) <= 2 * most) & (apart <= 2 * most)
+    may = (F.col("id") != F.col("id2")) & (F.abs(F.col("n") - F.col("n2")) <= most) & (F.bit_count(F.col("odd").bitwiseXOR(F.col("odd2"))) <= 2 * most) & (apart <= 2 * most)
     ends = [F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")]
     alone = met.filter("many = 1").select("id", F.col("low").alias("id2")).distinct().join(one.drop("line"), "id").join(two.drop("line2"), "id2").filter(may)
     # lines that share a segment with many: those that can be found are dealt out, those that look for them go to all, and what
@@ -211,27 +213,27 @@ def near_lines(distinct: DataFrame, steps: Steps = EDITS) -> DataFrame:
     many = met.filter("many > 1").withColumn("deals", F.ceil(F.col("many") / HOT).cast("int")).join(one, "id")
     held = many.filter("kind % 2 = 1").select(F.col("key").alias("key2"), F.pmod(F.xxhash64("id"), F.col("deals")).cast("int").alias("deal2"), *[F.col(c).alias(f"{c}2") for c in facts])
     looking = many.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).select("key", "deal", "kind", *facts)
-    linked = looking.join(held, (F.col("key") == F.col("key2")) & (F.col("deal") == F.col("deal2")) & may & _first_meeting(most, max(e for _, e in steps)) & (distance <= most))
+    linked = looking.join(held, (F.col("key") == F.col("key2")) & (F.col("deal") == F.col("deal2")) & may & _first_meeting(steps) & (distance <= most))
     pairs = saved(alone.select(*ends).unionByName(linked.select(*ends)).distinct(), "lines-pairs")
     side = lambda name, line, most: texts.select(F.col("id").alias(name), F.col("line").alias(line), F.col("most").alias(most))
     both = pairs.join(side("a", "line", "most"), "a").join(side("b", "line2", "most2"), "b")
     near = both.select("a", "b", distance.alias("edits"), most.alias("most"))
     near = saved(near.filter("edits <= most").select("a", "b", "edits"), "lines-near")
-    discard(*parts, texts, pairs)
+    discard(met, texts, pairs)
     return near
 
 
-def _first_meeting(edits: Column, most: int) -> Column:
+def _first_meeting(steps: Steps) -> Column:
     """Whether a line and another, line2, that it has looked up by kind aren't compared under another key anyway: two lines found
-    under a key of both are compared by the one of lesser id, and lines that have an earlier segment at one place meet there."""
-    less, i, n = F.expr("kind div 16"), F.expr("kind % 16 div 2"), F.length("line2")
-    parts = edits + 1
-    again = (F.col("kind") % 2 == 1) & (F.col("id") > F.col("id2"))
-    for j in range(most):
-        late = F.lit(j) - parts + n % parts
-        base = ((n - n % parts) / parts).cast("int")
-        at, size = base * j + F.greatest(F.lit(0), late) + 1, base + (late >= 0).cast("int")
-        again |= (F.lit(j) < i) & (F.lit(j) <= edits - less) & (F.substring("line", at, size) == F.substring("line2", at, size))
+    under a key of both are compared by the one of lesser id, and lines that have a segment at its own place meet there, at the first of
+    them."""
+    kind, edits = F.col("kind"), F.col("most2")
+    size = (least_of(F.col("n2"), steps) / (edits + 1)).cast("int")
+    again = (kind % 2 == 1) & (F.col("id") > F.col("id2"))
+    for j in range(max(e for _, e in steps) + 1):
+        place = lambda n: F.when(F.lit(2 * j) <= edits, size * j).otherwise(n - size * (edits - j + 1)) + 1  # noqa: E731, B023
+        earlier = (F.lit(j) <= edits) & ((kind % 4 < 2) | (F.lit(4 * j) < kind - kind % 4))
+        again |= earlier & (F.substring("line", place(F.col("n")), size) == F.substring("line2", place(F.col("n2")), size))
     return ~again
 
 
@@ -254,9 +256,12 @@ def line_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", st
     at = saved(at, "lines-at")
     discard(near, roots)
     place = F.struct("doc_id", "row_at", "n")
-    own = at.groupBy("id").agg(F.min(place).alias("own"), F.count("*").alias("many"), F.first("cls").alias("c"))
-    heads = own.groupBy("c").agg(F.min("own").alias("head"), F.sum("many").alias("size")).filter("size > 1")
-    facts = own.join(heads, "c").select(F.col("id").alias("i"), "own", "head")
+    own = at.groupBy("id").agg(F.min(place).alias("own"), F.count("*").alias("many"), F.first("cls").alias("c"), F.first("n_links").alias("near"))
+    # most lines are there once and near to none: these are neither exact nor gone
+    own = saved(own.filter("many > 1 or near > 0"), "lines-own")
+    heads = own.filter("near > 0").groupBy("c").agg(F.min("own").alias("head"))
+    facts = own.filter("near > 0").join(heads, "c").select(F.col("id").alias("i"), "own", "head")
+    facts = facts.unionByName(own.filter("near = 0").select(F.col("id").alias("i"), "own", F.col("own").alias("head")))
     out = at.join(facts, at["id"] == facts["i"], "left")
     first = F.coalesce(place == F.col("head"), F.lit(True))
     return out.select("doc_id", "row_at", "n", "cls", "n_links", F.coalesce(place != F.col("own"), F.lit(False)).alias("exact"), first.alias("kept"))

@@ -565,6 +565,28 @@ def test_lines(spark, monkeypatch):
     assert clean[0] == "\n".join(x for n, x in enumerate(texts[0].split("\n")) if (0, n) not in want or want[0, n][1]) and clean[len(texts) - 3] is None
 
 
+def test_lines_look_up_few_keys_and_meet_over_ranges_of_lengths(spark):
+    rng, lines = random.Random(8), set()
+    for n in [*range(8, 25), *range(56, 62), *range(68, 76), *range(116, 140), 150, 152]:
+        base = [rng.choice("abcdefgh \u00e9\U0001f600") for _ in range(n)]
+        lines.add("".join(base))
+        for _ in range(5):
+            x, k = list(base), rng.randint(0, 5)
+            # edits at any places, or all of them before or behind the middle
+            low, high = rng.choice([(0, 1), (0, 0.5), (0.5, 1)])
+            for _ in range(k):
+                at = min(len(x) - 1, int(len(x) * (low + (high - low) * rng.random())))
+                x[at : at + 1] = rng.choice([[], ["z"], ["z", x[at]]])
+            lines.add("".join(x))
+    lines = sorted(x for x in lines if x.strip())
+    d = spark.createDataFrame([*enumerate(lines)], "id long, line string")
+    near = {(i, j): e for i, x in enumerate(lines) for j in range(i) if abs(len(x) - len(lines[j])) < 5 and (e := distance(x, lines[j])) <= line_dedup.edits_of(min(len(x), len(lines[j])))}
+    assert {(r["b"], r["a"]): r["edits"] for r in line_dedup.near_lines(d).collect()} == near and len(near) > 100
+    # 13 keys with four edits, and a quarter of the lines look into the range below as well; it was 49 for each line
+    long = spark.createDataFrame([(n, "x" * n, n) for n in range(136, 200)], "id long, line string, n int")
+    assert line_dedup.keyed(long, True).count() <= 64 * 13 * 1.25
+
+
 def test_banded_distance(spark):
     rng, rows = random.Random(7), []
     for _ in range(600):
