@@ -46,6 +46,13 @@ def extracted(docs: DataFrame, text: str = "text", path: str = "file_path", stri
     )
 
 
+def bank_rows(records: DataFrame) -> DataFrame:
+    """A row per document and bank, column bank for extracted_banks; documents without banks have none. With an inner explode Spark
+    puts its own filter on the array's size below the rules, where all of them are written out and run once more for each use."""
+    others = [f"`{c}`" for c in records.columns if c != "extracted_banks"]
+    return records.select(*others, F.explode_outer("extracted_banks").alias("bank")).filter(F.col("bank").isNotNull())
+
+
 def consolidated(records: DataFrame) -> DataFrame:
     """A row per document, bank and role, columns in the order of the sheet; documents without banks keep one row."""
     r = records.withColumn("b", F.explode_outer("bank_info")).withColumn("role", F.explode_outer("b.roles"))

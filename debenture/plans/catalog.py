@@ -237,8 +237,8 @@ def issuance_by_currency_year(spark, sf):
 
 
 def issuance_by_bank(spark, sf):
-    r = _records(spark, sf)
-    return r.select("doc_id", F.explode("extracted_banks").alias("bank"), F.col("metadata.issue_size").try_cast("double").cast("decimal(38,2)").alias("size")).groupBy("bank").agg(F.count("*").alias("n"), F.sum("size").cast("double").alias("size"))
+    r = _records(spark, sf).select("extracted_banks", F.col("metadata.issue_size").try_cast("double").cast("decimal(38,2)").alias("size"))
+    return R.bank_rows(r).groupBy("bank").agg(F.count("*").alias("n"), F.sum("size").cast("double").alias("size"))
 
 
 def flag_summary(spark, sf):
