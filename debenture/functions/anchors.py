@@ -65,15 +65,18 @@ def _trie(words: list[str]) -> str:
     return written(tree)
 
 
-def found(text: Column) -> Column:
-    """The anchors in text, once each."""
+def found(text: Column, rules: list[str] | None = None) -> Column:
+    """The anchors in text, once each; with rules only theirs, which are few and looked for one by one."""
+    if rules is not None:
+        words = sorted({w for p in rules for w in _all().get(p, ())})
+        return let(F.lower(text), lambda low: F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low, w)))
     words = sorted({w for ws in _all().values() for w in ws})
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"(?=({_trie(words)}))"), 1))
 
 
-def within(text: Column, hits: Column | None, body) -> Column:
-    """body(hits), with the text's own where none are given."""
-    return body(hits) if hits is not None else let(found(text), body)
+def within(text: Column, hits: Column | None, body, rules: list[str] | None = None) -> Column:
+    """body(hits), with the text's own where none are given, of these rules or all."""
+    return body(hits) if hits is not None else let(found(text, rules), body)
 
 
 def may_match(hits: Column, pattern: str) -> Column:

@@ -44,7 +44,7 @@ def parse_date(s: Column, strict: bool = False) -> Column:
     """d-m-yyyy, d-m-yy, m-d-yyyy, m-d-yy and yy-m-d, in this order, or `d Month yyyy`; two-digit years from 69 on are
     1900s. Behind a month a two-digit year counts only if the day has one digit: with two, the day is read as the year
     (strict: it isn't). Else null."""
-    numeric, word = r"^(\d{1,2})-(\d{1,2})-(\d{4}|\d{2})$", r"^(\d{1,2})\s+([A-Za-z]+)\s+(\d{2,4})$"
+    numeric, word = r"^\d{1,2}-\d{1,2}-(?:\d{4}|\d{2})$", r"^\d{1,2}\s+[A-Za-z]+\s+\d{2,4}$"
 
     def by_number(x: Column) -> Column:
         a, b, c = x["a"], x["b"], x["c"]
@@ -60,28 +60,38 @@ def parse_date(s: Column, strict: bool = False) -> Column:
             short = F.when(F.length(d) == 2, _century(d, 50)).otherwise(short)
         return _date(F.when(F.length(y) == 4, y).otherwise(short), month, d)
 
-    def groups(v: Column, p: str) -> Column:
-        return F.struct(*[F.regexp_extract(v, p, i).alias(n) for i, n in ((1, "a"), (2, "b"), (3, "c"))])
+    def parts(v: Column) -> Column:
+        return let(F.regexp_extract_all(v, F.lit("[0-9]+|[A-Za-z]+"), 0), lambda x: F.struct(*[F.get(x, F.lit(i)).alias(n) for i, n in enumerate("abc")]))
 
-    return let(F.trim(s), lambda v: F.when(F.regexp_like(v, F.lit(numeric)), let(groups(v, numeric), by_number)).when(F.regexp_like(v, F.lit(word)), let(groups(v, word), by_name)))
+    return let(F.trim(s), lambda v: F.when(F.regexp_like(v, F.lit(numeric)), let(parts(v), by_number)).when(F.regexp_like(v, F.lit(word)), let(parts(v), by_name)))
 
 
 def first_date(t: Column, patterns: list[str], strict: bool = False, hits: Column | None = None) -> Column:
-    """Of each pattern in turn the first match, if it can be read. The reading is one lambda for all patterns, so the plan
-    stays small."""
-    found = F.array(*[first_group(t, p, hits=hits) for p in patterns])
-    return F.get(F.filter(F.transform(found, lambda x: parse_date(x, strict)), lambda d: d.isNotNull()), F.lit(0))
+    """Of each pattern in turn the first match, if it can be read. Patterns are run up to the first that matches, all of them only
+    if its match can't be read; that reading is one lambda for all patterns, so the plan stays small."""
+    groups = [first_group(t, p, hits=hits) for p in patterns]
+    every = F.get(F.filter(F.transform(F.array(*groups), lambda x: parse_date(x, strict)), lambda d: d.isNotNull()), F.lit(0))
+    return let(F.coalesce(*groups), lambda x: F.when(x.isNotNull(), F.coalesce(parse_date(x, strict), every)))
 
 
-def _strict_dates(text: Column, patterns: list[str]) -> Column:
-    iso = r"(\d{4}-\d{1,2}-\d{1,2})"
+def _strict_normal(text: Column) -> Column:
+    def without_commas(x: Column) -> Column:
+        t = F.regexp_replace(x, r"(\d),(?=\s+\d{4})", "$1")
+        return F.when(F.contains(x, F.lit(",")), F.regexp_replace(t, rf"(\d)\s*({'|'.join(m.title() for m in MONTHS)}),", "$1 $2")).otherwise(x)
+
+    return let(normalise_dates(text), without_commas)
+
+
+def _strict_dates(t: Column, patterns: list[str], hits: Column) -> Column:
+    """t: text in its strict normal form. The patterns all end in the date that they read, in one of three forms; they are run where
+    one of these stands anywhere."""
     lead = r"(?:issue\s+date|date\s+of\s+issue|issuance\s+date)" if patterns is P.ISSUE_DATE else r"(?:maturity\s+date|final\s+maturity|redemption\s+date)"
-    t = F.regexp_replace(text, r"(\d),(?=\s+\d{4})", "$1")
-    t = F.regexp_replace(t, rf"(\d)\s*({'|'.join(x.title() for x in MONTHS)}),", "$1 $2")
-    us = F.regexp_extract(t, ci(lead + r"\s*[:\-]?\s*([a-z]+)\s+(\d{1,2}),?\s+(\d{4})"), 1)
-    day, year = (F.regexp_extract(t, ci(lead + r"\s*[:\-]?\s*([a-z]+)\s+(\d{1,2}),?\s+(\d{4})"), i) for i in (2, 3))
-    found = first_date(t, [p for i, p in enumerate(patterns) if not (patterns is P.ISSUE_DATE and i == P.NO_GROUP) and r"(\d{4})" not in p and r"(\d{8})" not in p], strict=True)
-    return F.coalesce(first_group(t, lead + r"\s*[:\-]?\s*" + iso).try_cast("date"), found, parse_date(F.concat(day, F.lit(" "), us, F.lit(" "), year), strict=True))
+    behind = lambda p: F.when(A.may_match(hits, patterns[0]), F.regexp_extract(t, ci(rf"{lead}\s*[:\-]?\s*({p})"), 1))  # noqa: E731  the first pattern has the same lead
+    us = F.regexp_replace(behind(r"[a-z]+\s+\d{1,2},?\s+\d{4}"), ci(r"^([a-z]+)\s+(\d{1,2}),?\s+(\d{4})$"), "$2 $1 $3")
+    used = [p for i, p in enumerate(patterns) if not (patterns is P.ISSUE_DATE and i == P.NO_GROUP) and r"(\d{4})" not in p and r"(\d{8})" not in p]
+    forms = dict.fromkeys(p[p.index(r"(\d") :] for p in used)
+    found = F.when(F.regexp_like(t, F.lit(ci("|".join(forms)))), first_date(t, used, strict=True, hits=hits))
+    return F.coalesce(behind(r"\d{4}-\d{1,2}-\d{1,2}").try_cast("date"), found, parse_date(us, strict=True))
 
 
 def dates(text: Column, strict: bool = False, hits: Column | None = None) -> Column:
@@ -91,7 +101,7 @@ def dates(text: Column, strict: bool = False, hits: Column | None = None) -> Col
 
     def read(t: Column, known: Column) -> Column:
         if strict:
-            return F.struct(out(_strict_dates(t, P.ISSUE_DATE)).alias("issue_date"), out(_strict_dates(t, P.MATURITY_DATE)).alias("maturity_date"), F.lit(False).alias("failed"))
+            return F.struct(out(_strict_dates(t, P.ISSUE_DATE, known)).alias("issue_date"), out(_strict_dates(t, P.MATURITY_DATE, known)).alias("maturity_date"), F.lit(False).alias("failed"))
         issue, maturity = (first_date(t, x, hits=known) for x in (P.ISSUE_DATE[: P.NO_GROUP], P.MATURITY_DATE))
 
         def judge(x: Column) -> Column:
@@ -100,7 +110,8 @@ def dates(text: Column, strict: bool = False, hits: Column | None = None) -> Col
 
         return let(F.struct(issue.alias("i"), maturity.alias("m")), judge)
 
-    return A.within(text, hits, lambda known: let(normalise_dates(text), lambda t: read(t, known)))
+    normal = _strict_normal(text) if strict else normalise_dates(text)
+    return A.within(text, hits, lambda known: let(normal, lambda t: read(t, known)), [*P.ISSUE_DATE, *P.MATURITY_DATE])
 
 
 # --- coupon ---------------------------------------------------------------------------------------------------------

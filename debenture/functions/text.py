@@ -28,8 +28,13 @@ def let(value: Column, body) -> Column:
 
 def clean_text(c: Column, strict: bool = False) -> Column:
     """White space to single spaces, then what isn't ASCII goes (strict: stays), trimmed; null is empty."""
-    t = F.regexp_replace(F.coalesce(c, F.lit("")), SPACE + "+", " ")
-    return F.trim(t if strict else F.regexp_replace(t, r"[^\x{00}-\x{7F}]+", ""))
+
+    def cleaned(x: Column) -> Column:
+        t = F.regexp_replace(x, SPACE + "+", " ")
+        return t if strict else F.regexp_replace(t, r"[^\x{00}-\x{7F}]+", "")
+
+    # printable ASCII without two spaces in a row stays as it is
+    return F.trim(let(F.coalesce(c, F.lit("")), lambda x: F.when(F.regexp_like(x, F.lit("[^!-~] |[^ -~]")), cleaned(x)).otherwise(x)))
 
 
 def first_of(text: Column, patterns: list[str]) -> Column:
